@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Scratch, table
+from .media import media_columns
 from .quality import quality
 from .secrets import scan_secrets
 from .tokens import byte_encode, pack, token_counts
+from .warc import page_records, read_warc, write_warc
 
 WORD_BPE, BYTE_BPE, END = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken", 2
 
@@ -23,6 +25,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_encode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    return page_records(read_warc(write_warc(table(spark, sf_dir, "pages"), scratch), payloads=False))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -31,6 +38,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), END, Scratch(spark, "packing"))
 
 
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), Scratch(spark, "quality"))
 
@@ -39,8 +50,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_counts": op3_token_counts,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_warc": op5_warc,
         "op7_secrets": op7_secrets,
         "op8_packing": op8_packing,
+        "op9_media": op9_media,
         "op10_quality": op10_quality,
     }
 

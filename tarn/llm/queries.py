@@ -11,12 +11,17 @@ from .common import Scratch, table
 from .media import media_columns
 from .quality import quality
 from .secrets import scan_secrets
+from .substrings import dedup_digests
 from .tokens import byte_encode, pack, token_counts
 from .warc import page_records, read_warc, write_warc
 
 WORD_BPE, BYTE_BPE, END = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken", 2
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_digests(table(spark, sf_dir, "documents"), Scratch(spark, "substrings"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -48,6 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_substrings": op2_substrings,
         "op3_token_counts": op3_token_counts,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_warc": op5_warc,

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Scratch, table
+from .jaccard import near_components
 from .media import media_columns
 from .quality import quality
 from .secrets import scan_secrets
@@ -18,6 +19,10 @@ from .warc import page_records, read_warc, write_warc
 WORD_BPE, BYTE_BPE, END = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken", 2
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"), Scratch(spark, "jaccard"))
+
+
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digests(table(spark, sf_dir, "documents"), Scratch(spark, "substrings"))
 
@@ -53,6 +58,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_substrings": op2_substrings,
         "op3_token_counts": op3_token_counts,
         "op4_byte_bpe": op4_byte_bpe,

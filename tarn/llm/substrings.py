@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, as_bytes, key_filter, record, slices
 from .fmindex import FmIndex
-from .words import Rolling, WordHashes, pair, spans
+from .words import Rolling, WordHashes, grams, spans
 
 #: Words of a window and of the stretch that is hashed for its minimizer; windows of a stretch at most.
 WINDOW, GRAM, RUN = 50, 10, 64
@@ -27,21 +27,6 @@ WINDOW, GRAM, RUN = 50, 10, 64
 SHARD, HOT = 4096, 16384
 
 
-def grams(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hash of each ``size`` consecutive word hashes, put together from stretches of 1, 2, 4, ... words."""
-    out, width, power, power_width, rest = None, 0, hashes, 1, size
-    while rest:
-        if rest & 1:
-            n = max(0, len(hashes) - width - power_width + 1)
-            out = power if out is None else pair(out[:n], power[width : width + n])
-            width += power_width
-        rest >>= 1
-        if rest:
-            n = max(0, len(power) - power_width)
-            power, power_width = pair(power[:n], power[power_width : power_width + n]), power_width * 2
-    return out
-
-
 def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     width, low = 1, values
     while width * 2 <= size:

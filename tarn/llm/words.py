@@ -36,6 +36,21 @@ def pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _A + right)
 
 
+def grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each ``size`` consecutive word hashes, put together from stretches of 1, 2, 4, ... words."""
+    out, width, power, power_width, rest = None, 0, hashes, 1, size
+    while rest:
+        if rest & 1:
+            n = max(0, len(hashes) - width - power_width + 1)
+            out = power if out is None else pair(out[:n], power[width : width + n])
+            width += power_width
+        rest >>= 1
+        if rest:
+            n = max(0, len(power) - power_width)
+            power, power_width = pair(power[:n], power[power_width : power_width + n]), power_width * 2
+    return out
+
+
 class Rolling:
     """Hashes of any stretches of a hash array, from sums modulo 2**64."""
 

@@ -170,6 +170,8 @@ class WordBpe:
 
     def learn(self, words: set[str]) -> None:
         """Merge the pre-tokens not met yet, all at once."""
+        if not words:
+            return
         new = list(words)
         encoded = [w.encode("utf-8", "surrogateescape") for w in new]
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
@@ -181,20 +183,20 @@ class WordBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split: list[list[str] | bytes] = []
+        if len(self.ids) > MEMO:
+            self.ids.clear()
+        get, out = self.ids.get, []
         for t in texts:
             if "<|" in t and any(x in t for x in self.special):
-                split.append(np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+                out.append((None, [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]))
             else:
-                split.append(self.words(t))
-        if len(self.ids) > MEMO:
-            self.ids.clear()
-        ids = self.ids
-        missing = {w for x in split if isinstance(x, list) for w in x if w not in ids}
-        if missing:
-            self.learn(missing)
-        get = self.ids.__getitem__
-        return [x if isinstance(x, bytes) else b"".join(map(get, x)) for x in split]
+                words = self.words(t)
+                out.append((words, list(map(get, words))))
+        holes = [(words, parts) for words, parts in out if None in parts]
+        self.learn({w for words, parts in holes for w, p in zip(words, parts, strict=True) if p is None})
+        for words, parts in holes:
+            parts[:] = map(get, words)
+        return [b"".join(parts) for _, parts in out]
 
 
 @lru_cache(maxsize=1)
@@ -355,19 +357,22 @@ class ByteBpe:
         if len(self.memo) > MEMO:
             self.memo.clear()
         new, parts = [], []
-        memo = self.memo
-        for p in {p for p in pieces if p not in memo}:
+        get = self.memo.get
+        found = list(map(get, pieces))
+        for p in {p for p, ids in zip(pieces, found, strict=True) if ids is None} if None in found else ():
             if (whole := self.ranks.get(b := p.encode())) is not None:
                 self.memo[p] = whole.to_bytes(4, "little")
             else:
                 new.append(p)
                 parts.append(b)
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = self.single[np.frombuffer(b"".join(parts), np.uint8)]
-        self.memo.update(zip(new, merge_all(flat, lengths, self.pairs), strict=True))
+        if new:
+            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+            flat = self.single[np.frombuffer(b"".join(parts), np.uint8)]
+            self.memo.update(zip(new, merge_all(flat, lengths, self.pairs), strict=True))
+        if None in found:
+            found = list(map(get, pieces))
         cut = np.concatenate(([0], np.cumsum(counts))).tolist()
-        get = self.memo.__getitem__
-        return [np.frombuffer(b"".join(map(get, pieces[a:b])), "<u4").tolist() for a, b in zip(cut, cut[1:])]  # noqa: B905
+        return [np.frombuffer(b"".join(found[a:b]), "<u4").tolist() for a, b in zip(cut, cut[1:])]  # noqa: B905
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))

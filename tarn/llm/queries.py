@@ -14,6 +14,7 @@ from .quality import quality
 from .secrets import scan_secrets
 from .substrings import dedup_digests
 from .tokens import byte_encode, pack, token_counts
+from .toxicity import score_documents
 from .warc import page_records, read_warc, write_warc
 
 WORD_BPE, BYTE_BPE, END = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken", 2
@@ -40,6 +41,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(read_warc(write_warc(table(spark, sf_dir, "pages"), scratch), payloads=False))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": op3_token_counts,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_warc": op5_warc,
+        "op6_toxicity": op6_toxicity,
         "op7_secrets": op7_secrets,
         "op8_packing": op8_packing,
         "op9_media": op9_media,

@@ -83,21 +83,23 @@ def line_hashes(text: bytes) -> dict[int, int]:
     return out
 
 
-def quality(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def quality(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): the counts, base_failed and kept.
 
     The host is ``source`` (null: a host of its own).  A line's frequency is the number of the host's
     different texts that hold it, after normalisation (so copies of one document don't condemn it); lines above ``max(LEAST, SHARE * rows of the host)`` are
     removed, and a document that passes the base rules is still rejected if that leaves it depleted.
-    Null and empty texts have no words and fail.  Repeated rows each give a row.
+    Null and empty texts have no words and fail.  ``carry`` names columns of ``docs`` to pass on.  Repeated rows each give a row.
 
     The scan's result is written once.  Lines are counted in each scan task first, so a line shared by
     all documents reaches the shuffle once for each task; only frequent lines are joined back.
     """
-    kept = docs.select("doc_id", "text", F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("_host"))
+    kept = docs.select("doc_id", "text", F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("_host"), *(F.col(c).alias(f"_carry_{c}") for c in carry))
+    extra = kept.schema.fields[3:]
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     schema = pa.schema([("doc_id", pa.int64()), ("_host", pa.string()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("_lines", pa.list_(pa.int64())), ("_sizes", pa.list_(pa.int32())), ("_text", pa.int64())])
-    ddl = "doc_id long, _host string, " + "".join(f"{n} long, " for n in names) + "base_failed boolean, _lines array<long>, _sizes array<int>, _text long"
+    passed = [f.name for f in extra]
+    ddl = "doc_id long, _host string, " + "".join(f"{n} long, " for n in names) + "base_failed boolean, _lines array<long>, _sizes array<int>, _text long" + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in extra)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +107,9 @@ def quality(docs: DataFrame, scratch: Scratch) -> DataFrame:
             for a, b in slices(batch, texts):
                 found = [features(t) for t in texts[a:b]]
                 lines = [line_hashes(t) for t in texts[a:b]]
-                yield record(schema, (ids[a:b], hosts[a:b], *zip(*found, strict=True), [list(x) for x in lines], [list(x.values()) for x in lines], [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts[a:b]]))
+                keys = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts[a:b]]
+                own = record(schema, (ids[a:b], hosts[a:b], *zip(*found, strict=True), [list(x) for x in lines], [list(x.values()) for x in lines], keys))
+                yield pa.RecordBatch.from_arrays([*own.columns, *(c[a:b] for c in batch.columns[3:])], [*schema.names, *passed])
 
     held = scratch.save(kept.mapInArrow(measure, ddl), "measured")
     limits = held.groupBy("_host").agg(F.greatest(F.lit(LEAST), F.count("*") * F.lit(SHARE)).alias("_limit"))
@@ -119,4 +123,4 @@ def quality(docs: DataFrame, scratch: Scratch) -> DataFrame:
     depleted = F.col("_frequent").isNotNull() & ((left < MIN_WORDS) | (left < F.col("n_words") * LEFT))
     if frequent.count() <= FEW:
         marks = F.broadcast(marks)
-    return held.join(marks, "_host", "left").select("doc_id", *names, "base_failed", left.alias("n_words_left"), (~F.col("base_failed") & ~depleted).alias("kept"))
+    return held.join(marks, "_host", "left").select("doc_id", *names, "base_failed", left.alias("n_words_left"), (~F.col("base_failed") & ~depleted).alias("kept"), *(F.col(f"_carry_{c}").alias(c) for c in carry))

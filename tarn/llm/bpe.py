@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Pre-tokens remembered by a worker; the table is emptied beyond that, so memory is bounded.
-MEMO = 400_000
+MEMO = 1_000_000
 #: Pre-tokens with more symbols are merged one by one with a heap: n log n, whatever their length.
 LONG = 256
 _NONE = np.iinfo(np.int64).max

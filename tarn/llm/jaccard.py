@@ -160,8 +160,12 @@ def enough(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray) -> n
 
 
 def rare_pairs(rows: DataFrame, shards: int) -> DataFrame:
-    """(a, b): pairs of groups (by pkey, a < b) that share a prefix shingle that is not common."""
-    schema = pa.schema([("shard", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("pos", pa.binary()), ("pkey", pa.binary()), ("n", pa.binary())])
+    """(a, b): pairs of groups (by pkey, a < b) that share enough prefix shingles that are not common.
+
+    Two sets share no more than what their prefixes share and what one of them holds beyond its prefix;
+    a pair whose prefixes share too little for that to suffice goes.
+    """
+    schema = pa.schema([("shard", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("pos", pa.binary()), ("pkey", pa.binary()), ("n", pa.binary()), ("own", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -189,24 +193,25 @@ def rare_pairs(rows: DataFrame, shards: int) -> DataFrame:
                 for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
                     at = order[x:y]
                     groups, local = np.unique(g[at], return_inverse=True)
-                    out.append((int(shard[at[0]]), h[at].tobytes(), local.astype("<u2").tobytes(), pos[at].astype("<u4").tobytes(), part.column(0).to_numpy()[groups].tobytes(), part.column(1).to_numpy()[groups].astype("<u4").tobytes()))
+                    out.append((int(shard[at[0]]), h[at].tobytes(), local.astype("<u2").tobytes(), pos[at].astype("<u4").tobytes(), part.column(0).to_numpy()[groups].tobytes(), part.column(1).to_numpy()[groups].astype("<u4").tobytes(), own[groups].astype("<u4").tobytes()))
                 if out:
                     yield record(schema, zip(*out, strict=True))
 
-    pair_schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    pair_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("met", pa.int64()), ("need", pa.int64())])
 
     def meet(table: pa.Table) -> pa.Table:
         read = lambda name, kind: [np.frombuffer(x, kind) for x in table[name].to_pylist()]
-        gs, keys, ns = read("g", "<u2"), read("pkey", np.int64), read("n", "<u4")
+        gs, keys, ns, owns = read("g", "<u2"), read("pkey", np.int64), read("n", "<u4"), read("own", "<u4")
         h, pos = np.concatenate(read("h", np.uint64)), np.concatenate(read("pos", "<u4")).astype(np.int64)
         key = np.concatenate([k[g] for k, g in zip(keys, gs, strict=True)])
         n = np.concatenate([k[g] for k, g in zip(ns, gs, strict=True)]).astype(np.int64)
+        beyond = n - np.concatenate([k[g] for k, g in zip(owns, gs, strict=True)]).astype(np.int64)
         order = np.argsort(h, kind="stable")
         same = np.concatenate((h[order[1:]] == h[order[:-1]], [False]))
         near = same | np.concatenate(([False], same[:-1]))
         order = order[near]
-        h, pos, key, n = h[order], pos[order], key[order], n[order]
-        found, gap = [np.zeros((0, 2), np.int64)], 1
+        h, pos, key, n, beyond = h[order], pos[order], key[order], n[order], beyond[order]
+        found, gap = [np.zeros((0, 3), np.int64)], 1
         while gap < len(h):
             i = np.flatnonzero(h[gap:] == h[:-gap])
             if not len(i):
@@ -214,13 +219,18 @@ def rare_pairs(rows: DataFrame, shards: int) -> DataFrame:
             j = i + gap
             ok = (key[i] != key[j]) & enough(n[i], n[j], pos[i], pos[j])
             i, j = i[ok], j[ok]
-            found.append(np.unique(np.stack((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])), 1), axis=0))
+            least = -(-NUMERATOR * (n[i] + n[j]) // (NUMERATOR + DENOMINATOR)) - np.maximum(beyond[i], beyond[j])
+            found.append(np.stack((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), least), 1))
             gap += 1
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=pair_schema)
+        met = np.concatenate(found)
+        met = met[np.lexsort((met[:, 1], met[:, 0]))]
+        first = np.flatnonzero(np.concatenate(([True], (met[1:, :2] != met[:-1, :2]).any(1)))) if len(met) else np.zeros(0, np.int64)
+        times = np.diff(np.append(first, len(met)))
+        return pa.Table.from_arrays([pa.array(met[first, 0]), pa.array(met[first, 1]), pa.array(times), pa.array(met[first, 2])], schema=pair_schema)
 
-    dealt = rows.select("pkey", "n", "heavy", "prefix").mapInArrow(deal, "shard long, h binary, g binary, pos binary, pkey binary, n binary")
-    return dealt.groupBy("shard").applyInArrow(meet, "a long, b long").distinct()
+    dealt = rows.select("pkey", "n", "heavy", "prefix").mapInArrow(deal, "shard long, h binary, g binary, pos binary, pkey binary, n binary, own binary")
+    pairs = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, met long, need long")
+    return pairs.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -238,7 +248,7 @@ def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> Da
     groups = max(1, -(-total // VERIFY))
     dealt = keyed.join(many, "_key").select("a", "b", F.pmod(F.xxhash64("_key", F.pmod("a", "_split")), F.lit(groups)).alias("group"))
     dealt = scratch.save(dealt, f"{name}-dealt")
-    needed = dealt.select("group", F.col("a").alias("cid")).union(dealt.select("group", F.col("b").alias("cid"))).distinct()
+    needed = dealt.select(F.col("group").alias("_group"), F.col("a").alias("cid")).union(dealt.select("group", "b")).distinct()
     sent = needed.join(sets, "cid")
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -256,8 +266,7 @@ def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> Da
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    sent = scratch.save(sent, f"{name}-sent")
-    linked = dealt.groupBy("group").cogroup(sent.groupBy("group")).applyInArrow(check, "a long, b long")
+    linked = dealt.groupBy("group").cogroup(sent.groupBy("_group")).applyInArrow(check, "a long, b long")
     return scratch.save(linked, f"{name}-links")
 
 
@@ -342,4 +351,4 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     near = key_filter(docs.select("doc_id", "text"), F.col("doc_id"), wanted, F.col("rep"))
     near = near.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("cid", "text")
-    return near.mapInArrow(read, "cid long, shingles binary").dropDuplicates(["cid"])
+    return near.mapInArrow(read, "cid long, shingles binary")

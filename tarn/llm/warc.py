@@ -179,7 +179,8 @@ def read_warc(archives: DataFrame, split: int = SPLIT, payloads: bool = True) ->
     those its headers state.  A payload that differs from its stated digest raises an error.
     """
     ranges = archives.select("file", "size", F.explode(F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split).cast("long"))).alias("start"))
-    ranges = ranges.repartition("file", "start")
+    count = archives.agg(F.sum(F.ceil(F.greatest(F.col("size"), F.lit(1)) / split))).first()[0] or 1
+    ranges = ranges.repartition(int(count), "file", "start")
     fields = [("file", pa.string()), ("offset", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("uri", pa.string()), ("refers_to", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
     fields = fields if payloads else fields[:-1]
     schema = pa.schema(fields)

@@ -120,7 +120,7 @@ def quality(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> D
     marks = frequent.groupBy("_host").agg(F.collect_list("_line").alias("_frequent"))
     lost = F.expr("aggregate(zip_with(_lines, _sizes, (l, s) -> if(array_contains(_frequent, l), s, 0)), 0L, (x, y) -> x + y)")
     left = F.col("n_words") - F.coalesce(lost, F.lit(0))
-    depleted = F.col("_frequent").isNotNull() & ((left < MIN_WORDS) | (left < F.col("n_words") * LEFT))
+    depleted = (F.coalesce(lost, F.lit(0)) > 0) & ((left < MIN_WORDS) | (left < F.col("n_words") * LEFT))
     if frequent.count() <= FEW:
         marks = F.broadcast(marks)
     return held.join(marks, "_host", "left").select("doc_id", *names, "base_failed", left.alias("n_words_left"), (~F.col("base_failed") & ~depleted).alias("kept"), *(F.col(f"_carry_{c}").alias(c) for c in carry))

@@ -44,17 +44,34 @@ def word_features(token: bytes) -> list[tuple[int, str]]:
     return [(0, word), *((i, word[:n]) for i, n in enumerate(PREFIXES, 1) if len(word) > n)] if word else []
 
 
-def log_odds(docs: list[set], toxic: np.ndarray) -> dict[tuple[int, str], float]:
-    """Of each feature that toxic documents favour: the log of its smoothed ratio of document shares."""
-    counts = (Counter(), Counter())
-    for own, y in zip(docs, toxic, strict=True):
-        counts[int(y)].update(own)
-    n1, n0 = int(toxic.sum()) + 1, len(docs) - int(toxic.sum()) + 1
-    found = {}
-    for f, k in counts[1].items():
-        if k >= SUPPORT and (v := math.log((k + 0.5) / n1) - math.log((counts[0][f] + 0.5) / n0)) > 1:
-            found[f] = v
-    return found
+class Counts:
+    """Documents of each half and class that have a feature; features that too few toxic ones have are not kept."""
+
+    def __init__(self, texts: list[bytes], toxic: np.ndarray, half: np.ndarray) -> None:
+        self.docs = {(h, y): int(((half == h) & (toxic == y)).sum()) for h in (0, 1) for y in (0, 1)}
+        self.seen: dict[tuple[int, int], Counter] = {k: Counter() for k in self.docs}
+        for i in np.flatnonzero(toxic == 1):
+            self.seen[int(half[i]), 1].update(features(texts[i]))
+        total = self.seen[0, 1] + self.seen[1, 1]
+        wanted = {f for f, n in total.items() if n >= SUPPORT}
+        for h in (0, 1):
+            self.seen[h, 1] = Counter({f: n for f, n in self.seen[h, 1].items() if f in wanted})
+        for i in np.flatnonzero(toxic == 0):
+            self.seen[int(half[i]), 0].update(wanted & features(texts[i]))
+
+    def log_odds(self, halves: tuple[int, ...]) -> dict[tuple[int, str], float]:
+        """Of each feature that toxic documents favour: the log of its smoothed ratio of document shares."""
+        ours = [sum((self.seen[h, y] for h in halves), Counter()) for y in (0, 1)]
+        n0, n1 = (sum(self.docs[h, y] for h in halves) + 1 for y in (0, 1))
+        found = {}
+        for f, k in ours[1].items():
+            if k >= SUPPORT and (v := math.log((k + 0.5) / n1) - math.log((ours[0][f] + 0.5) / n0)) > 1:
+                found[f] = v
+        return found
+
+
+def features(text: bytes) -> set[tuple[int, str]]:
+    return {f for w in set(tokens(text)) for f in word_features(w)}
 
 
 class Chain:
@@ -136,13 +153,13 @@ def marginals(emission: np.ndarray, first: np.ndarray, steps: np.ndarray, width:
     return p.T.ravel()[:n]
 
 
-def fit_chain(odds: dict, docs: list[list[bytes]], toxic: np.ndarray) -> Chain:
+def fit_chain(odds: dict, texts: list[bytes], toxic: np.ndarray) -> Chain:
     """Weights by gradient ascent on the likelihood of the derived word tags."""
     chain = Chain(odds, np.zeros(3), np.zeros((2, 2)))
     pick = [i for y in (1, 0) for i in np.flatnonzero(toxic == y)[: CHAINS // 2].tolist()]
     vectors, tags, first = [], [], []
     for i in pick:
-        own = [chain.vector(w) for w in docs[i][:CHAIN]]
+        own = [chain.vector(w) for w in tokens(texts[i])[:CHAIN]]
         vectors += own
         tags += [int(toxic[i]) if max(v[1:]) >= CLEAR else 0 for v in own]
         first += [j == 0 for j in range(len(own))]
@@ -207,22 +224,19 @@ class Model:
 
 def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
     """The field and the document weights; the latter are fitted on halves scored by the other's field."""
-    docs = [tokens(t) for t in texts]
-    sets = [{f for w in set(d) for f in word_features(w)} for d in docs]
-    half = np.arange(len(docs)) % 2
+    half = np.arange(len(texts)) % 2
+    counts = Counts(texts, toxic, half)
     xs, ys = [], []
     for k in (0, 1):
         a, b = np.flatnonzero(half == k), np.flatnonzero(half != k)
         if len(a) and len(b):
-            chain = fit_chain(log_odds([sets[i] for i in a], toxic[a]), [docs[i] for i in a], toxic[a])
-            for at in range(0, len(b), 500):
-                part = b[at : at + 500]
-                xs.append(evaluate(chain, [docs[i] for i in part])[1])
+            chain = fit_chain(counts.log_odds((k,)), [texts[i] for i in a], toxic[a])
+            for at in range(0, len(b), 300):
+                part = b[at : at + 300]
+                xs.append(evaluate(chain, [tokens(texts[i]) for i in part])[1])
                 ys.append(toxic[part])
     weights = fit_logistic(np.concatenate(xs), np.concatenate(ys).astype(float)) if xs else np.array([-3.0, 1, 1, 1])
-    whole = fit_chain(log_odds(sets, toxic), docs, toxic)
-    whole.memo.clear()
-    return Model(whole, weights)
+    return Model(fit_chain(counts.log_odds((0, 1)), texts, toxic), weights)
 
 
 def held_out(column) -> F.Column:

@@ -19,6 +19,8 @@ import numpy as np
 MEMO = 1_000_000
 #: Pre-tokens with more symbols are merged one by one with a heap: n log n, whatever their length.
 LONG = 256
+#: Pairs of symbols below this are looked up in a table, others by binary search.
+DENSE = 1024
 _NONE = np.iinfo(np.int64).max
 
 
@@ -33,11 +35,19 @@ class Pairs:
         self.rank = np.fromiter((r for r, _ in table.values()), np.int64, len(table))[order]
         self.made = np.fromiter((m for _, m in table.values()), np.int64, len(table))[order]
 
+        low = np.flatnonzero((self.keys >> 32 < DENSE) & (self.keys & 0xFFFFFFFF < DENSE))
+        self.dense = np.full(DENSE * DENSE, -1, np.int32)
+        self.dense[(self.keys[low] >> 32) * DENSE + (self.keys[low] & 0xFFFFFFFF)] = low
+
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (_NONE: can't merge) and its place in the table."""
-        key = (left << 32) | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.rank[at], _NONE), at
+        at = self.dense[np.minimum(left, DENSE - 1) * DENSE + np.minimum(right, DENSE - 1)]
+        far = np.flatnonzero((left >= DENSE - 1) | (right >= DENSE - 1))
+        if len(far):
+            key = (left[far] << 32) | right[far]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            at[far] = np.where(self.keys[place] == key, place, -1)
+        return np.where(at >= 0, self.rank[at], _NONE), at
 
 
 def merge_all(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> list[bytes]:
@@ -133,6 +143,17 @@ _SPACE = "\\t-\\r \\x85\\xa0"
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+")
 
 
+def holes(parts: list) -> list[int]:
+    """Places of None."""
+    at, i = [], -1
+    try:
+        while True:
+            i = parts.index(None, i + 1)
+            at.append(i)
+    except ValueError:
+        return at
+
+
 class WordBpe:
     """Lower-casing BPE with word ends, as the library for word_bpe_49k.json gives it.
 
@@ -185,18 +206,20 @@ class WordBpe:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.ids) > MEMO:
             self.ids.clear()
-        get, out = self.ids.get, []
-        for t in texts:
+        words: list[str] = []
+        ends, fixed = [0], {}
+        for i, t in enumerate(texts):
             if "<|" in t and any(x in t for x in self.special):
-                out.append((None, [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]))
+                fixed[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                words = self.words(t)
-                out.append((words, list(map(get, words))))
-        holes = [(words, parts) for words, parts in out if None in parts]
-        self.learn({w for words, parts in holes for w, p in zip(words, parts, strict=True) if p is None})
-        for words, parts in holes:
-            parts[:] = map(get, words)
-        return [b"".join(parts) for _, parts in out]
+                words += self.words(t)
+            ends.append(len(words))
+        parts = list(map(self.ids.get, words))
+        if at := holes(parts):
+            self.learn({words[i] for i in at})
+            for i in at:
+                parts[i] = self.ids[words[i]]
+        return [fixed[i] if i in fixed else b"".join(parts[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:]))]  # noqa: B905
 
 
 @lru_cache(maxsize=1)
@@ -352,14 +375,14 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        joined, at, stop, counts = self.offsets(texts)
-        pieces = [joined[a:b] for a, b in zip(at.tolist(), stop.tolist(), strict=True)]
+        joined, begin, stop, counts = self.offsets(texts)
+        pieces = [joined[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
         if len(self.memo) > MEMO:
             self.memo.clear()
         new, parts = [], []
-        get = self.memo.get
-        found = list(map(get, pieces))
-        for p in {p for p, ids in zip(pieces, found, strict=True) if ids is None} if None in found else ():
+        found = list(map(self.memo.get, pieces))
+        at = holes(found)
+        for p in {pieces[i] for i in at}:
             if (whole := self.ranks.get(b := p.encode())) is not None:
                 self.memo[p] = whole.to_bytes(4, "little")
             else:
@@ -369,8 +392,8 @@ class ByteBpe:
             lengths = np.fromiter(map(len, parts), np.int64, len(parts))
             flat = self.single[np.frombuffer(b"".join(parts), np.uint8)]
             self.memo.update(zip(new, merge_all(flat, lengths, self.pairs), strict=True))
-        if None in found:
-            found = list(map(get, pieces))
+        for i in at:
+            found[i] = self.memo[pieces[i]]
         cut = np.concatenate(([0], np.cumsum(counts))).tolist()
         return [np.frombuffer(b"".join(found[a:b]), "<u4").tolist() for a, b in zip(cut, cut[1:])]  # noqa: B905
 

@@ -27,6 +27,8 @@ NUMERATOR, DENOMINATOR = 3, 4
 STRETCH, MET, COMMON, MOST = 4_000_000, 3, 16, 1 << 18
 #: Prefix shingles of a shard, and pairs of a verifying group.
 SHARD, VERIFY = 400_000, 2000
+#: Groups that share a rare shingle are all paired up to this number; more are linked to hubs first.
+FEW = 4
 
 
 def shingle_sets(texts: list[bytes], known: WordHashes, distinct: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -152,6 +154,11 @@ def prefixes(docs: DataFrame, common: tuple[bytes, bytes]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, n long, cid long, pkey long, heavy int, prefix array<long>")
 
 
+def prefix_size(n):
+    """Shingles of the prefix of a set of ``n``."""
+    return n - -(-n * NUMERATOR // DENOMINATOR) + 1
+
+
 def enough(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray) -> np.ndarray:
     """Whether two sets that share the shingles at these places of their orders may be alike."""
     small, large = np.minimum(na, nb), np.maximum(na, nb)
@@ -159,18 +166,25 @@ def enough(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray) -> n
     return (small * DENOMINATOR >= large * NUMERATOR) & (best * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (na + nb))
 
 
-def rare_pairs(rows: DataFrame, shards: int) -> DataFrame:
-    """(a, b): pairs of groups (by pkey, a < b) that share enough prefix shingles that are not common.
+def need(na, nb, largest):
+    """Shingles that the prefixes of two alike sets share at least: what both share, less what one of them
+    holds beyond its prefix."""
+    return -(-NUMERATOR * (na + nb) // (NUMERATOR + DENOMINATOR)) - largest(na - prefix_size(na), nb - prefix_size(nb))
+
 
-    Two sets share no more than what their prefixes share and what one of them holds beyond its prefix;
-    a pair whose prefixes share too little for that to suffice goes.
+def meetings(rows: DataFrame, shards: int) -> DataFrame:
+    """What groups share in their prefixes, common shingles aside.
+
+    For a shingle of FEW groups or less, (0, a, b, shingles met, need) of each pair of groups a < b that
+    the size and position filters pass, counted within a shard; for another, (1, shingle, group, size,
+    place) of each of its groups.
     """
-    schema = pa.schema([("shard", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("pos", pa.binary()), ("pkey", pa.binary()), ("n", pa.binary()), ("own", pa.binary())])
+    schema = pa.schema([("shard", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("pos", pa.binary()), ("pkey", pa.binary()), ("n", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keys, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keys = batch.column(0).to_numpy()
             new = []
             for i, k in enumerate(keys.tolist()):
                 if k not in seen:  # copies in one task send their prefix once
@@ -186,51 +200,53 @@ def rare_pairs(rows: DataFrame, shards: int) -> DataFrame:
                 pos = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
                 h = lists.flatten().to_numpy()[np.repeat(first, own) + pos].view(np.uint64)
                 g = np.repeat(np.arange(len(own)), own)
-                shard = ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                # prefixes hold low hashes, so these are mixed before they are dealt
+                shard = ((mix(h) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 cut = np.flatnonzero(np.concatenate(([True], np.diff(shard[order]) > 0))) if len(order) else np.zeros(0, np.int64)
                 out = []
                 for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
                     at = order[x:y]
                     groups, local = np.unique(g[at], return_inverse=True)
-                    out.append((int(shard[at[0]]), h[at].tobytes(), local.astype("<u2").tobytes(), pos[at].astype("<u4").tobytes(), part.column(0).to_numpy()[groups].tobytes(), part.column(1).to_numpy()[groups].astype("<u4").tobytes(), own[groups].astype("<u4").tobytes()))
+                    out.append((int(shard[at[0]]), h[at].tobytes(), local.astype("<u2").tobytes(), pos[at].astype("<u4").tobytes(), part.column(0).to_numpy()[groups].tobytes(), part.column(1).to_numpy()[groups].astype("<u4").tobytes()))
                 if out:
                     yield record(schema, zip(*out, strict=True))
 
-    pair_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("met", pa.int64()), ("need", pa.int64())])
+    out_schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("met", pa.int64()), ("need", pa.int64())])
 
     def meet(table: pa.Table) -> pa.Table:
         read = lambda name, kind: [np.frombuffer(x, kind) for x in table[name].to_pylist()]
-        gs, keys, ns, owns = read("g", "<u2"), read("pkey", np.int64), read("n", "<u4"), read("own", "<u4")
+        gs, keys, ns = read("g", "<u2"), read("pkey", np.int64), read("n", "<u4")
         h, pos = np.concatenate(read("h", np.uint64)), np.concatenate(read("pos", "<u4")).astype(np.int64)
         key = np.concatenate([k[g] for k, g in zip(keys, gs, strict=True)])
         n = np.concatenate([k[g] for k, g in zip(ns, gs, strict=True)]).astype(np.int64)
-        beyond = n - np.concatenate([k[g] for k, g in zip(owns, gs, strict=True)]).astype(np.int64)
-        order = np.argsort(h, kind="stable")
-        same = np.concatenate((h[order[1:]] == h[order[:-1]], [False]))
-        near = same | np.concatenate(([False], same[:-1]))
-        order = order[near]
-        h, pos, key, n, beyond = h[order], pos[order], key[order], n[order], beyond[order]
-        found, gap = [np.zeros((0, 3), np.int64)], 1
-        while gap < len(h):
+        order = np.lexsort((key, h))
+        h, pos, key, n = h[order], pos[order], key[order], n[order]
+        once = np.concatenate(([True], (h[1:] != h[:-1]) | (key[1:] != key[:-1])))  # tasks may send one group each
+        h, pos, key, n = h[once], pos[once], key[once], n[once]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        many = np.repeat(np.diff(np.append(first, len(h))), np.diff(np.append(first, len(h))))
+        large = many > FEW
+        buckets = (h[large].view(np.int64), key[large], n[large], pos[large])
+        small = (many > 1) & ~large
+        h, pos, key, n = h[small], pos[small], key[small], n[small]
+        found = [np.zeros((0, 3), np.int64)]
+        for gap in range(1, FEW):
             i = np.flatnonzero(h[gap:] == h[:-gap])
-            if not len(i):
-                break
             j = i + gap
-            ok = (key[i] != key[j]) & enough(n[i], n[j], pos[i], pos[j])
+            ok = enough(n[i], n[j], pos[i], pos[j])
             i, j = i[ok], j[ok]
-            least = -(-NUMERATOR * (n[i] + n[j]) // (NUMERATOR + DENOMINATOR)) - np.maximum(beyond[i], beyond[j])
-            found.append(np.stack((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), least), 1))
-            gap += 1
+            found.append(np.stack((key[i], key[j], need(n[i], n[j], np.maximum)), 1))
         met = np.concatenate(found)
         met = met[np.lexsort((met[:, 1], met[:, 0]))]
         first = np.flatnonzero(np.concatenate(([True], (met[1:, :2] != met[:-1, :2]).any(1)))) if len(met) else np.zeros(0, np.int64)
         times = np.diff(np.append(first, len(met)))
-        return pa.Table.from_arrays([pa.array(met[first, 0]), pa.array(met[first, 1]), pa.array(times), pa.array(met[first, 2])], schema=pair_schema)
+        columns = zip(buckets, (met[first, 0], met[first, 1], times, met[first, 2]), strict=True)
+        kind = np.repeat([1, 0], [len(buckets[0]), len(first)]).astype(np.int32)
+        return pa.Table.from_arrays([pa.array(kind), *(pa.array(np.concatenate(c)) for c in columns)], schema=out_schema)
 
-    dealt = rows.select("pkey", "n", "heavy", "prefix").mapInArrow(deal, "shard long, h binary, g binary, pos binary, pkey binary, n binary, own binary")
-    pairs = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, met long, need long")
-    return pairs.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
+    dealt = rows.select("pkey", "n", "heavy", "prefix").mapInArrow(deal, "shard long, h binary, g binary, pos binary, pkey binary, n binary")
+    return dealt.groupBy("shard").applyInArrow(meet, "kind int, a long, b long, met long, need long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -278,49 +294,60 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     are compared once.  A null or wordless text has no shingles and is a component of its own; repeated
     rows belong to one class; an empty table gives none.
 
-    Pairs of groups that share a rare shingle are all verified.  Those that share a common one (a large
-    cluster of near copies) are first linked to two hubs of the shingle; afterwards only documents that
-    are still in different components are compared, so a cluster costs its size and not its square, yet
-    no link between components is missed.
+    Groups that share a shingle of few groups are paired and, if they share enough, verified.  Groups that
+    share one of many (a cluster of near copies, or a passage) are first linked to two hubs of it; after
+    that only groups which are still in different components are compared, so a cluster costs its size
+    and not its square, yet no link between components is missed.
     """
     common = common_shingles(docs, scratch)
     rows = scratch.save(prefixes(docs, common), "prefixes")
     real = rows.where("n > 0")
     classes = scratch.save(real.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("pkey").alias("pkey")), "classes")
     total = real.agg(F.sum(F.size("prefix") - F.col("heavy")).alias("k")).first()["k"] or 0
-    group_pairs = scratch.save(rare_pairs(real, max(1, -(-int(total) // SHARD))), "groups")
-    members = classes.select("pkey", "cid")
-    rare = group_pairs.join(members.toDF("a", "x"), "a").join(members.toDF("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-    # common shingles, and groups of several classes: (bucket, cid, n, place of the shingle)
-    tails = real.where("heavy > 0").select("pkey", F.expr("slice(prefix, size(prefix) - heavy + 1, heavy)").alias("t"), (F.size("prefix") - F.col("heavy")).alias("base")).dropDuplicates(["pkey"])
-    common_rows = tails.select("pkey", "base", F.posexplode("t").alias("i", "h")).join(classes, "pkey").select(F.xxhash64(F.lit("shingle"), "h").alias("bucket"), "cid", "n", (F.col("base") + F.col("i")).alias("pos"))
-    several = classes.groupBy("pkey").agg(F.count("*").alias("k")).where("k > 1").select("pkey")
-    group_rows = classes.join(several, "pkey").select(F.xxhash64(F.lit("group"), "pkey").alias("bucket"), "cid", "n", F.lit(0).alias("pos"))
-    buckets = scratch.save(common_rows.unionByName(group_rows), "buckets")
-    hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "cid", "n")).alias("p"), F.min(F.struct(F.xxhash64("cid", "bucket").alias("r"), F.col("cid"), F.col("n"))).alias("q"))
-    hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.cid", "p.n"), F.struct("q.cid", "q.n"))).alias("hub"))
+    met = scratch.save(meetings(real, max(1, -(-int(total) // SHARD))), "met")
+    few = scratch.save(met.where("kind = 0").groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need")), "few")
+
+    # (bucket, group, n, place): the groups of each shingle that many have
+    tails = real.where("heavy > 0").select("pkey", "n", F.expr("slice(prefix, size(prefix) - heavy + 1, heavy)").alias("t"), (F.size("prefix") - F.col("heavy")).alias("base")).dropDuplicates(["pkey"])
+    heavy = tails.select(F.posexplode("t").alias("i", "bucket"), "pkey", "n", "base").select("bucket", "pkey", "n", (F.col("base") + F.col("i")).cast("long").alias("pos"))
+    large = met.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("pkey"), F.col("met").alias("n"), F.col("need").alias("pos"))
+    buckets = scratch.save(large.unionByName(heavy), "buckets")
+    hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"))).alias("q"))
+    hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n"), F.struct("q.pkey", "q.n"))).alias("hub"))
     fits = lambda x, y: (F.least(x, y) * DENOMINATOR >= F.greatest(x, y) * NUMERATOR)
-    starred = buckets.join(hubs, "bucket").where((F.col("cid") != F.col("hub.cid")) & fits(F.col("n"), F.col("hub.n"))).select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b"))
+    starred = buckets.join(hubs, "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n")))
+    starred = starred.select(F.least("pkey", "hub.pkey").alias("a"), F.greatest("pkey", "hub.pkey").alias("b"))
 
-    first = scratch.save(rare.unionByName(starred).distinct(), "first")
-    bucketed = buckets.select("cid").distinct()
-    wanted = first.select(F.col("a").alias("cid")).union(first.select(F.col("b").alias("cid"))).union(bucketed).distinct()
+    members = classes.select("pkey", "cid")
+    several = classes.groupBy("pkey").agg(F.count("*").alias("k"), F.min("cid").alias("hub")).where("k > 1")
+    in_group = members.join(several, "pkey").where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
+    first = few.where("met >= need").select("a", "b").unionByName(starred.select("a", "b")).distinct()
+    first = scratch.save(_expand(first, members).unionByName(in_group).distinct(), "first")
+    touched = buckets.select("pkey").union(several.select("pkey")).distinct()
+    wanted = first.select(F.col("a").alias("cid")).union(first.select("b")).union(members.join(touched, "pkey").select("cid")).distinct()
     sets = scratch.save(_sets(docs, classes.join(wanted, "cid").select("cid", "rep")), "sets")
     links = verify(first, sets, scratch, "one")
 
+    # what is still apart: pairs of one shingle, counted over all shingles they share
     label = components(links, scratch, "near")
-    placed = buckets.join(label.toDF("cid", "_label"), "cid", "left").withColumn("label", F.coalesce("_label", "cid")).drop("_label")
-    open_ = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    rest = scratch.save(placed.join(open_, "bucket"), "rest")
-    x, y = rest.toDF("bucket", "a", "na", "pa", "la"), rest.toDF("bucket", "b", "nb", "pb", "lb")
-    best = F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    apart = x.join(y, "bucket").where((F.col("la") < F.col("lb")) & fits(F.col("na"), F.col("nb")) & (best * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("na") + F.col("nb"))))
-    second = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    placed = classes.select("pkey", "cid").join(label.toDF("cid", "_label"), "cid", "left").withColumn("label", F.coalesce("_label", "cid"))
+    groups = placed.groupBy("pkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    held = buckets.join(groups, "pkey")
+    open_ = held.groupBy("bucket").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).where("x <> y").select("bucket")
+    rest = scratch.save(held.join(open_, "bucket"), "rest")
+    x, y = _named(rest, "a"), _named(rest, "b")
+    best = F.least("pos_a", "pos_b") + 1 + F.least(F.col("n_a") - F.col("pos_a") - 1, F.col("n_b") - F.col("pos_b") - 1)
+    apart = ~((F.col("lo_a") == F.col("hi_a")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo_a") == F.col("lo_b")))
+    pairs = x.join(y, "bucket").where((F.col("a") < F.col("b")) & apart & fits(F.col("n_a"), F.col("n_b")) & (best * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n_a") + F.col("n_b"))))
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("met"), F.first(F.expr(need_sql("n_a", "n_b"))).alias("need")).join(few.select("a", "b", F.col("met").alias("more")), ["a", "b"], "left")
+    second = _expand(counted.where(F.col("met") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b"), members)
+    inside = placed.join(several.select("pkey"), "pkey").select("pkey", "cid", "label")
+    inside = inside.toDF("pkey", "a", "la").join(inside.toDF("pkey", "b", "lb"), "pkey").where("a < b and la <> lb").select("a", "b")
+    second = second.unionByName(inside).distinct().join(first, ["a", "b"], "left_anti")
     more = verify(second, sets, scratch, "two")
     if not more.isEmpty():
         label = components(links.unionByName(more), scratch, "final")
-    scratch.drop("groups", "buckets", "first", "sets", "rest", "one-pairs", "one-dealt", "two-pairs", "two-dealt")
+    scratch.drop("met", "few", "buckets", "first", "sets", "rest", "one-pairs", "one-dealt", "two-pairs", "two-dealt")
 
     by_class = classes.join(label.toDF("cid", "_label"), "cid", "left").select("cid", "rep", F.coalesce("_label", "cid").alias("label"))
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -329,6 +356,23 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+def need_sql(a: str, b: str) -> str:
+    """``need`` in SQL, for the sizes in two columns."""
+    beyond = lambda n: f"(({n} * {NUMERATOR} + {DENOMINATOR - 1}) div {DENOMINATOR} - 1)"
+    whole = NUMERATOR + DENOMINATOR
+    return f"(({a} + {b}) * {NUMERATOR} + {whole - 1}) div {whole} - greatest({beyond(a)}, {beyond(b)})"
+
+
+def _named(rest: DataFrame, side: str) -> DataFrame:
+    return rest.select("bucket", F.col("pkey").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "pos", "lo", "hi")))
+
+
+def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of groups as pairs of their classes."""
+    both = pairs.join(members.toDF("a", "x"), "a").join(members.toDF("b", "y"), "b")
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cid, shingles) of the classes ``wanted`` (cid, rep), from their smallest documents."""
     schema = pa.schema([("cid", pa.int64()), ("shingles", pa.binary())])

@@ -402,8 +402,58 @@ class Writer:
         columns = df.columns if checked.returning == "*" else checked.returning
         return [r.asDict() for r in df.select(*(quote(c) for c in columns)).collect()]
 
+    def append(self, relation: str, rows: DataFrame) -> WriteResult:
+        """INSERT ... SELECT: add the rows of a DataFrame, columns by name, missing ones NULL.
+
+        The rows are written once; constraints are then checked on the written files with distributed
+        aggregates and joins.  Generated keys are unique and increasing, but not without gaps.
+        """
+
+        def work(tx: Transaction) -> WriteResult:
+            state = tx.state(relation)
+            d = state.domain
+            if unknown := [c for c in rows.columns if c not in d.columns]:
+                raise TarnError("execution_failed", "no such column", columns=unknown)
+            given = {f.name: (F.col(quote(f.name)) if f.name in rows.columns else F.lit(None)).cast(f.dataType) for f in d.schema}
+            if d.generated:
+                fresh_key = (F.monotonically_increasing_id() + state.next_key).cast(d.schema[d.generated].dataType)
+                given[d.generated] = F.coalesce(given[d.generated], fresh_key)
+            after = self.store.added(state, rows.select(*(c.alias(n) for n, c in given.items())))
+            new = self.store.read(replace(after, files=after.files[len(state.files) :]))
+            try:
+                self._bulk_constraints(tx, state, new)
+            except TarnError as e:
+                raise TarnError("execution_failed", e.message, **e.details) from e
+            found = new.agg(F.count("*").alias("n"), *([F.max(quote(d.generated)).alias("top")] if d.generated else [])).first()
+            tx.put(replace(after, next_key=max(state.next_key, (found["top"] or 0) + 1)) if d.generated else after)
+            return WriteResult("insert", found["n"], [], {"dialect": DIALECT})
+
+        return self._guarded(work)
+
     # -------------------------------------------------------------------------- constraints
 
+    def _bulk_constraints(self, tx: Transaction, state: TableState, new: DataFrame) -> None:
+        d = state.domain
+        required = [*d.not_null, *d.key]
+        if required and not new.where(reduce(lambda a, b: a | b, (F.col(quote(c)).isNull() for c in required))).isEmpty():
+            raise TarnError("constraint_violation", "a required column is NULL", table=d.table, columns=sorted(required))
+        for u in d.uniques:
+            keys = new.select(*map(quote, u)).dropna()
+            twice = keys.groupBy(*map(quote, u)).count().where("count > 1")
+            if not twice.isEmpty() or state.files and not self.store.read(state).select(*map(quote, u)).join(keys, list(u), "left_semi").isEmpty():
+                raise TarnError("constraint_violation", "a unique key is taken", table=d.table, columns=list(u))
+        self._references(tx, d, new, new)
+
+    def _references(self, tx: Transaction, d, rows: DataFrame, own: DataFrame | None = None) -> None:
+        """Every reference of ``rows`` has a target; ``own`` are rows of the same table that count too."""
+        for r in d.refs if self.store.foreign_keys else ():
+            values = rows.select(F.col(quote(r.field)).alias("_v")).dropna().distinct()
+            targets = tx.read(r.table)
+            if own is not None and r.table == d.table:
+                targets = targets.unionByName(own)
+            if not values.join(targets.select(F.col(quote(r.target_field)).alias("_v")), "_v", "left_anti").isEmpty():
+                raise TarnError("constraint_violation", "a reference has no target", table=d.table, field=r.field)
+
     def _constraints(self, tx: Transaction, state: TableState, rows: DataFrame, among: DataFrame | None = None) -> None:
         """NOT NULL, UNIQUE and references of new or changed rows.  ``among`` is the whole table after the
         change where a unique column changed; for a new row its key is looked up in the table before."""
@@ -425,11 +475,7 @@ class Writer:
                 bad = False
             if bad:
                 raise TarnError("constraint_violation", "a unique key is taken", table=d.table, columns=list(u))
-        if self.store.foreign_keys:
-            for r in d.refs:
-                values = rows.select(F.col(quote(r.field)).alias("_v")).dropna().distinct()
-                if not values.join(tx.read(r.table).select(F.col(quote(r.target_field)).alias("_v")), "_v", "left_anti").isEmpty():
-                    raise TarnError("constraint_violation", "a reference has no target", table=d.table, field=r.field)
+        self._references(tx, d, rows)
 
     def _still_referred(self, tx: Transaction, state: TableState, fresh: TableState, gone: DataFrame) -> None:
         if not self.store.foreign_keys:

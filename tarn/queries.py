@@ -507,3 +507,19 @@ def write_graph(s):
     Writer(store).execute(Graph(nodes, ("root", "root")))
     new = store.table("customer").where("c_name = 'Parent'").select(F.lit("customer").alias("relation"), F.col("c_custkey").alias("k"), F.col("c_custkey").alias("parent"))
     return new.union(store.table("orders").where("o_orderstatus = 'N'").select(F.lit("orders"), "o_orderkey", "o_custkey"))
+
+
+@query(_C + " UNION ALL SELECT c_custkey + 900000000, c_name, c_nationkey::BIGINT, c_acctbal, 'COPY' FROM customer WHERE c_nationkey < 5")
+def write_insert_select(s):
+    store = _store(s)
+    Writer(store).append("customer", s.table("customer").where("c_nationkey < 5").withColumns({"c_custkey": F.col("c_custkey") + 900000000, "c_mktsegment": F.lit("COPY")}))
+    return store.table("customer")
+
+
+@query("SELECT 1 AS active, 12.5 AS amount UNION ALL SELECT 1, 20.25")
+def typed_parameters(s):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("active", T.IntegerType()), T.StructField("amount", T.DecimalType(12, 2))])
+    df = s.spark.createDataFrame([(0, Decimal("7.50")), (1, Decimal("12.50")), (1, Decimal("20.25"))], schema)
+    return s.query(df).filter(("and", [("eq", "active", True), ("gt", "amount", Decimal(10))])).df

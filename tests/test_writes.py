@@ -176,3 +176,16 @@ def test_cardinalities():
 
 def test_domains_are_checked():
     assert kind(Domain, "t", {"a": "int"}, key=("b",))[0] == "invalid_domain"
+
+
+def test_append_many(spark, store, writer):
+    rows = spark.range(50).selectExpr("7 AS tenant_id", "concat('e', id) AS external_id", "concat('n', id) AS name")
+    assert writer.append("items", rows).affected_rows == 50
+    ids = {r["id"] for r in store.table("items").collect()}
+    assert len(ids) == 50 and writer.execute(item("single", "S")).rows[0]["id"] > max(ids)
+    assert kind(writer.append, "items", rows)[0] == "execution_failed"
+    assert kind(writer.append, "items", rows.selectExpr("8 AS tenant_id", "'same' AS external_id", "name"))[0] == "execution_failed"
+    assert kind(writer.append, "items", rows.drop("name"))[0] == "execution_failed"
+    assert kind(writer.append, "items", rows.selectExpr("*", "1 AS other"))[0] == "execution_failed"
+    assert kind(writer.append, "children", spark.sql("SELECT 7 AS tenant_id, 12345 AS item_id, 'x' AS name"))[0] == "execution_failed"
+    assert store.table("items").count() == 51 and store.table("children").count() == 0

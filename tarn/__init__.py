@@ -3,12 +3,13 @@
 from .domain import Domain, Reference
 from .errors import TarnError
 from .plans.capabilities import capability, supports, write_capabilities
+from .plans.statements import Statements
 from .plans.writes import Batch, Binding, Command, Graph, Node, Row, Writer
 from .query import Query
 from .session import Result, Session, connect, disconnect
 from .sources.store import Store
 
 __all__ = [
-    "Batch", "Binding", "Command", "Domain", "Graph", "Node", "Query", "Reference", "Result", "Row", "Session", "Store",
+    "Batch", "Binding", "Command", "Domain", "Graph", "Node", "Query", "Reference", "Result", "Row", "Session", "Statements", "Store",
     "TarnError", "Writer", "capability", "connect", "disconnect", "supports", "write_capabilities",
 ]

@@ -86,6 +86,14 @@ class Session:
             raise TarnError("invalid_command", "no such table", table=name)
         return self.spark.read.parquet(f"{root}/{rest or first}.parquet")
 
+    def store(self, root: str | None = None) -> Any:
+        """A table store with this session's settings, in the session's folder unless told otherwise."""
+        from .sources.store import Store
+
+        if root is None and self.database is None:
+            raise TarnError("invalid_command", "a store needs a folder")
+        return Store(self.spark, root or self.database, foreign_keys=self.foreign_keys, busy_timeout=self.busy_timeout)
+
     def query(self, source: str | DataFrame) -> Any:
         from .query import Query
 

@@ -347,12 +347,13 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     more = verify(second, sets, scratch, "two")
     if not more.isEmpty():
         label = components(links.unionByName(more), scratch, "final")
-    scratch.drop("met", "few", "buckets", "first", "sets", "rest", "one-pairs", "one-dealt", "two-pairs", "two-dealt")
+    slim = scratch.save(rows.select("doc_id", "n", "cid"), "slim")
+    scratch.drop("prefixes", "met", "few", "buckets", "first", "sets", "rest", "one-pairs", "one-dealt", "two-pairs", "two-dealt")
 
     by_class = classes.join(label.toDF("cid", "_label"), "cid", "left").select("cid", "rep", F.coalesce("_label", "cid").alias("label"))
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = scratch.save(by_class.join(least, "label").select("cid", "component_id", F.col("rep").alias("class_id")), "known")
-    out = rows.select("doc_id", "n", "cid").join(known, "cid", "left")
+    out = slim.join(known, "cid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 

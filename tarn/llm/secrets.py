@@ -22,7 +22,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: Candidate strings: runs of base64 and URL-safe characters of at least a window's length.
 WINDOW = 24
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
-#: Bits a character that a window must reach, for each class of candidate.
+#: Bits a character that a window must reach, for each class of candidate (digits alone never do).
 BITS = {"digits": 9.0, "hex": 3.4, "alpha": 4.3, "mixed": 4.0}
 #: Candidates that are no secrets: dashed or underscored words, paths of words, UUIDs, one repeated unit.
 ALLOWED = re.compile(r"(?:[a-zA-Z]+[-_/]+)*[a-zA-Z]*|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(.{1,8}?)\1+.{0,8}")

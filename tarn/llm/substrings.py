@@ -154,8 +154,9 @@ def repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int =
     cuts = met.join(parts, ["h", "seg", "n"]).select("doc_id", "_text", "pos", mine.alias("p")).where(F.size("p") > 0)
     cuts = cuts.select("doc_id", "_text", F.explode(F.expr(f"transform(p, x -> struct(pos + x.at as a, pos + x.at + x.n + {window - 1} as b))")).alias("c"))
     cuts = scratch.save(cuts.groupBy("doc_id", "_text").agg(F.collect_set("c").alias("_cuts")), "cuts")
-    scratch.drop("shared", "met", "carriers", "found")
-    return rows.drop("_runs"), cuts
+    slim = scratch.save(rows.drop("_runs"), "slim")
+    scratch.drop("rows", "shared", "met", "carriers", "found")
+    return slim, cuts
 
 
 def _kept(words: list[bytes], cuts: list[dict]) -> np.ndarray:

@@ -255,7 +255,6 @@ def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> Da
     Pairs are dealt by their documents' smallest partner, so that those of a cluster meet and a set is
     sent about once; a document with many partners is split over several groups.
     """
-    pairs = scratch.save(pairs, f"{name}-pairs")
     total = pairs.count()
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nearest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("_key"))
@@ -311,11 +310,22 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     tails = real.where("heavy > 0").select("pkey", "n", F.expr("slice(prefix, size(prefix) - heavy + 1, heavy)").alias("t"), (F.size("prefix") - F.col("heavy")).alias("base")).dropDuplicates(["pkey"])
     heavy = tails.select(F.posexplode("t").alias("i", "bucket"), "pkey", "n", "base").select("bucket", "pkey", "n", (F.col("base") + F.col("i")).cast("long").alias("pos"))
     large = met.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("pkey"), F.col("met").alias("n"), F.col("need").alias("pos"))
-    buckets = scratch.save(large.unionByName(heavy), "buckets")
-    hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"))).alias("q"))
-    hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n"), F.struct("q.pkey", "q.n"))).alias("hub"))
-    fits = lambda x, y: (F.least(x, y) * DENOMINATOR >= F.greatest(x, y) * NUMERATOR)
-    starred = buckets.join(hubs, "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n")))
+    buckets = scratch.save(large.unionByName(heavy), "entries")
+    # what a group can share with an alike one: all but the prefix shingles that it alone has
+    alone = few.select(F.col("a").alias("pkey"), "met").unionByName(few.select(F.col("b").alias("pkey"), "met")).groupBy("pkey").agg(F.sum("met").alias("met"))
+    caps = buckets.groupBy("pkey").agg(F.count("*").alias("k")).join(alone, "pkey", "left").select("pkey", (F.col("k") + F.coalesce("met", F.lit(0))).alias("shared"))
+    own = F.greatest(F.lit(0), F.expr(f"n - (n * {NUMERATOR} + {DENOMINATOR - 1}) div {DENOMINATOR} + 1") - F.col("shared"))
+    buckets = buckets.join(caps, "pkey").select("bucket", "pkey", "n", "pos", (F.col("n") - own).alias("cap"))
+    buckets = scratch.save(buckets.where(F.col("cap") * DENOMINATOR >= F.col("n") * NUMERATOR), "buckets")
+    hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n", "cap")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"), F.col("cap"))).alias("q"))
+    hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n", "p.cap"), F.struct("q.pkey", "q.n", "q.cap"))).alias("hub"))
+
+    def fits(x, y, cap_x, cap_y):
+        """Sizes alike enough, and each can share as much as an alike pair does."""
+        least = NUMERATOR * (x + y)
+        return (F.least(x, y) * DENOMINATOR >= F.greatest(x, y) * NUMERATOR) & (F.least(cap_x, cap_y) * (NUMERATOR + DENOMINATOR) >= least)
+
+    starred = buckets.join(hubs, "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n"), F.col("cap"), F.col("hub.cap")))
     starred = starred.select(F.least("pkey", "hub.pkey").alias("a"), F.greatest("pkey", "hub.pkey").alias("b"))
 
     members = classes.select("pkey", "cid")
@@ -323,10 +333,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     in_group = members.join(several, "pkey").where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
     first = few.where("met >= need").select("a", "b").unionByName(starred.select("a", "b")).distinct()
     first = scratch.save(_expand(first, members).unionByName(in_group).distinct(), "first")
-    touched = buckets.select("pkey").union(several.select("pkey")).distinct()
-    wanted = first.select(F.col("a").alias("cid")).union(first.select("b")).union(members.join(touched, "pkey").select("cid")).distinct()
-    sets = scratch.save(_sets(docs, classes.join(wanted, "cid").select("cid", "rep")), "sets")
-    links = verify(first, sets, scratch, "one")
+    links = verify(first, _sets(docs, classes, first), scratch, "one")
 
     # what is still apart: pairs of one shingle, counted over all shingles they share
     label = components(links, scratch, "near")
@@ -338,17 +345,17 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     x, y = _named(rest, "a"), _named(rest, "b")
     best = F.least("pos_a", "pos_b") + 1 + F.least(F.col("n_a") - F.col("pos_a") - 1, F.col("n_b") - F.col("pos_b") - 1)
     apart = ~((F.col("lo_a") == F.col("hi_a")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo_a") == F.col("lo_b")))
-    pairs = x.join(y, "bucket").where((F.col("a") < F.col("b")) & apart & fits(F.col("n_a"), F.col("n_b")) & (best * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n_a") + F.col("n_b"))))
+    pairs = x.join(y, "bucket").where((F.col("a") < F.col("b")) & apart & fits(F.col("n_a"), F.col("n_b"), F.col("cap_a"), F.col("cap_b")) & (best * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n_a") + F.col("n_b"))))
     counted = pairs.groupBy("a", "b").agg(F.count("*").alias("met"), F.first(F.expr(need_sql("n_a", "n_b"))).alias("need")).join(few.select("a", "b", F.col("met").alias("more")), ["a", "b"], "left")
     second = _expand(counted.where(F.col("met") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b"), members)
     inside = placed.join(several.select("pkey"), "pkey").select("pkey", "cid", "label")
     inside = inside.toDF("pkey", "a", "la").join(inside.toDF("pkey", "b", "lb"), "pkey").where("a < b and la <> lb").select("a", "b")
-    second = second.unionByName(inside).distinct().join(first, ["a", "b"], "left_anti")
-    more = verify(second, sets, scratch, "two")
+    second = scratch.save(second.unionByName(inside).distinct().join(first, ["a", "b"], "left_anti"), "second")
+    more = verify(second, _sets(docs, classes, second), scratch, "two")
     if not more.isEmpty():
         label = components(links.unionByName(more), scratch, "final")
     slim = scratch.save(rows.select("doc_id", "n", "cid"), "slim")
-    scratch.drop("prefixes", "met", "few", "buckets", "first", "sets", "rest", "one-pairs", "one-dealt", "two-pairs", "two-dealt")
+    scratch.drop("prefixes", "met", "few", "entries", "buckets", "first", "rest", "second", "one-dealt", "two-dealt")
 
     by_class = classes.join(label.toDF("cid", "_label"), "cid", "left").select("cid", "rep", F.coalesce("_label", "cid").alias("label"))
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -365,7 +372,7 @@ def need_sql(a: str, b: str) -> str:
 
 
 def _named(rest: DataFrame, side: str) -> DataFrame:
-    return rest.select("bucket", F.col("pkey").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "pos", "lo", "hi")))
+    return rest.select("bucket", F.col("pkey").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "pos", "cap", "lo", "hi")))
 
 
 def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -374,8 +381,10 @@ def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cid, shingles) of the classes ``wanted`` (cid, rep), from their smallest documents."""
+def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cid, shingles) of the classes in ``pairs``, from their smallest documents."""
+    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    wanted = classes.join(wanted, "cid").select("cid", "rep")
     schema = pa.schema([("cid", pa.int64()), ("shingles", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -115,9 +115,9 @@ def common_shingles(docs: DataFrame, scratch: Scratch) -> tuple[bytes, bytes]:
 
 
 def prefixes(docs: DataFrame, common: tuple[bytes, bytes]) -> DataFrame:
-    """doc_id, n (set size), cid (hash of the set), pkey (hash of prefix and size), prefix, heavy (how
-    many common shingles end the prefix); without words n is 0 and the rest null."""
-    names = [("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("pkey", pa.int64()), ("heavy", pa.int32()), ("prefix", pa.list_(pa.int64()))]
+    """doc_id, tkey (hash of the text), n (set size), cid (hash of the set), pkey (hash of prefix and size),
+    prefix, heavy (how many common shingles end the prefix); without words n is 0 and cid and pkey null."""
+    names = [("doc_id", pa.int64()), ("tkey", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("pkey", pa.int64()), ("heavy", pa.int32()), ("prefix", pa.list_(pa.int64()))]
     schema = pa.schema(names)
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -149,9 +149,9 @@ def prefixes(docs: DataFrame, common: tuple[bytes, bytes]) -> DataFrame:
                     pkey[has] = np.add.reduceat(mix(chosen), bounds[:-1][has])
                 pkey = pair(pkey, sizes.astype(np.uint64))
                 none = ~has
-                yield record(schema, (ids[a:b], sizes, pa.array(cid.view(np.int64), mask=none), pa.array(pkey.view(np.int64), mask=none), heavy.astype(np.int32), pa.ListArray.from_arrays(pa.array(bounds), pa.array(chosen.view(np.int64)))))
+                yield record(schema, (ids[a:b], batch.column(2)[a:b], sizes, pa.array(cid.view(np.int64), mask=none), pa.array(pkey.view(np.int64), mask=none), heavy.astype(np.int32), pa.ListArray.from_arrays(pa.array(bounds), pa.array(chosen.view(np.int64)))))
 
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, n long, cid long, pkey long, heavy int, prefix array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(cut, "doc_id long, tkey long, n long, cid long, pkey long, heavy int, prefix array<long>")
 
 
 def prefix_size(n):
@@ -301,7 +301,9 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     common = common_shingles(docs, scratch)
     rows = scratch.save(prefixes(docs, common), "prefixes")
     real = rows.where("n > 0")
-    classes = scratch.save(real.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("pkey").alias("pkey")), "classes")
+    first_row = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("rep"), F.col("tkey"))).alias("r")
+    classes = real.groupBy("cid").agg(first_row, F.min("n").alias("n"), F.min("pkey").alias("pkey"))
+    classes = scratch.save(classes.select("cid", "r.rep", "r.tkey", "n", "pkey"), "classes")
     total = real.agg(F.sum(F.size("prefix") - F.col("heavy")).alias("k")).first()["k"] or 0
     met = scratch.save(meetings(real, max(1, -(-int(total) // SHARD))), "met")
     few = scratch.save(met.where("kind = 0").groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need")), "few")
@@ -384,7 +386,7 @@ def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(cid, shingles) of the classes in ``pairs``, from their smallest documents."""
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = classes.join(wanted, "cid").select("cid", "rep")
+    wanted = classes.join(wanted, "cid").select("cid", "rep", "tkey")
     schema = pa.schema([("cid", pa.int64()), ("shingles", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,6 +405,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
                 if out:
                     yield record(schema, zip(*out, strict=True))
 
-    near = key_filter(docs.select("doc_id", "text"), F.col("doc_id"), wanted, F.col("rep"))
-    near = near.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("cid", "text")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_tkey"))
+    near = key_filter(texts, F.col("_tkey"), wanted, F.col("tkey"))
+    near = near.join(wanted, (F.col("_tkey") == F.col("tkey")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("cid", "text")
     return near.mapInArrow(read, "cid long, shingles binary")

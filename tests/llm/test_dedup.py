@@ -57,6 +57,8 @@ def near_copies(seed, groups=12, most=14, length=60, noise=3):
     texts += [None, "", " \t\n", "a", "A", "a b c d", "a b c d e", "A B C D E", "no break", "É é", "é É"]
     rows = [(i, t) for i, t in enumerate(texts)]
     rng.shuffle(rows)
+    own = [f"z{i}" for i in range(80)]
+    rows += [(None, " ".join(own)), (None, " ".join(["new", *own[1:]])), (None, " ".join([*own[:-1], "end"]))]
     return [*rows, rows[0], rows[0], (None, rows[1][1])]
 
 

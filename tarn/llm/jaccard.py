@@ -29,6 +29,8 @@ STRETCH, MET, COMMON, MOST = 4_000_000, 3, 16, 1 << 18
 SHARD, VERIFY = 400_000, 2000
 #: Groups that share a rare shingle are all paired up to this number; more are linked to hubs first.
 FEW = 4
+#: Rows of a block of a component's shingles.
+BLOCK = 200_000
 
 
 def shingle_sets(texts: list[bytes], known: WordHashes, distinct: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +266,7 @@ def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> Da
     dealt = keyed.join(many, "_key").select("a", "b", F.pmod(F.xxhash64("_key", F.pmod("a", "_split")), F.lit(groups)).alias("group"))
     dealt = scratch.save(dealt, f"{name}-dealt")
     needed = dealt.select(F.col("group").alias("_group"), F.col("a").alias("cid")).union(dealt.select("group", "b")).distinct()
-    sent = needed.join(sets, "cid")
+    sent = needed.join(sets.hint("merge"), "cid")
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         held = dict(zip(right["cid"].to_pylist(), right["shingles"].to_pylist(), strict=True))
@@ -315,9 +317,9 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     buckets = scratch.save(large.unionByName(heavy), "entries")
     # what a group can share with an alike one: all but the prefix shingles that it alone has
     alone = few.select(F.col("a").alias("pkey"), "met").unionByName(few.select(F.col("b").alias("pkey"), "met")).groupBy("pkey").agg(F.sum("met").alias("met"))
-    caps = buckets.groupBy("pkey").agg(F.count("*").alias("k")).join(alone, "pkey", "left").select("pkey", (F.col("k") + F.coalesce("met", F.lit(0))).alias("shared"))
+    caps = buckets.groupBy("pkey").agg(F.count("*").alias("k")).join(alone, "pkey", "left").select("pkey", F.coalesce("met", F.lit(0)).alias("small"), (F.col("k") + F.coalesce("met", F.lit(0))).alias("shared"))
     own = F.greatest(F.lit(0), F.expr(f"n - (n * {NUMERATOR} + {DENOMINATOR - 1}) div {DENOMINATOR} + 1") - F.col("shared"))
-    buckets = buckets.join(caps, "pkey").select("bucket", "pkey", "n", "pos", (F.col("n") - own).alias("cap"))
+    buckets = buckets.join(caps, "pkey").select("bucket", "pkey", "n", "pos", (F.col("n") - own).alias("cap"), "small")
     buckets = scratch.save(buckets.where(F.col("cap") * DENOMINATOR >= F.col("n") * NUMERATOR), "buckets")
     hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n", "cap")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"), F.col("cap"))).alias("q"))
     hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n", "p.cap"), F.struct("q.pkey", "q.n", "q.cap"))).alias("hub"))
@@ -337,19 +339,14 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     first = scratch.save(_expand(first, members).unionByName(in_group).distinct(), "first")
     links = verify(first, _sets(docs, classes, first), scratch, "one")
 
-    # what is still apart: pairs of one shingle, counted over all shingles they share
+    # what is still apart: groups of a shingle whose groups are not all in one component
     label = components(links, scratch, "near")
     placed = classes.select("pkey", "cid").join(label.toDF("cid", "_label"), "cid", "left").withColumn("label", F.coalesce("_label", "cid"))
     groups = placed.groupBy("pkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     held = buckets.join(groups, "pkey")
     open_ = held.groupBy("bucket").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).where("x <> y").select("bucket")
     rest = scratch.save(held.join(open_, "bucket"), "rest")
-    x, y = _named(rest, "a"), _named(rest, "b")
-    best = F.least("pos_a", "pos_b") + 1 + F.least(F.col("n_a") - F.col("pos_a") - 1, F.col("n_b") - F.col("pos_b") - 1)
-    apart = ~((F.col("lo_a") == F.col("hi_a")) & (F.col("lo_b") == F.col("hi_b")) & (F.col("lo_a") == F.col("lo_b")))
-    pairs = x.join(y, "bucket").where((F.col("a") < F.col("b")) & apart & fits(F.col("n_a"), F.col("n_b"), F.col("cap_a"), F.col("cap_b")) & (best * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n_a") + F.col("n_b"))))
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("met"), F.first(F.expr(need_sql("n_a", "n_b"))).alias("need")).join(few.select("a", "b", F.col("met").alias("more")), ["a", "b"], "left")
-    second = _expand(counted.where(F.col("met") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b"), members)
+    second = _expand(apart_pairs(rest, scratch), members)
     inside = placed.join(several.select("pkey"), "pkey").select("pkey", "cid", "label")
     inside = inside.toDF("pkey", "a", "la").join(inside.toDF("pkey", "b", "lb"), "pkey").where("a < b and la <> lb").select("a", "b")
     second = scratch.save(second.unionByName(inside).distinct().join(first, ["a", "b"], "left_anti"), "second")
@@ -357,7 +354,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     if not more.isEmpty():
         label = components(links.unionByName(more), scratch, "final")
     slim = scratch.save(rows.select("doc_id", "n", "cid"), "slim")
-    scratch.drop("prefixes", "met", "few", "entries", "buckets", "first", "rest", "second", "one-dealt", "two-dealt")
+    scratch.drop("prefixes", "met", "few", "entries", "buckets", "first", "rest", "apart", "second", "one-dealt", "two-dealt")
 
     by_class = classes.join(label.toDF("cid", "_label"), "cid", "left").select("cid", "rep", F.coalesce("_label", "cid").alias("label"))
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -366,15 +363,58 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def need_sql(a: str, b: str) -> str:
-    """``need`` in SQL, for the sizes in two columns."""
-    beyond = lambda n: f"(({n} * {NUMERATOR} + {DENOMINATOR - 1}) div {DENOMINATOR} - 1)"
-    whole = NUMERATOR + DENOMINATOR
-    return f"(({a} + {b}) * {NUMERATOR} + {whole - 1}) div {whole} - greatest({beyond(a)}, {beyond(b)})"
+def apart_pairs(rest: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): groups in different components that may share as many prefix shingles as alike ones do.
 
+    ``rest`` has (bucket, pkey, n, cap, small, lo, hi).  A bucket belongs to the component most of its
+    groups are in, and a component's buckets meet in one place: groups of other components are few there
+    and go to each of its blocks, the component's own groups to one.  Counts are made per block, so a pair
+    is told once however many shingles it shares.  A pair whose shingles fall to several components is
+    told if one of them has its part of what is needed.
+    """
+    owner = rest.groupBy("bucket", "lo").count().groupBy("bucket").agg(F.max(F.struct("count", "lo")).alias("m")).select("bucket", F.col("m.lo").alias("home"))
+    dealt = rest.join(owner, "bucket").withColumn("guest", (F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("home")))
+    sizes = dealt.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    homes = dealt.groupBy("pkey").agg(F.count_distinct("home").alias("homes"))
+    dealt = dealt.join(sizes, "home").join(homes, "pkey")
+    block = F.when(F.col("guest"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("pkey"), F.col("blocks"))))
+    dealt = dealt.select("home", F.explode(block).alias("block"), "bucket", "pkey", "n", "cap", "small", "homes", "guest")
+    dealt = scratch.save(dealt, "apart")
+    shards = max(1, -(-dealt.count() // BLOCK))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-def _named(rest: DataFrame, side: str) -> DataFrame:
-    return rest.select("bucket", F.col("pkey").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "pos", "cap", "lo", "hi")))
+    def meet(table: pa.Table) -> pa.Table:
+        home, block, bucket, key, n, cap, small, homes = (table[c].to_numpy() for c in ("home", "block", "bucket", "pkey", "n", "cap", "small", "homes"))
+        guest = table["guest"].to_numpy()
+        order = np.lexsort((bucket, block, home))
+        place = np.stack((home, block), 1)[order]
+        cut = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]).any(1)))) if len(order) else np.zeros(0, np.int64)
+        found = [np.zeros((0, 2), np.int64)]
+        for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
+            at = order[x:y]
+            docs, first, doc = np.unique(key[at], return_index=True, return_inverse=True)
+            size, most, few, kinds, away = n[at][first], cap[at][first], small[at][first], homes[at][first], np.zeros(len(docs), bool)
+            np.logical_or.at(away, doc, guest[at])
+            begin = np.flatnonzero(np.concatenate(([True], np.diff(bucket[at]) != 0)))
+            stop, part = np.append(begin[1:], len(at)), np.zeros(len(at), np.int64)
+            part[begin] = 1
+            part = np.cumsum(part) - 1
+            by_doc = np.argsort(doc, kind="stable")
+            bounds = np.searchsorted(doc[by_doc], np.arange(len(docs) + 1))
+            for i in np.flatnonzero(away).tolist():
+                own = part[by_doc[bounds[i] : bounds[i + 1]]]
+                met = np.bincount(np.concatenate([doc[begin[p] : stop[p]] for p in own.tolist()]), minlength=len(docs))
+                j = np.flatnonzero((met > 0) & (~away | (np.arange(len(docs)) > i)))
+                both = size[i] + size[j]
+                ok = (np.minimum(size[i], size[j]) * DENOMINATOR >= np.maximum(size[i], size[j]) * NUMERATOR) & (np.minimum(most[i], most[j]) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * both)
+                ok &= met[j] * np.minimum(kinds[i], kinds[j]) + np.minimum(few[i], few[j]) >= need(size[i], size[j], np.maximum)
+                j = j[ok]
+                found.append(np.stack((np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j])), 1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("home", "block"), F.lit(shards)))
+    return dealt.groupBy("shard").applyInArrow(meet, "a long, b long").distinct()
 
 
 def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -407,5 +447,5 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_tkey"))
     near = key_filter(texts, F.col("_tkey"), wanted, F.col("tkey"))
-    near = near.join(wanted, (F.col("_tkey") == F.col("tkey")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("cid", "text")
+    near = near.join(wanted.hint("merge"), (F.col("_tkey") == F.col("tkey")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("cid", "text")
     return near.mapInArrow(read, "cid long, shingles binary")

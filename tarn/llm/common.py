@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,25 +70,41 @@ def key_filter(rows: DataFrame, row_key, keys: DataFrame, key) -> DataFrame:
     return marked.join(F.broadcast(words), "_word").where(hit).drop("_word", "_at", "_bits")
 
 
-def slices(batch: pa.RecordBatch, texts: list, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
+class Texts:
+    """Texts of a column, converted only where they are asked for; null is empty."""
+
+    def __init__(self, column: pa.Array, kind: pa.DataType) -> None:
+        self.column, self.kind, self.empty = column, kind, b"" if kind == pa.binary() else ""
+        self.sizes = pc.fill_null(pc.binary_length(column.cast(pa.binary())), 0).to_pylist()
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            return [self.empty if x is None else x for x in self.column[at].cast(self.kind).to_pylist()]
+        return self[at : at + 1][0]
+
+
+def slices(batch: pa.RecordBatch, texts: Texts, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes (one row at least): bounded memory however long texts are."""
     at = held = 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > most:
+    for i, n in enumerate(texts.sizes):
+        if held and held + n > most:
             yield at, i
             at, held = i, 0
-        held += len(t) + 1
+        held += n + 1
     if at < len(texts):
         yield at, len(texts)
 
 
-def as_bytes(column: pa.Array) -> list[bytes]:
-    """UTF-8 of each text; null is empty."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+def as_bytes(column: pa.Array) -> Texts:
+    """UTF-8 of each text."""
+    return Texts(column, pa.binary())
 
 
-def as_text(column: pa.Array) -> list[str]:
-    return [x or "" for x in column.to_pylist()]
+def as_text(column: pa.Array) -> Texts:
+    return Texts(column, pa.string())
 
 
 def record(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:

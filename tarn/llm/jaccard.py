@@ -24,9 +24,9 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 3, 4
 #: The frequency table orders shingles, it decides nothing: shingles met MET times in a stretch of
 #: STRETCH shingles are counted, and those counted COMMON times, the most frequent MOST at most, go last.
-STRETCH, MET, COMMON, MOST = 4_000_000, 3, 16, 1 << 18
+STRETCH, MET, COMMON, MOST = 1_500_000, 3, 16, 1 << 18
 #: Prefix shingles of a shard, and pairs of a verifying group.
-SHARD, VERIFY = 400_000, 2000
+SHARD, VERIFY = 250_000, 2000
 #: Groups that share a rare shingle are all paired up to this number; more are linked to hubs first.
 FEW = 4
 #: Rows of a block of a component's shingles.
@@ -84,7 +84,9 @@ def common_shingles(docs: DataFrame, scratch: Scratch) -> tuple[bytes, bytes]:
         known, held, size = WordHashes(), [], 0
 
         def flush() -> pa.RecordBatch:
-            sort = np.sort(np.concatenate(held))
+            sort = np.concatenate(held)
+            held.clear()
+            sort.sort()
             at = np.flatnonzero(np.concatenate(([True], sort[1:] != sort[:-1])))
             times = np.diff(np.append(at, len(sort)))
             often = times >= MET
@@ -97,7 +99,7 @@ def common_shingles(docs: DataFrame, scratch: Scratch) -> tuple[bytes, bytes]:
                 size += len(held[-1])
                 if size > STRETCH:
                     yield flush()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield flush()
 

@@ -105,9 +105,10 @@ def quality(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> D
         for batch in batches:
             ids, texts, hosts = batch.column(0), as_bytes(batch.column(1)), batch.column(2)
             for a, b in slices(batch, texts):
-                found = [features(t) for t in texts[a:b]]
-                lines = [line_hashes(t) for t in texts[a:b]]
-                keys = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts[a:b]]
+                part = texts[a:b]
+                found = [features(t) for t in part]
+                lines = [line_hashes(t) for t in part]
+                keys = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in part]
                 own = record(schema, (ids[a:b], hosts[a:b], *zip(*found, strict=True), [list(x) for x in lines], [list(x.values()) for x in lines], keys))
                 yield pa.RecordBatch.from_arrays([*own.columns, *(c[a:b] for c in batch.columns[3:])], [*schema.names, *passed])
 

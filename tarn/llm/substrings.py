@@ -78,12 +78,13 @@ def repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int =
         for batch in batches:
             ids, texts = batch.column(0), as_bytes(batch.column(1))
             for a, b in slices(batch, texts):
-                words = [t.split() for t in texts[a:b]]
+                part = texts[a:b]
+                words = [t.split() for t in part]
                 lengths = np.fromiter(map(len, words), np.int64, b - a)
                 doc, pos, size, least, seg = stretches(known.of([w for ws in words for w in ws]), lengths, window, gram)
                 bounds = np.concatenate(([0], np.searchsorted(doc, np.arange(b - a), "right"))).astype(np.int32)
                 parts = pa.StructArray.from_arrays([pa.array(pos.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(least.view(np.int64)), pa.array(seg.view(np.int64))], ["pos", "n", "h", "seg"])
-                yield record(schema, (ids[a:b], _key(texts[a:b]), lengths, [_digest(w) for w in words], pa.ListArray.from_arrays(pa.array(bounds), parts)))
+                yield record(schema, (ids[a:b], _key(part), lengths, [_digest(w) for w in words], pa.ListArray.from_arrays(pa.array(bounds), parts)))
 
     rows = scratch.save(docs.select("doc_id", "text").mapInArrow(cut, ddl), "rows")
     runs = rows.where(F.col("doc_id").isNotNull()).select("doc_id", "_text", F.explode("_runs").alias("r")).select("doc_id", "_text", "r.*")

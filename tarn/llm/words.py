@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 
 #: Words remembered by a worker; the table is emptied beyond that.
-MEMO = 300_000
+MEMO = 200_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Base of the rolling sums: odd, so that it has an inverse modulo 2**64.
 BASE = 0xD1342543DE82EF95

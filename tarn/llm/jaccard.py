@@ -348,31 +348,33 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     held = buckets.join(groups, "pkey")
     open_ = held.groupBy("bucket").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).where("x <> y").select("bucket")
     rest = scratch.save(held.join(open_, "bucket"), "rest")
-    second = _expand(apart_pairs(rest, scratch), members)
+    second = _expand(apart_pairs(rest, few, scratch), members)
     inside = placed.join(several.select("pkey"), "pkey").select("pkey", "cid", "label")
     inside = inside.toDF("pkey", "a", "la").join(inside.toDF("pkey", "b", "lb"), "pkey").where("a < b and la <> lb").select("a", "b")
     second = scratch.save(second.unionByName(inside).distinct().join(first, ["a", "b"], "left_anti"), "second")
     more = verify(second, _sets(docs, classes, second), scratch, "two")
-    if not more.isEmpty():
-        label = components(links.unionByName(more), scratch, "final")
+    # the few new links tie components together
+    ends = more.join(label.toDF("a", "x"), "a", "left").join(label.toDF("b", "y"), "b", "left")
+    ties = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")), scratch, "ties")
     slim = scratch.save(rows.select("doc_id", "n", "cid"), "slim")
     scratch.drop("prefixes", "met", "few", "entries", "buckets", "first", "rest", "apart", "second", "one-dealt", "two-dealt")
 
-    by_class = classes.join(label.toDF("cid", "_label"), "cid", "left").select("cid", "rep", F.coalesce("_label", "cid").alias("label"))
+    by_class = classes.join(label.toDF("cid", "_label"), "cid", "left").select("cid", "rep", F.coalesce("_label", "cid").alias("_near"))
+    by_class = by_class.join(ties.toDF("_near", "_tied"), "_near", "left").select("cid", "rep", F.coalesce("_tied", "_near").alias("label"))
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = scratch.save(by_class.join(least, "label").select("cid", "component_id", F.col("rep").alias("class_id")), "known")
     out = slim.join(known, "cid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def apart_pairs(rest: DataFrame, scratch: Scratch) -> DataFrame:
+def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): groups in different components that may share as many prefix shingles as alike ones do.
 
     ``rest`` has (bucket, pkey, n, cap, small, lo, hi).  A bucket belongs to the component most of its
     groups are in, and a component's buckets meet in one place: groups of other components are few there
     and go to each of its blocks, the component's own groups to one.  Counts are made per block, so a pair
     is told once however many shingles it shares.  A pair whose shingles fall to several components is
-    told if one of them has its part of what is needed.
+    told if one of them has its part of what is needed, with what the pair shares by ``few``.
     """
     owner = rest.groupBy("bucket", "lo").count().groupBy("bucket").agg(F.max(F.struct("count", "lo")).alias("m")).select("bucket", F.col("m.lo").alias("home"))
     dealt = rest.join(owner, "bucket").withColumn("guest", (F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("home")))
@@ -383,7 +385,7 @@ def apart_pairs(rest: DataFrame, scratch: Scratch) -> DataFrame:
     dealt = dealt.select("home", F.explode(block).alias("block"), "bucket", "pkey", "n", "cap", "small", "homes", "guest")
     dealt = scratch.save(dealt, "apart")
     shards = max(1, -(-dealt.count() // BLOCK))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("most", pa.int64()), ("need", pa.int64())])
 
     def meet(table: pa.Table) -> pa.Table:
         home, block, bucket, key, n, cap, small, homes = (table[c].to_numpy() for c in ("home", "block", "bucket", "pkey", "n", "cap", "small", "homes"))
@@ -391,11 +393,11 @@ def apart_pairs(rest: DataFrame, scratch: Scratch) -> DataFrame:
         order = np.lexsort((bucket, block, home))
         place = np.stack((home, block), 1)[order]
         cut = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]).any(1)))) if len(order) else np.zeros(0, np.int64)
-        found = [np.zeros((0, 2), np.int64)]
+        found = [np.zeros((0, 4), np.int64)]
         for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
             at = order[x:y]
             docs, first, doc = np.unique(key[at], return_index=True, return_inverse=True)
-            size, most, few, kinds, away = n[at][first], cap[at][first], small[at][first], homes[at][first], np.zeros(len(docs), bool)
+            size, most, others, kinds, away = n[at][first], cap[at][first], small[at][first], homes[at][first], np.zeros(len(docs), bool)
             np.logical_or.at(away, doc, guest[at])
             begin = np.flatnonzero(np.concatenate(([True], np.diff(bucket[at]) != 0)))
             stop, part = np.append(begin[1:], len(at)), np.zeros(len(at), np.int64)
@@ -409,14 +411,18 @@ def apart_pairs(rest: DataFrame, scratch: Scratch) -> DataFrame:
                 j = np.flatnonzero((met > 0) & (~away | (np.arange(len(docs)) > i)))
                 both = size[i] + size[j]
                 ok = (np.minimum(size[i], size[j]) * DENOMINATOR >= np.maximum(size[i], size[j]) * NUMERATOR) & (np.minimum(most[i], most[j]) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * both)
-                ok &= met[j] * np.minimum(kinds[i], kinds[j]) + np.minimum(few[i], few[j]) >= need(size[i], size[j], np.maximum)
-                j = j[ok]
-                found.append(np.stack((np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j])), 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+                reach, least = met[j] * np.minimum(kinds[i], kinds[j]), need(size[i], size[j], np.maximum)
+                ok &= reach + np.minimum(others[i], others[j]) >= least
+                j, reach, least = j[ok], reach[ok], least[ok]
+                found.append(np.stack((np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j]), reach, least), 1))
+        pairs = np.concatenate(found)
+        return pa.Table.from_arrays([pa.array(pairs[:, k]) for k in range(4)], schema=schema)
 
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("home", "block"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(meet, "a long, b long").distinct()
+    told = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, most long, need long")
+    told = told.groupBy("a", "b").agg(F.max("most").alias("most"), F.max("need").alias("need"))
+    told = told.join(few.select("a", "b", F.col("met").alias("more")), ["a", "b"], "left")
+    return told.where(F.col("most") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b")
 
 
 def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:

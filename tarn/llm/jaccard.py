@@ -317,21 +317,20 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     heavy = tails.select(F.posexplode("t").alias("i", "bucket"), "pkey", "n", "base").select("bucket", "pkey", "n", (F.col("base") + F.col("i")).cast("long").alias("pos"))
     large = met.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("pkey"), F.col("met").alias("n"), F.col("need").alias("pos"))
     buckets = scratch.save(large.unionByName(heavy), "entries")
-    # what a group can share with an alike one: all but the prefix shingles that it alone has
+    # how many shingles of a group's prefix are in another's prefix too: an alike pair shares `need` of them.
+    # One that is in no other prefix may still be in a larger group's suffix, which `need` allows for
     alone = few.select(F.col("a").alias("pkey"), "met").unionByName(few.select(F.col("b").alias("pkey"), "met")).groupBy("pkey").agg(F.sum("met").alias("met"))
     caps = buckets.groupBy("pkey").agg(F.count("*").alias("k")).join(alone, "pkey", "left").select("pkey", F.coalesce("met", F.lit(0)).alias("small"), (F.col("k") + F.coalesce("met", F.lit(0))).alias("shared"))
-    own = F.greatest(F.lit(0), F.expr(f"n - (n * {NUMERATOR} + {DENOMINATOR - 1}) div {DENOMINATOR} + 1") - F.col("shared"))
-    buckets = buckets.join(caps, "pkey").select("bucket", "pkey", "n", "pos", (F.col("n") - own).alias("cap"), "small")
-    buckets = scratch.save(buckets.where(F.col("cap") * DENOMINATOR >= F.col("n") * NUMERATOR), "buckets")
-    hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n", "cap")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"), F.col("cap"))).alias("q"))
-    hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n", "p.cap"), F.struct("q.pkey", "q.n", "q.cap"))).alias("hub"))
-
-    def fits(x, y, cap_x, cap_y):
-        """Sizes alike enough, and each can share as much as an alike pair does."""
-        least = NUMERATOR * (x + y)
-        return (F.least(x, y) * DENOMINATOR >= F.greatest(x, y) * NUMERATOR) & (F.least(cap_x, cap_y) * (NUMERATOR + DENOMINATOR) >= least)
-
-    starred = buckets.join(hubs, "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n"), F.col("cap"), F.col("hub.cap")))
+    buckets = scratch.save(buckets.join(caps, "pkey").select("bucket", "pkey", "n", "pos", "shared", "small"), "buckets")
+    hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n", "shared")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"), F.col("shared"))).alias("q"))
+    hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n", "p.shared"), F.struct("q.pkey", "q.n", "q.shared"))).alias("hub"))
+
+    def fits(x, y, shared_x, shared_y):
+        """Sizes alike enough, and each shares as much of its prefix as an alike pair does (see ``need``)."""
+        beyond = F.ceil(F.greatest(x, y) * NUMERATOR / DENOMINATOR) - 1
+        return (F.least(x, y) * DENOMINATOR >= F.greatest(x, y) * NUMERATOR) & ((F.least(shared_x, shared_y) + beyond) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (x + y))
+
+    starred = buckets.join(hubs, "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n"), F.col("shared"), F.col("hub.shared")))
     starred = starred.select(F.least("pkey", "hub.pkey").alias("a"), F.greatest("pkey", "hub.pkey").alias("b"))
 
     members = classes.select("pkey", "cid")
@@ -370,7 +369,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): groups in different components that may share as many prefix shingles as alike ones do.
 
-    ``rest`` has (bucket, pkey, n, cap, small, lo, hi).  A bucket belongs to the component most of its
+    ``rest`` has (bucket, pkey, n, shared, small, lo, hi).  A bucket belongs to the component most of its
     groups are in, and a component's buckets meet in one place: groups of other components are few there
     and go to each of its blocks, the component's own groups to one.  Counts are made per block, so a pair
     is told once however many shingles it shares.  A pair whose shingles fall to several components is
@@ -382,13 +381,13 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     homes = dealt.groupBy("pkey").agg(F.count_distinct("home").alias("homes"))
     dealt = dealt.join(sizes, "home").join(homes, "pkey")
     block = F.when(F.col("guest"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("pkey"), F.col("blocks"))))
-    dealt = dealt.select("home", F.explode(block).alias("block"), "bucket", "pkey", "n", "cap", "small", "homes", "guest")
+    dealt = dealt.select("home", F.explode(block).alias("block"), "bucket", "pkey", "n", "shared", "small", "homes", "guest")
     dealt = scratch.save(dealt, "apart")
     shards = max(1, -(-dealt.count() // BLOCK))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("most", pa.int64()), ("need", pa.int64())])
 
     def meet(table: pa.Table) -> pa.Table:
-        home, block, bucket, key, n, cap, small, homes = (table[c].to_numpy() for c in ("home", "block", "bucket", "pkey", "n", "cap", "small", "homes"))
+        home, block, bucket, key, n, shared, small, homes = (table[c].to_numpy() for c in ("home", "block", "bucket", "pkey", "n", "shared", "small", "homes"))
         guest = table["guest"].to_numpy()
         order = np.lexsort((bucket, block, home))
         place = np.stack((home, block), 1)[order]
@@ -397,7 +396,7 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
         for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
             at = order[x:y]
             docs, first, doc = np.unique(key[at], return_index=True, return_inverse=True)
-            size, most, others, kinds, away = n[at][first], cap[at][first], small[at][first], homes[at][first], np.zeros(len(docs), bool)
+            size, most, others, kinds, away = n[at][first], shared[at][first], small[at][first], homes[at][first], np.zeros(len(docs), bool)
             np.logical_or.at(away, doc, guest[at])
             begin = np.flatnonzero(np.concatenate(([True], np.diff(bucket[at]) != 0)))
             stop, part = np.append(begin[1:], len(at)), np.zeros(len(at), np.int64)
@@ -409,9 +408,8 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
                 own = part[by_doc[bounds[i] : bounds[i + 1]]]
                 met = np.bincount(np.concatenate([doc[begin[p] : stop[p]] for p in own.tolist()]), minlength=len(docs))
                 j = np.flatnonzero((met > 0) & (~away | (np.arange(len(docs)) > i)))
-                both = size[i] + size[j]
-                ok = (np.minimum(size[i], size[j]) * DENOMINATOR >= np.maximum(size[i], size[j]) * NUMERATOR) & (np.minimum(most[i], most[j]) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * both)
                 reach, least = met[j] * np.minimum(kinds[i], kinds[j]), need(size[i], size[j], np.maximum)
+                ok = (np.minimum(size[i], size[j]) * DENOMINATOR >= np.maximum(size[i], size[j]) * NUMERATOR) & (np.minimum(most[i], most[j]) >= least)
                 ok &= reach + np.minimum(others[i], others[j]) >= least
                 j, reach, least = j[ok], reach[ok], least[ok]
                 found.append(np.stack((np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j]), reach, least), 1))

@@ -83,6 +83,35 @@ def test_common_shingles_change_nothing(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute_components(rows)
 
 
+def held_excerpts(seed, clusters=8, copies=6):
+    """Excerpts of 75 to 82 % of the size of longer texts.  The longer ones of a cluster are alike to the
+    excerpt only, and much of their prefixes is their own, so shingles of the excerpt's prefix are in their suffixes."""
+    rng, known, texts = random.Random(seed), jaccard.WordHashes(), []
+    for c in range(clusters):
+        base = [f"c{c}w{i}" for i in range(84)]
+        size = rng.randrange(98, 107)
+        texts.append(" ".join(base))
+        short = set(jaccard.shingle_sets([texts[-1].encode()], known)[0].tolist())
+        most = 0 if c % 2 else 8
+        while len(texts) % (copies + 1):
+            t = " ".join([*base, *(f"e{rng.randrange(1 << 40)}" for _ in range(size - 80))])
+            prefix = jaccard.shingle_sets([t.encode()], known)[0][: jaccard.prefix_size(size)].tolist()
+            if len(set(prefix) - short) >= most:
+                texts.append(t)
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("met", [3, 1])
+def test_excerpts_of_larger_texts_are_found(spark, monkeypatch, met):
+    monkeypatch.setattr(jaccard, "MET", met)
+    monkeypatch.setattr(jaccard, "COMMON", 16 if met == 3 else 2)
+    rows = held_excerpts(5)
+    got = jaccard.near_components(frame(spark, rows), Scratch(spark, "test"))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute_components(rows)
+
+
 def test_no_documents(spark):
     assert jaccard.near_components(frame(spark, []), Scratch(spark, "test")).collect() == []
     assert jaccard.near_components(frame(spark, [(1, None)]), Scratch(spark, "test")).drop("class_id").collect() == [(1, 0, 1)]

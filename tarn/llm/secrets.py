@@ -19,13 +19,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Candidate strings: runs of base64 and URL-safe characters of at least a window's length.
-WINDOW = 24
-CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
-#: Bits a character that a window must reach, for each class of candidate (digits alone never do).
-BITS = {"digits": 9.0, "hex": 3.4, "alpha": 4.3, "mixed": 4.0}
-#: Candidates that are no secrets: dashed or underscored words, paths of words, UUIDs, one repeated unit.
-ALLOWED = re.compile(r"(?:[a-zA-Z]+[-_/]+)*[a-zA-Z]*|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(.{1,8}?)\1+.{0,8}")
+#: Candidate strings: runs of base64 and URL-safe characters of at least LEAST; `=` only ends one.
+WINDOW, LEAST = 24, 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}")
+#: Bits a character that a window of WINDOW must reach, for each class of its characters: what all but about 1 %
+#: of random strings of the class reach.  Shorter candidates are one window, with bits scaled to its length.
+BITS = {"digits": 2.65, "hex": 3.05, "alpha": 3.4, "mixed": 3.6}
+#: Candidates that are no secrets: UUIDs, one repeated unit; and see ``plain``.
+ALLOWED = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(.{1,8}?)\1+.{0,8}")
+_BETWEEN = re.compile("[^-_]+")
+_PARTS, _CONSONANTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+"), re.compile(r"[bcdfghjklmnpqrstvwxz]{6}")
+#: How much likelier a letter is in words than in random letters, in bits, rare letters cut to -3.
+_LETTER = dict(zip("etaoinshrdlcumwfgypbvkjxqz", (1.7, 1.2, 1.1, 1, 0.9, 0.8, 0.7, 0.7, 0.6, 0.2, 0.1, -0.5, -0.5, -0.7, -0.7, -0.8, -0.9, -0.9, -1, -1.4, -1.9, -2.3, -3, -3, -3, -3), strict=True))
 
 _TERM = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
@@ -38,36 +43,67 @@ def character_class(text: str) -> str:
     return "alpha" if text.isalpha() else "mixed"
 
 
-def entropy_spans(text: str) -> list[tuple[int, int]]:
-    """Stretches of candidates whose windows of WINDOW characters reach their class's entropy.
+def plain(word: str) -> bool:
+    """Whether a candidate is made of words and short numbers: few changes of case and between letters and
+    digits, letters as frequent as in words, no long run of consonants."""
+    if character_class(word) in ("digits", "hex"):
+        return False
+    for piece in re.split("[-_/+=]+", word):
+        parts = _PARTS.findall(piece)
+        if 4 * len(parts) > len(piece) + 8 or any(len(x) > 8 and x[0].isdigit() for x in parts):
+            return False
+    low = word.lower()
+    return sum(_LETTER.get(c, 0) for c in low) >= 0 and not _CONSONANTS.search(low)
+
+
+def _windows(word: str, start: int) -> list[tuple[int, int]]:
+    """Spans of windows of WINDOW characters (all, of a shorter word) that reach the entropy of the class
+    of their own characters.
 
     Counts change by one character entering and one leaving, so a window costs the same whatever its
     length; overlapping windows above the threshold join to one span.
     """
-    spans = []
+    spans: list[tuple[int, int]] = []
+    size = min(WINDOW, len(word))
+    scale, most = log2(size) / log2(WINDOW), log2(size)
+    counts, total = {}, 0.0
+    for i, c in enumerate(word):
+        n = counts.get(c, 0)
+        total += _TERM[n + 1] - _TERM[n]
+        counts[c] = n + 1
+        if i >= size:
+            old = word[i - size]
+            n = counts[old]
+            total += _TERM[n - 1] - _TERM[n]
+            counts[old] = n - 1
+        # only windows that the lowest class would tell are classed
+        bits = most - total / size + 1e-9
+        if i >= size - 1 and bits >= BITS["digits"] * scale and bits >= BITS[character_class(word[i - size + 1 : i + 1])] * scale:
+            a, b = start + i - size + 1, start + i + 1
+            if spans and a <= spans[-1][1]:
+                a = spans.pop()[0]
+            spans.append((a, b))
+    return spans
+
+
+def entropy_spans(text: str) -> list[tuple[int, int]]:
+    """Stretches of candidates that look random; a part between dashes or underscores that is shorter than
+    a window is a candidate of its own, so that a name before a short key doesn't hide it."""
+    spans: list[tuple[int, int]] = []
     for m in CANDIDATE.finditer(text):
-        word = m[0]
-        if ALLOWED.fullmatch(word):
+        if ALLOWED.fullmatch(m[0]):
             continue
-        least, counts, total, open_at, until = BITS[character_class(word)], {}, 0.0, -1, -1
-        for i, c in enumerate(word):
-            n = counts.get(c, 0)
-            total += _TERM[n + 1] - _TERM[n]
-            counts[c] = n + 1
-            if i >= WINDOW:
-                old = word[i - WINDOW]
-                n = counts[old]
-                total += _TERM[n - 1] - _TERM[n]
-                counts[old] = n - 1
-            if i >= WINDOW - 1 and log2(WINDOW) - total / WINDOW >= least:
-                a = i - WINDOW + 1
-                if open_at >= 0 and a > until:
-                    spans.append((m.start() + open_at, m.start() + until))
-                    open_at = -1
-                open_at, until = (a if open_at < 0 else open_at), i + 1
-        if open_at >= 0:
-            spans.append((m.start() + open_at, m.start() + until))
-    return spans
+        parts = [(x[0], m.start() + x.start()) for x in _BETWEEN.finditer(m[0]) if LEAST <= len(x[0]) < WINDOW and x[0] != m[0]]
+        for word, start in [(m[0], m.start()), *parts]:
+            if not ALLOWED.fullmatch(word) and not plain(word):
+                spans += _windows(word, start)
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:

@@ -26,9 +26,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; others stay as they are."""
-    kept = quality(docs, Scratch(spark, "pipeline-quality"), carry=COLUMNS[1:]).where("kept")
-    return kept.select(*COLUMNS)
+    """Documents that the quality rules reject go; others stay, without the lines that are frequent in their host."""
+    found = quality(docs, Scratch(spark, "pipeline-quality"), carry=COLUMNS[1:], clean=True).where("kept")
+    cut = F.col("n_words_left") < F.col("n_words")
+    return found.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

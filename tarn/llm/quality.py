@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -83,13 +84,26 @@ def line_hashes(text: bytes) -> dict[int, int]:
     return out
 
 
-def quality(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> DataFrame:
+def without(texts: pd.Series, gone: pd.Series) -> pd.Series:
+    """The texts without the lines whose hashes are in ``gone``."""
+
+    def one(text, lines):
+        if text is None:
+            return None
+        own = set(lines)
+        return b"\n".join(x for x in text.encode().split(b"\n") if xxhash.xxh3_64_intdigest(normal(x)) - (1 << 63) not in own).decode()
+
+    return pd.Series([one(t, x) for t, x in zip(texts, gone, strict=True)], dtype=object)
+
+
+def quality(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = (), clean: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): the counts, base_failed and kept.
 
     The host is ``source`` (null: a host of its own).  A line's frequency is the number of the host's
     different texts that hold it, after normalisation (so copies of one document don't condemn it); lines above ``max(LEAST, SHARE * rows of the host)`` are
     removed, and a document that passes the base rules is still rejected if that leaves it depleted.
-    Null and empty texts have no words and fail.  ``carry`` names columns of ``docs`` to pass on.  Repeated rows each give a row.
+    Null and empty texts have no words and fail.  ``carry`` names columns of ``docs`` to pass on;
+    with ``clean`` a carried ``text`` comes without its frequent lines.  Repeated rows each give a row.
 
     The scan's result is written once.  Lines are counted in each scan task first, so a line shared by
     all documents reaches the shuffle once for each task; only frequent lines are joined back.
@@ -124,4 +138,11 @@ def quality(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> D
     depleted = (F.coalesce(lost, F.lit(0)) > 0) & ((left < MIN_WORDS) | (left < F.col("n_words") * LEFT))
     if frequent.count() <= FEW:
         marks = F.broadcast(marks)
-    return held.join(marks, "_host", "left").select("doc_id", *names, "base_failed", left.alias("n_words_left"), (~F.col("base_failed") & ~depleted).alias("kept"), *(F.col(f"_carry_{c}").alias(c) for c in carry))
+    passed_on = {c: F.col(f"_carry_{c}") for c in carry}
+    joined = held.join(marks, "_host", "left")
+    if clean and "text" in passed_on:
+        joined = joined.withColumn("_gone", F.array_intersect("_lines", "_frequent"))
+        some = F.size("_gone") > 0
+        # texts that lose nothing are not sent to Python
+        passed_on["text"] = F.when(some, F.pandas_udf(without, "string")(F.when(some, F.col("_carry_text")), F.when(some, F.col("_gone")))).otherwise(F.col("_carry_text"))
+    return joined.select("doc_id", *names, "base_failed", left.alias("n_words_left"), (~F.col("base_failed") & ~depleted).alias("kept"), *(x.alias(c) for c, x in passed_on.items()))

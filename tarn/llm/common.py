@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -9,20 +10,28 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of the fixed-size key filter (2 MB of longs at most, whatever the input's size).
-FILTER_BITS = 1 << 23
+#: Bits of the fixed-size key filter: 524,288 rows of 64 bits at most, whatever the input's size.
+FILTER_BITS = 1 << 25
+#: Parts that each key of the small side of a salted join is copied to.
+SALT = 16
 
 #: Bytes of text that one vectorised step holds at a time.
 STEP_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's ``spark.checkpoint.dir``, or our own where it is unset."""
+    """The folder all executors share: the session's ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session (one machine) gets a folder of our own; a cluster has no folder that
+    its machines surely share, so there it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is unset: it names the folder that all executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "tarn-scratch")
     return found.rstrip("/")
 
@@ -41,33 +50,61 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        """Delete tables nothing reads any more."""
-        jvm = self.spark._jvm
+        """Delete tables nothing reads any more, and let Spark delete the shuffle files of finished queries."""
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self.path(name))
+        self.release()
+
+    def clear(self) -> None:
+        """Delete everything of this query."""
+        self._delete(self.root)
+        self.release()
+
+    def release(self) -> None:
+        """Spark deletes a shuffle's files once the driver's heap no longer holds it, so both heaps are swept."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def key_filter(rows: DataFrame, row_key, keys: DataFrame, key) -> DataFrame:
-    """The rows whose key may be among ``keys``: every true member stays, few others do.
+def key_mark(rows: DataFrame, row_key, keys: DataFrame, key, name: str = "_tarn_may") -> DataFrame:
+    """``rows`` with ``name``: whether the key may be among ``keys``.  False is sure, true is likely.
 
     A bitmap of FILTER_BITS bits is all that is broadcast, so its size has a bound that does not
-    depend on the data.  An exact join follows in the caller; this only spares its shuffle.
+    depend on the data.  An exact join of the likely rows follows in the caller; this spares the others'
+    shuffle.  With very many keys the bitmap fills up and all rows are joined: slower, not wrong.
     """
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
     words = (
-        keys.select(bit(key).alias("_bit"))
-        .groupBy((F.col("_bit") / 64).cast("int").alias("_word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("_bits"))
+        keys.select(bit(key).alias("_tarn_bit"))
+        .groupBy((F.col("_tarn_bit") / 64).cast("int").alias("_tarn_word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_tarn_bit % 64 as int))")).alias("_tarn_bits"))
     )
-    at = bit(row_key)
-    hit = F.col("_bits").bitwiseAND(F.expr("shiftleft(1L, cast(_at % 64 as int))")) != 0
-    marked = rows.withColumn("_at", at).withColumn("_word", (F.col("_at") / 64).cast("int"))
-    return marked.join(F.broadcast(words), "_word").where(hit).drop("_word", "_at", "_bits")
+    marked = rows.withColumn("_tarn_at", bit(row_key)).withColumn("_tarn_word", (F.col("_tarn_at") / 64).cast("int"))
+    hit = F.coalesce(F.col("_tarn_bits").bitwiseAND(F.expr("shiftleft(1L, cast(_tarn_at % 64 as int))")) != 0, F.lit(False))
+    return marked.join(F.broadcast(words), "_tarn_word", "left").withColumn(name, hit).drop("_tarn_word", "_tarn_at", "_tarn_bits")
+
+
+def key_filter(rows: DataFrame, row_key, keys: DataFrame, key) -> DataFrame:
+    """The rows whose key may be among ``keys``: every true member stays, few others do (see ``key_mark``)."""
+    return key_mark(rows, row_key, keys, key).where("_tarn_may").drop("_tarn_may")
+
+
+def salted(small: DataFrame) -> DataFrame:
+    """The small side of a salted join: a copy of each row for each ``_salt``; the other side takes one by
+    ``salt_of``, so a hot key's rows are spread over SALT parts whatever their number."""
+    return small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+
+
+def salt_of(column) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALT)).cast("int")
 
 
 class Texts:

@@ -49,9 +49,9 @@ g AS (SELECT doc_id, i, array_to_string(w[i:i+7], ' ') AS k FROM d, unnest(range
 h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS times FROM g),
 r AS (SELECT doc_id, count(DISTINCT j) AS n FROM h, unnest(range(i, i + 8)) x(j) WHERE times > 1 GROUP BY 1),
 m AS MATERIALIZED (SELECT doc_id, host, t, {_WORDS.format(t="regexp_replace(" + _LOWER.format(t="line") + ", '[0-9]+', '0', 'g')")} AS v FROM l),
-c AS (SELECT host, v, count(DISTINCT t) AS docs FROM m WHERE len(v) > 0 GROUP BY 1, 2),
-o AS (SELECT host, greatest(50, 0.1 * count(*)) AS most FROM d GROUP BY 1),
-x AS (SELECT doc_id, sum(len(v)) AS lost FROM m JOIN c USING (host, v) JOIN o USING (host) WHERE docs > 50 AND docs > most GROUP BY 1),
+c AS (SELECT host, v, count(DISTINCT doc_id) AS docs FROM m WHERE len(v) > 0 GROUP BY 1, 2),
+o AS (SELECT host, greatest(10, 0.1 * count(DISTINCT doc_id)) AS most FROM d GROUP BY 1),
+x AS (SELECT doc_id, sum(len(v)) AS lost FROM m JOIN c USING (host, v) JOIN o USING (host) WHERE docs > most GROUP BY 1),
 f AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda y: length(y))), 0)::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(lost, 0) AS lost
   FROM d LEFT JOIN u USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN x USING (doc_id))

@@ -1,9 +1,21 @@
-"""A compressed FM-index over sequences of words: bit-packed wavelet matrix, backward search side by side."""
+"""A compressed FM-index over sequences of words: wavelet matrices, backward search side by side.
+
+Kept of the indexed text are a bit-packed wavelet matrix of its Burrows-Wheeler transform, one of the
+owners of its suffixes in their order, and one bit a suffix for the borders between stretches of suffixes
+that share ``depth - 1`` words.  The suffix array itself is not kept.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def _packed(bit: np.ndarray) -> np.ndarray:
+    raw = np.packbits(bit.astype(np.uint8), bitorder="little")
+    return np.concatenate((raw, np.zeros(8 + -len(raw) % 8, np.uint8))).view(np.uint64)
+
 
 class Wavelet:
     """Symbols of a sequence, one packed bit vector for each bit of a symbol, with counts every 64 bits."""
@@ -14,10 +26,9 @@ class Wavelet:
         rest = symbols
         for level in range(self.levels - 1, -1, -1):
             bit = (rest >> level) & 1
-            packed = np.packbits(bit.astype(np.uint8), bitorder="little")
-            packed = np.concatenate((packed, np.zeros(8 + -len(packed) % 8, np.uint8))).view(np.uint64)
+            packed = _packed(bit)
             self.words.append(packed)
-            self.before.append(np.concatenate(([0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1])))
+            self.before.append(np.concatenate(([0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1])).astype(np.int32))
             self.zeros.append(int(len(rest) - bit.sum()))
             rest = np.concatenate((rest[bit == 0], rest[bit == 1]))
         #: where each symbol's stretch begins after the last level
@@ -25,22 +36,64 @@ class Wavelet:
         starts = np.flatnonzero(np.concatenate(([True], rest[1:] != rest[:-1]))) if len(rest) else np.zeros(0, np.int64)
         self.first[rest[starts]] = starts
 
+    def _ones(self, i: int, p: np.ndarray) -> np.ndarray:
+        word = p >> 6
+        below = (np.uint64(1) << (p & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[i][word] + np.bitwise_count(self.words[i][word] & below)
+
     def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol stands before each place."""
-        p = at.copy()
+        p = at
         for i, level in enumerate(range(self.levels - 1, -1, -1)):
-            word = p >> 6
-            below = (np.uint64(1) << (p & 63).astype(np.uint64)) - np.uint64(1)
-            ones = self.before[i][word] + np.bitwise_count(self.words[i][word] & below)
+            ones = self._ones(i, p)
             p = np.where((symbols >> level) & 1, self.zeros[i] + ones, p - ones)
         return p - self.first[symbols]
 
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest symbol in each stretch [low, high), none of them empty."""
+        n, out = len(low), np.zeros(len(low), np.int64)
+        for i in range(self.levels):
+            ones = self._ones(i, np.concatenate((low, high)))
+            a, b = ones[:n], ones[n:]
+            zero = high - b > low - a
+            low, high = np.where(zero, low - a, self.zeros[i] + a), np.where(zero, high - b, self.zeros[i] + b)
+            out = 2 * out + ~zero
+        return out
+
+
+class Marks:
+    """A packed bit vector in which set bits are looked up; bits 0 and ``size`` are always set."""
+
+    def __init__(self, at: np.ndarray, size: int) -> None:
+        bit = np.zeros(size + 1, bool)
+        bit[at] = bit[0] = bit[size] = True
+        self.words = _packed(bit)
+
+    def at_or_before(self, p: np.ndarray) -> np.ndarray:
+        word = p >> 6
+        held = self.words[word] & (_ALL >> (63 - (p & 63)).astype(np.uint64))
+        while len(none := np.flatnonzero(held == 0)):
+            word[none] -= 1
+            held[none] = self.words[word[none]]
+        upper = held >> np.uint64(32)
+        half = np.where(upper > 0, upper, held & np.uint64(0xFFFFFFFF))  # exact as a float
+        return (word << 6) + np.frexp(half.astype(np.float64))[1] - 1 + np.where(upper > 0, 32, 0)
+
+    def after(self, p: np.ndarray) -> np.ndarray:
+        p = p + 1
+        word = p >> 6
+        held = self.words[word] & (_ALL << (p & 63).astype(np.uint64))
+        while len(none := np.flatnonzero(held == 0)):
+            word[none] += 1
+            held[none] = self.words[word[none]]
+        lowest = held & (~held + np.uint64(1))
+        return (word << 6) + np.frexp(lowest.astype(np.float64))[1] - 1
+
 
 class FmIndex:
-    """Index of word sequences (symbols from 0), each ended by a separator of its own.
+    """Index of word sequences (symbols from 0), each ended by a separator of its own, with their owners.
 
-    ``depth`` is the length of the windows that count.  Rows of the suffix array that share ``depth``
-    words form a class; ``lowest`` is the smallest owner in each row's class.
+    ``depth`` is the length of the windows that count: a match is never longer.
     """
 
     def __init__(self, flat: np.ndarray, lengths: np.ndarray, owners: np.ndarray, depth: int) -> None:
@@ -51,20 +104,17 @@ class FmIndex:
         word[ends] = False
         text[ends] = np.arange(m)
         text[word] = flat + m
-        self.separators, self.depth = m, depth
+        self.rows, self.depth, self.size = n, depth, int(flat.max(initial=-1)) + 1
+        if not self.size:  # without words nothing matches
+            return
         order, ranks, half = self._sort(text, depth)
         previous = text[order - 1]  # row 0 of the text wraps to its last separator
         # all separators are one symbol here: a search never runs across one
-        self.tree = Wavelet(np.where(previous < m, 0, previous - m + 1), int(flat.max(initial=0)) + 2)
-        counts = np.bincount(flat, minlength=int(flat.max(initial=0)) + 1)
-        self.below = m + np.concatenate(([0], np.cumsum(counts)))[:-1]
-        self.count = counts
-        owner = np.repeat(owners, lengths + 1)[order]
-        classes = self._classes(order, ranks, half, depth)
-        self.lowest = np.minimum.reduceat(owner, classes[0])[classes[1]] if n else owner
-        shorter = self._classes(order, ranks, half, depth - 1)
-        edges = np.append(shorter[0], n)
-        self.open, self.close = edges[shorter[1]], edges[shorter[1] + 1]
+        self.tree = Wavelet(np.where(previous < m, 0, previous - m + 1), self.size + 1)
+        self.below = m + np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=self.size))))[: self.size]
+        self.names, number = np.unique(owners, return_inverse=True)
+        self.owner = Wavelet(np.repeat(number, lengths + 1)[order], max(1, len(self.names)))
+        self.marks = Marks(self._borders(order, ranks, half, depth - 1), n)
 
     @staticmethod
     def _sort(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -91,45 +141,83 @@ class FmIndex:
         return order, kept, half
 
     @staticmethod
-    def _classes(order: np.ndarray, rank: np.ndarray, half: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """First row of each class of rows that share ``depth`` words, and each row's class."""
+    def _borders(order: np.ndarray, rank: np.ndarray, half: int, depth: int) -> np.ndarray:
+        """First row of each stretch of rows that share ``depth`` words."""
         n, shift = len(order), depth - half
         late = np.full(n, -1, np.int64)
         late[: max(0, n - shift)] = rank[shift:]
         a, b = rank[order], late[order]
         new = np.ones(n, bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        return np.flatnonzero(new), np.cumsum(new) - 1
+        return np.flatnonzero(new)
 
     def stream(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Matching statistics of sequences that the index holds, cut at ``depth``.
+        """Matching statistics of sequences (symbols of the index, -1: a word it doesn't have), cut at ``depth``.
+
+        Returns, for each word, the most words from it on that stand in the index, and the smallest owner
+        of a match of ``depth`` words (where it is shorter, the length alone counts).
 
         Every sequence is searched backward from its end, all of them side by side, a word a step.  Beyond
         ``depth`` words the match drops its last word (the rows that share depth - 1 words) before it takes
-        the next.  Returns, for each word, the length matched from it on and the smallest owner of a
-        match of ``depth`` words (-1: shorter).
+        the next.  Where an extension fails, the longest match that begins at the failing word is found by
+        backward searches of doubled, then halved length, and the search goes on from it.
         """
-        first = np.cumsum(lengths) - lengths
-        matched, owner = np.zeros(len(flat), np.int64), np.full(len(flat), -1, np.int64)
-        order = np.argsort(-lengths, kind="stable")
-        begin, size = first[order], lengths[order]
-        low, high = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-        held = 0
-        for step in range(int(lengths.max(initial=0))):
-            live = int(np.searchsorted(-size, -step, "left"))  # those longer than step
-            at = begin[:live] + size[:live] - 1 - step
-            c = flat[at]
-            if held == 0:
-                lo, hi = self.below[c], self.below[c] + self.count[c]
-            else:
-                lo, hi = low[:live], high[:live]
-                if held == self.depth:
-                    lo, hi = self.open[lo], self.close[lo]
-                both = self.tree.rank(np.concatenate((c, c)) + 1, np.concatenate((lo, hi)))
-                lo, hi = self.below[c] + both[:live], self.below[c] + both[live:]
-            low[:live], high[:live] = lo, hi
-            held = min(held + 1, self.depth)
-            matched[at] = held
-            if held == self.depth:
-                owner[at] = self.lowest[lo]
+        matched, owner = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
+        ends = np.cumsum(lengths)
+        live = np.flatnonzero((lengths > 0) & (self.size > 0))
+        begin, pos, end = (ends - lengths)[live], ends[live] - 1, ends[live]
+        whole = np.int64(self.rows)
+        low, high = np.zeros(len(live), np.int64), np.full(len(live), whole)
+        #: of a search for the longest match at ``pos``: whether one is on, known ends, next end, next word
+        probing = np.zeros(len(live), bool)
+        good, bad, goal, at = pos.copy(), pos.copy(), pos.copy(), pos.copy()
+        good_low, good_high = low.copy(), high.copy()
+        while len(pos):
+            c = flat[np.where(probing, at, pos)]
+            known = (c >= 0) & (c < self.size)
+            s = np.where(known, c, 0)
+            both = self.tree.rank(np.concatenate((s, s)) + 1, np.concatenate((low, high)))
+            new_low, new_high = self.below[s] + both[: len(s)], self.below[s] + both[len(s) :]
+            ok = known & (new_high > new_low)
+            done = np.zeros(len(pos), bool)
+
+            grown = np.flatnonzero(~probing & ok)
+            low[grown], high[grown] = new_low[grown], new_high[grown]
+            matched[pos[grown]] = end[grown] - pos[grown]
+            full = grown[end[grown] - pos[grown] == self.depth]
+            if len(full):
+                owner[pos[full]] = self.names[self.owner.least(low[full], high[full])]
+                end[full] -= 1
+                low[full], high[full] = self.marks.at_or_before(low[full]), self.marks.after(low[full])
+            done[grown] = True
+
+            failed = ~probing & ~ok
+            alone = np.flatnonzero(failed & (end == pos + 1))  # the word itself is not in the index
+            end[alone], low[alone], high[alone] = pos[alone], 0, whole
+            done[alone] = True
+            start = np.flatnonzero(failed & (end > pos + 1))
+            good[start], bad[start], good_low[start], good_high[start] = pos[start], end[start], 0, whole
+
+            on = probing & ok
+            hit, inner = np.flatnonzero(on & (at == pos)), np.flatnonzero(on & (at > pos))
+            at[inner] -= 1
+            low[inner], high[inner] = new_low[inner], new_high[inner]
+            good[hit], good_low[hit], good_high[hit] = goal[hit], new_low[hit], new_high[hit]
+            missed = np.flatnonzero(probing & ~ok)
+            bad[missed] = goal[missed]
+            for chosen in (start, hit, missed):
+                if not len(chosen):
+                    continue
+                over = bad[chosen] - good[chosen] == 1
+                found, more = chosen[over], chosen[~over]
+                matched[pos[found]] = good[found] - pos[found]
+                end[found], low[found], high[found] = good[found], good_low[found], good_high[found]
+                probing[found], done[found] = False, True
+                goal[more] = good[more] + np.maximum(1, np.minimum(good[more] - pos[more], (bad[more] - good[more]) // 2))
+                at[more], low[more], high[more], probing[more] = goal[more] - 1, 0, whole, True
+
+            pos[done] -= 1
+            if (pos < begin).any():
+                keep = pos >= begin
+                begin, pos, end, low, high, probing, good, bad, goal, at, good_low, good_high = (x[keep] for x in (begin, pos, end, low, high, probing, good, bad, goal, at, good_low, good_high))
         return matched, owner

@@ -31,4 +31,6 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     for step in reversed(maps[:-1]):
         later = whole.toDF("label", "_label")
         whole = step.join(later, "label", "left").select("id", F.coalesce("_label", "label").alias("label"))
-    return scratch.save(whole, f"{name}-labels")
+    out = scratch.save(whole, f"{name}-labels")
+    scratch.drop(f"{name}-0", *(f"{name}-{x}{k + 1}" for k in range(len(maps)) for x in ("", "map")))
+    return out

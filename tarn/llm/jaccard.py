@@ -9,10 +9,12 @@ expanded to their distinct sets and verified.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, as_bytes, key_filter, record, slices
@@ -25,12 +27,14 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: The frequency table orders shingles, it decides nothing: shingles met MET times in a stretch of
 #: STRETCH shingles are counted, and those counted COMMON times, the most frequent MOST at most, go last.
 STRETCH, MET, COMMON, MOST = 1_500_000, 3, 16, 1 << 18
-#: Prefix shingles of a shard, and pairs of a verifying group.
-SHARD, VERIFY = 250_000, 2000
+#: Prefix shingles of a shard, and shingles that the pairs of a verifying group have in all.
+SHARD, VERIFY = 250_000, 1 << 20
 #: Groups that share a rare shingle are all paired up to this number; more are linked to hubs first.
 FEW = 4
-#: Rows of a block of a component's shingles.
-BLOCK = 200_000
+#: Rows of a block of a component's shingles, and of a chunk of the other components' that meet it.
+BLOCK, CHUNK = 200_000, 50_000
+#: Bands of sizes, sixteen to a doubling; the last holds all larger sizes.
+BANDS = 256
 
 
 def shingle_sets(texts: list[bytes], known: WordHashes, distinct: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -254,16 +258,16 @@ def meetings(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets (cid, n, shingles) are alike.
+    """The pairs (a, b, w: their shingles) whose sets (cid, shingles) are alike.
 
     Pairs are dealt by their documents' smallest partner, so that those of a cluster meet and a set is
-    sent about once; a document with many partners is split over several groups.
+    sent about once; a document with many partners, or long ones, is split over several groups.
     """
-    total = pairs.count()
+    total = pairs.agg(F.sum("w")).first()[0] or 0
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nearest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("_key"))
     keyed = pairs.join(nearest, "a")
-    many = keyed.groupBy("_key").agg(F.ceil(F.count("*") / VERIFY).alias("_split"))
+    many = keyed.groupBy("_key").agg(F.ceil(F.sum("w") / VERIFY).alias("_split"))
     groups = max(1, -(-total // VERIFY))
     dealt = keyed.join(many, "_key").select("a", "b", F.pmod(F.xxhash64("_key", F.pmod("a", "_split")), F.lit(groups)).alias("group"))
     dealt = scratch.save(dealt, f"{name}-dealt")
@@ -308,6 +312,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     first_row = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("rep"), F.col("tkey"))).alias("r")
     classes = real.groupBy("cid").agg(first_row, F.min("n").alias("n"), F.min("pkey").alias("pkey"))
     classes = scratch.save(classes.select("cid", "r.rep", "r.tkey", "n", "pkey"), "classes")
+    slim = scratch.save(rows.select("doc_id", "n", "cid"), "slim")
     total = real.agg(F.sum(F.size("prefix") - F.col("heavy")).alias("k")).first()["k"] or 0
     met = scratch.save(meetings(real, max(1, -(-int(total) // SHARD))), "met")
     few = scratch.save(met.where("kind = 0").groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need")), "few")
@@ -317,6 +322,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     heavy = tails.select(F.posexplode("t").alias("i", "bucket"), "pkey", "n", "base").select("bucket", "pkey", "n", (F.col("base") + F.col("i")).cast("long").alias("pos"))
     large = met.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("pkey"), F.col("met").alias("n"), F.col("need").alias("pos"))
     buckets = scratch.save(large.unionByName(heavy), "entries")
+    scratch.drop("prefixes", "met")
     # how many shingles of a group's prefix are in another's prefix too: an alike pair shares `need` of them.
     # One that is in no other prefix may still be in a larger group's suffix, which `need` allows for
     alone = few.select(F.col("a").alias("pkey"), "met").unionByName(few.select(F.col("b").alias("pkey"), "met")).groupBy("pkey").agg(F.sum("met").alias("met"))
@@ -324,6 +330,8 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     buckets = scratch.save(buckets.join(caps, "pkey").select("bucket", "pkey", "n", "pos", "shared", "small"), "buckets")
     hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n", "shared")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"), F.col("shared"))).alias("q"))
     hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n", "p.shared"), F.struct("q.pkey", "q.n", "q.shared"))).alias("hub"))
+    # saved, so that both sides of the join are plain shuffles and a hot bucket's can be split
+    hubs = scratch.save(hubs, "hubs")
 
     def fits(x, y, shared_x, shared_y):
         """Sizes alike enough, and each shares as much of its prefix as an alike pair does (see ``need``)."""
@@ -333,100 +341,174 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     starred = buckets.join(hubs, "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n"), F.col("shared"), F.col("hub.shared")))
     starred = starred.select(F.least("pkey", "hub.pkey").alias("a"), F.greatest("pkey", "hub.pkey").alias("b"))
 
-    members = classes.select("pkey", "cid")
+    members = classes.select("pkey", "cid", "n")
     several = classes.groupBy("pkey").agg(F.count("*").alias("k"), F.min("cid").alias("hub")).where("k > 1")
-    in_group = members.join(several, "pkey").where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
+    in_group = members.join(several, "pkey").where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), (2 * F.col("n")).alias("w"))
     first = few.where("met >= need").select("a", "b").unionByName(starred.select("a", "b")).distinct()
     first = scratch.save(_expand(first, members).unionByName(in_group).distinct(), "first")
+    scratch.drop("entries", "hubs")
     links = verify(first, _sets(docs, classes, first), scratch, "one")
 
     # what is still apart: groups of a shingle whose groups are not all in one component
     label = components(links, scratch, "near")
-    placed = classes.select("pkey", "cid").join(label.toDF("cid", "_label"), "cid", "left").withColumn("label", F.coalesce("_label", "cid"))
-    groups = placed.groupBy("pkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    held = buckets.join(groups, "pkey")
-    open_ = held.groupBy("bucket").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).where("x <> y").select("bucket")
-    rest = scratch.save(held.join(open_, "bucket"), "rest")
+    scratch.drop("one-dealt", "one-links")
+    placed = classes.select("pkey", "cid", "n").join(label.toDF("cid", "_label"), "cid", "left").withColumn("label", F.coalesce("_label", "cid"))
+    groups = scratch.save(placed.groupBy("pkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi")), "groups")
+    held = scratch.save(buckets.join(groups, "pkey"), "held")
+    scratch.drop("buckets")
+    rest = scratch.save(_still_apart(held, scratch), "rest")
+    scratch.drop("held", "masks", "alive", "ends")
     second = _expand(apart_pairs(rest, few, scratch), members)
-    inside = placed.join(several.select("pkey"), "pkey").select("pkey", "cid", "label")
-    inside = inside.toDF("pkey", "a", "la").join(inside.toDF("pkey", "b", "lb"), "pkey").where("a < b and la <> lb").select("a", "b")
-    second = scratch.save(second.unionByName(inside).distinct().join(first, ["a", "b"], "left_anti"), "second")
+    inside = _inside_pairs(docs, classes, placed, groups.where("lo <> hi"), scratch)
+    second = scratch.save(second.unionByName(inside).distinct().join(first, ["a", "b", "w"], "left_anti"), "second")
+    scratch.drop("few", "first", "rest", "apart", "groups", "inside", "inside-keys")
     more = verify(second, _sets(docs, classes, second), scratch, "two")
     # the few new links tie components together
     ends = more.join(label.toDF("a", "x"), "a", "left").join(label.toDF("b", "y"), "b", "left")
     ties = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")), scratch, "ties")
-    slim = scratch.save(rows.select("doc_id", "n", "cid"), "slim")
-    scratch.drop("prefixes", "met", "few", "entries", "buckets", "first", "rest", "apart", "second", "one-dealt", "two-dealt")
-
     by_class = classes.join(label.toDF("cid", "_label"), "cid", "left").select("cid", "rep", F.coalesce("_label", "cid").alias("_near"))
     by_class = by_class.join(ties.toDF("_near", "_tied"), "_near", "left").select("cid", "rep", F.coalesce("_tied", "_near").alias("label"))
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = scratch.save(by_class.join(least, "label").select("cid", "component_id", F.col("rep").alias("class_id")), "known")
+    scratch.drop("classes", "second", "two-dealt", "two-links", "near-labels", "ties-labels")
     out = slim.join(known, "cid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+def _band(n: Column) -> Column:
+    """The band of a size (at least 1)."""
+    return F.least(F.floor(F.log2(n) * 16), F.lit(BANDS - 1)).cast("int")
+
+
+def _stretch(low: Column, high: Column, part: int) -> Column:
+    """Bits of bands low to high that are in this part of 64 bands."""
+    a, b = F.greatest(low - 64 * part, F.lit(0)), F.least(high - 64 * part, F.lit(63))
+    bits = F.call_function("shiftleft", F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (63 - (b - a)).cast("int")), a.cast("int"))
+    return F.when(a <= b, bits).otherwise(F.lit(0).cast("long"))
+
+
+def _still_apart(held: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows (bucket, pkey, n, shared, small, lo, hi) that may have an alike partner in another component.
+
+    A set of n shingles, ``shared`` of its prefix in others' prefixes, can only be alike to smaller ones of
+    up to ``7 / 3 * (shared + ceil(3 n / 4) - 1) - n`` shingles, or to larger ones from ``28 / 9 * (3 n / 7 +
+    1 / 4 - shared)`` on: outside that `need` is more than it shares.  So documents of like size that have
+    no more than a common passage in common leave here, without being paired.  Sizes are compared by bands.
+    """
+    n, k, whole = F.col("n"), F.col("shared"), NUMERATOR + DENOMINATOR
+    beyond = F.ceil(n * NUMERATOR / DENOMINATOR) - 1
+    small, most = F.ceil(n * NUMERATOR / DENOMINATOR), F.least(n, F.floor((k + beyond) * whole / NUMERATOR) - n)
+    least, large = F.greatest(n, F.floor((n * NUMERATOR / whole + 0.25 - k) * 28 / 9)), F.floor(n * DENOMINATOR / NUMERATOR)
+    near = lambda low, high: [F.when(low <= high, _stretch(_band(low), _band(F.greatest(high, F.lit(1))), j)).otherwise(F.lit(0).cast("long")) for j in range(BANDS // 64)]
+    wanted = [(x.bitwiseOR(y)).alias(f"_want{j}") for j, (x, y) in enumerate(zip(near(F.greatest(small, F.lit(1)), most), near(least, large), strict=True))]
+    own = [_stretch(_band(n), _band(n), j).alias(f"_own{j}") for j in range(BANDS // 64)]
+    marked = held.select("*", *wanted, *own)
+    masks = marked.groupBy("bucket").agg(F.min("lo").alias("_x"), F.max("hi").alias("_y"), *(F.bit_or(f"_own{j}").alias(f"_has{j}") for j in range(BANDS // 64))).where("_x <> _y")
+    masks = scratch.save(masks.drop("_x", "_y"), "masks")
+    met = [F.col(f"_want{j}").bitwiseAND(F.col(f"_has{j}")) != 0 for j in range(BANDS // 64)]
+    alive = scratch.save(marked.join(masks, "bucket").where(reduce(or_, met)).select(*held.columns), "alive")
+    ends = scratch.save(alive.groupBy("bucket").agg(F.min("lo").alias("_x"), F.max("hi").alias("_y")).where("_x <> _y").select("bucket"), "ends")
+    return alive.join(ends, "bucket")
+
+
 def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): groups in different components that may share as many prefix shingles as alike ones do.
 
     ``rest`` has (bucket, pkey, n, shared, small, lo, hi).  A bucket belongs to the component most of its
-    groups are in, and a component's buckets meet in one place: groups of other components are few there
-    and go to each of its blocks, the component's own groups to one.  Counts are made per block, so a pair
-    is told once however many shingles it shares.  A pair whose shingles fall to several components is
-    told if one of them has its part of what is needed, with what the pair shares by ``few``.
+    groups are in, and a component's buckets meet in one place: its groups, cut into blocks, are asked for
+    by the groups of other components, cut into chunks, so every task's work has a bound.  Counts are made
+    per block and chunk, so a pair is told once however many shingles it shares.  A pair whose shingles
+    fall to several components is told if one of them has its part of what is needed, with what the pair
+    shares by ``few``.
     """
-    owner = rest.groupBy("bucket", "lo").count().groupBy("bucket").agg(F.max(F.struct("count", "lo")).alias("m")).select("bucket", F.col("m.lo").alias("home"))
+    owner = scratch.save(rest.groupBy("bucket", "lo").count().groupBy("bucket").agg(F.max(F.struct("count", "lo")).alias("m")).select("bucket", F.col("m.lo").alias("home")), "owner")
     dealt = rest.join(owner, "bucket").withColumn("guest", (F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("home")))
-    sizes = dealt.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = dealt.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.greatest(F.ceil(F.sum(F.col("guest").cast("long")) / CHUNK), F.lit(1)).alias("chunks"))
     homes = dealt.groupBy("pkey").agg(F.count_distinct("home").alias("homes"))
     dealt = dealt.join(sizes, "home").join(homes, "pkey")
-    block = F.when(F.col("guest"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("pkey"), F.col("blocks"))))
-    dealt = dealt.select("home", F.explode(block).alias("block"), "bucket", "pkey", "n", "shared", "small", "homes", "guest")
-    dealt = scratch.save(dealt, "apart")
+    count = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    block, chunk = F.pmod(F.xxhash64("pkey"), F.col("blocks")), F.pmod(F.xxhash64("pkey"), F.col("chunks"))
+    columns = ["bucket", "pkey", "n", "shared", "small", "homes", "guest", "lo", "hi"]
+    told = dealt.select("home", block.alias("block"), F.explode(count("chunks")).alias("chunk"), *columns, F.lit(False).alias("asks"))
+    asks = dealt.where("guest").select("home", F.explode(count("blocks")).alias("block"), chunk.alias("chunk"), *columns, F.lit(True).alias("asks"))
+    dealt = scratch.save(told.union(asks), "apart")
+    scratch.drop("owner")
     shards = max(1, -(-dealt.count() // BLOCK))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("most", pa.int64()), ("need", pa.int64())])
 
+    def unit(rows: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
+        """Of one block and chunk: for each group that asks, how many shingles it shares with each that is told."""
+        asks = rows["asks"]
+        told = {c: x[~asks] for c, x in rows.items()}
+        order = np.argsort(told["bucket"], kind="stable")
+        told = {c: x[order] for c, x in told.items()}
+        docs, first, doc = np.unique(told["pkey"], return_index=True, return_inverse=True)
+        other = {c: told[c][first] for c in ("n", "shared", "small", "homes", "lo", "hi", "guest")}
+        asking = {c: x[asks] for c, x in rows.items()}
+        order = np.argsort(asking["pkey"], kind="stable")
+        asking = {c: x[order] for c, x in asking.items()}
+        begin, stop = (np.searchsorted(told["bucket"], asking["bucket"], side) for side in ("left", "right"))
+        cut = np.flatnonzero(np.concatenate(([True], asking["pkey"][1:] != asking["pkey"][:-1]))) if len(order) else np.zeros(0, np.int64)
+        for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
+            own = {c: asking[c][x] for c in ("pkey", "n", "shared", "small", "homes", "lo", "hi")}
+            met = np.bincount(np.concatenate([doc[p:q] for p, q in zip(begin[x:y].tolist(), stop[x:y].tolist(), strict=True)]), minlength=len(docs))
+            # two guests ask each other: one of them tells; and one component's groups are tied already
+            together = (own["lo"] == own["hi"]) & (other["lo"] == own["lo"]) & (other["hi"] == own["lo"])
+            j = np.flatnonzero((met > 0) & (~other["guest"] | (docs > own["pkey"])) & (docs != own["pkey"]) & ~together)
+            o = {c: v[j] for c, v in other.items()}
+            reach, least = met[j] * np.minimum(own["homes"], o["homes"]), need(own["n"], o["n"], np.maximum)
+            ok = (np.minimum(own["n"], o["n"]) * DENOMINATOR >= np.maximum(own["n"], o["n"]) * NUMERATOR) & (np.minimum(own["shared"], o["shared"]) >= least)
+            ok &= reach + np.minimum(own["small"], o["small"]) >= least
+            j, reach, least = j[ok], reach[ok], least[ok]
+            yield np.stack((np.minimum(docs[j], own["pkey"]), np.maximum(docs[j], own["pkey"]), reach, least), 1)
+
     def meet(table: pa.Table) -> pa.Table:
-        home, block, bucket, key, n, shared, small, homes = (table[c].to_numpy() for c in ("home", "block", "bucket", "pkey", "n", "shared", "small", "homes"))
-        guest = table["guest"].to_numpy()
-        order = np.lexsort((bucket, block, home))
-        place = np.stack((home, block), 1)[order]
-        cut = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]).any(1)))) if len(order) else np.zeros(0, np.int64)
+        rows = {c: table[c].to_numpy() for c in ("home", "block", "chunk", *columns, "asks")}
+        order = np.lexsort((rows["chunk"], rows["block"], rows["home"]))
+        rows = {c: x[order] for c, x in rows.items()}
+        new = (rows["home"][1:] != rows["home"][:-1]) | (rows["block"][1:] != rows["block"][:-1]) | (rows["chunk"][1:] != rows["chunk"][:-1])
+        cut = np.flatnonzero(np.concatenate(([True], new))) if len(order) else np.zeros(0, np.int64)
         found = [np.zeros((0, 4), np.int64)]
         for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
-            at = order[x:y]
-            docs, first, doc = np.unique(key[at], return_index=True, return_inverse=True)
-            size, most, others, kinds, away = n[at][first], shared[at][first], small[at][first], homes[at][first], np.zeros(len(docs), bool)
-            np.logical_or.at(away, doc, guest[at])
-            begin = np.flatnonzero(np.concatenate(([True], np.diff(bucket[at]) != 0)))
-            stop, part = np.append(begin[1:], len(at)), np.zeros(len(at), np.int64)
-            part[begin] = 1
-            part = np.cumsum(part) - 1
-            by_doc = np.argsort(doc, kind="stable")
-            bounds = np.searchsorted(doc[by_doc], np.arange(len(docs) + 1))
-            for i in np.flatnonzero(away).tolist():
-                own = part[by_doc[bounds[i] : bounds[i + 1]]]
-                met = np.bincount(np.concatenate([doc[begin[p] : stop[p]] for p in own.tolist()]), minlength=len(docs))
-                j = np.flatnonzero((met > 0) & (~away | (np.arange(len(docs)) > i)))
-                reach, least = met[j] * np.minimum(kinds[i], kinds[j]), need(size[i], size[j], np.maximum)
-                ok = (np.minimum(size[i], size[j]) * DENOMINATOR >= np.maximum(size[i], size[j]) * NUMERATOR) & (np.minimum(most[i], most[j]) >= least)
-                ok &= reach + np.minimum(others[i], others[j]) >= least
-                j, reach, least = j[ok], reach[ok], least[ok]
-                found.append(np.stack((np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j]), reach, least), 1))
+            found += unit({c: v[x:y] for c, v in rows.items()})
         pairs = np.concatenate(found)
         return pa.Table.from_arrays([pa.array(pairs[:, k]) for k in range(4)], schema=schema)
 
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("home", "block"), F.lit(shards)))
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("home", "block", "chunk"), F.lit(shards)))
     told = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, most long, need long")
     told = told.groupBy("a", "b").agg(F.max("most").alias("most"), F.max("need").alias("need"))
     told = told.join(few.select("a", "b", F.col("met").alias("more")), ["a", "b"], "left")
     return told.where(F.col("most") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b")
 
 
+def _inside_pairs(docs: DataFrame, classes: DataFrame, placed: DataFrame, open_: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b, w): classes of one group (one prefix and size) that are in different components and may be alike.
+
+    Two such sets of n shingles share ``ceil(6 n / 7)`` if they are alike, so one of the first ``n - ceil(6 n
+    / 7) + 1`` in any one order; the highest hashes are taken, as the lowest are the prefix they share.
+    """
+    mine = scratch.save(placed.join(open_.select("pkey"), "pkey").select("pkey", "cid", "label", "n"), "inside")
+    if mine.isEmpty():
+        return mine.select(F.col("cid").alias("a"), F.col("cid").alias("b"), F.col("n").alias("w"))
+    schema = pa.schema([("cid", pa.int64()), ("h", pa.int64())])
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(blob, np.int64)
+                top = own[-(len(own) - -(-2 * NUMERATOR * len(own) // (NUMERATOR + DENOMINATOR)) + 1) :]
+                yield record(schema, (np.full(len(top), cid), top))
+
+    keys = _sets(docs, classes, mine.select(F.col("cid").alias("a"), F.col("cid").alias("b"))).mapInArrow(tops, "cid long, h long").join(mine, "cid")
+    keys = scratch.save(keys, "inside-keys")
+    left, right = (keys.select("pkey", "h", F.col("cid").alias(c), F.col("label").alias(f"_{c}"), *(["n"] if c == "a" else [])) for c in "ab")
+    return left.join(right, ["pkey", "h"]).where("a < b and _a <> _b").select("a", "b", (2 * F.col("n")).alias("w")).distinct()
+
+
 def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of groups as pairs of their classes."""
-    both = pairs.join(members.toDF("a", "x"), "a").join(members.toDF("b", "y"), "b")
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    """Pairs of groups as pairs of their classes, with the shingles they have in all."""
+    both = pairs.join(members.toDF("a", "x", "nx"), "a").join(members.toDF("b", "y", "ny"), "b")
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("nx") + F.col("ny")).alias("w"))
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:

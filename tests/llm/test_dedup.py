@@ -77,7 +77,9 @@ def test_common_shingles_change_nothing(spark, monkeypatch):
     """Everything that occurs twice is common here, so the hub rounds and what follows do all the work."""
     monkeypatch.setattr(jaccard, "MET", 1)
     monkeypatch.setattr(jaccard, "COMMON", 2)
-    monkeypatch.setattr(jaccard, "VERIFY", 7)
+    monkeypatch.setattr(jaccard, "VERIFY", 500)
+    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    monkeypatch.setattr(jaccard, "CHUNK", 15)
     rows = near_copies(3, groups=8, noise=6)
     got = jaccard.near_components(frame(spark, rows), Scratch(spark, "test"))
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute_components(rows)
@@ -112,6 +114,61 @@ def test_excerpts_of_larger_texts_are_found(spark, monkeypatch, met):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute_components(rows)
 
 
+@pytest.mark.parametrize("common", [16, 2])
+def test_short_variants(spark, monkeypatch, common):
+    """Many classes with one prefix and size, of which some are alike and others not."""
+    monkeypatch.setattr(jaccard, "MET", 1)
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    rng, texts = random.Random(6), []
+    for b in range(25):
+        base = [f"b{b}w{i}" for i in range(rng.randrange(11, 30))]
+        for v in range(12):
+            t = list(base)
+            for _ in range(rng.randrange(1, 3)):
+                t[rng.choice([0, 1, 2, -1, -2, -3])] = f"v{rng.randrange(4)}"
+            texts.append(" ".join(t))
+    rows = list(enumerate(texts))
+    scratch = Scratch(spark, "test")
+    made = []
+    monkeypatch.setattr(jaccard, "_inside_pairs", lambda *a, own=jaccard._inside_pairs: made.append(own(*a)) or made[-1])
+    got = jaccard.near_components(frame(spark, rows), scratch)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute_components(rows)
+    assert len(made) == 1
+
+
+def template(n, own=16, words=84):
+    """Documents of one template and some words of their own: many shared shingles, no two alike."""
+    base = [f"t{i}" for i in range(words)]
+    return [(i, " ".join([*base, *(f"d{i}x{j}" for j in range(own))])) for i in range(n)]
+
+
+def test_documents_of_one_template_are_not_paired(spark):
+    rows = template(300)
+    scratch, sizes = Scratch(spark, "test"), []
+    own = jaccard.apart_pairs
+
+    def count(rest, few, s):
+        sizes.append(rest.count())
+        return own(rest, few, s)
+
+    jaccard.apart_pairs = count
+    try:
+        got = jaccard.near_components(frame(spark, rows), scratch).collect()
+    finally:
+        jaccard.apart_pairs = own
+    assert sizes == [0] and all(r["component_id"] == r["doc_id"] for r in got)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(9000)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join([*long[:55_000], "end"])), (3, " ".join(long[:20_000])), (4, "x" * 200_000), (5, "x" * 200_000)]
+    got = jaccard.near_components(frame(spark, rows), Scratch(spark, "test"))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=str) == brute_components(rows)
+    cuts = substrings.dedup_digests(frame(spark, rows), Scratch(spark, "test"))
+    assert sorted(map(tuple, cuts.collect()), key=str) == brute_cuts(rows)
+
+
 def test_no_documents(spark):
     assert jaccard.near_components(frame(spark, []), Scratch(spark, "test")).collect() == []
     assert jaccard.near_components(frame(spark, [(1, None)]), Scratch(spark, "test")).drop("class_id").collect() == [(1, 0, 1)]

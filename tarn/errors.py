@@ -10,7 +10,7 @@ KINDS = frozenset(
         "cardinality_mismatch", "invalid_command", "missing_predicate", "invalid_predicate", "missing_context",
         "invalid_foreign_key_guard", "execution_failed", "transaction_failed", "timeout", "unsupported_feature",
         "invalid_connection_options", "invalid_busy_timeout", "constraint_violation", "store_busy", "invalid_domain",
-        "invalid_parameters",
+        "invalid_parameters", "missing_dependency",
     }
 )
 
@@ -32,6 +32,13 @@ class TarnError(Exception):
         return f"TarnError({self.kind!r}, {self.message!r}, {self.details!r})"
 
 
+class MissingDependency(TarnError, ImportError):
+    """A library that the engine runs on is not there."""
+
+    def __init__(self, library: str) -> None:
+        super().__init__("missing_dependency", f"{library} is needed and can't be imported", library=library)
+
+
 def unsupported(feature: str, message: str, **details: Any) -> TarnError:
     return TarnError("unsupported_feature", message, feature=feature, **details)
 

@@ -66,17 +66,25 @@ def kind(value: Column) -> Column:
 
 def type_of(column: Column, path=None) -> Column:
     """null, true, false, integer, real, text, array or object; NULL where nothing is."""
-    value = at(column, path)
-    k = kind(value)
-    return (
-        F.when(k.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "integer")
-        .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"), "real")
-        .when(k == "BOOLEAN", F.try_variant_get(value, "$", "string"))
-        .when(k == "STRING", "text")
-        .when(k == "VOID", "null")
-        .when(k.startswith("ARRAY"), "array")
-        .when(k.startswith("OBJECT"), "object")
-    )
+
+    def named(pair: Column) -> Column:
+        k = pair["k"]
+        return (
+            F.when(k.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "integer")
+            .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"), "real")
+            .when(k == "BOOLEAN", pair["t"])
+            .when(k == "STRING", "text")
+            .when(k == "VOID", "null")
+            .when(k.startswith("ARRAY"), "array")
+            .when(k.startswith("OBJECT"), "object")
+        )
+
+    return _once(_once(at(column, path), lambda v: F.struct(kind(v).alias("k"), F.try_variant_get(v, "$", "string").alias("t"))), named)
+
+
+def _once(value: Column, then) -> Column:
+    """``then`` of a value that is computed once however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
 
 
 def same(value: Column, wanted: Any) -> Column:
@@ -125,27 +133,37 @@ def exists(column: Column, path) -> Column:
 
 def elements(column: Column, path=None) -> Column:
     """The array at a path as an array of variants, NULL if it is none."""
-    value = at(column, path)
-    return F.when(kind(value).startswith("ARRAY"), F.try_variant_get(value, "$", "array<variant>"))
+    return F.try_variant_get(variant(column), render_path(path), "array<variant>")
+
+
+def _is(element: Column, wanted: Any) -> Column:
+    return F.coalesce(same(element, wanted), F.lit(False))
 
 
 def array_contains(column: Column, wanted: Any, path=None) -> Column:
-    return F.coalesce(F.exists(elements(column, path), lambda e: F.coalesce(same(e, wanted), F.lit(False))), F.lit(False))
+    return array_contains_any(column, [wanted], path)
 
 
 def array_contains_any(column: Column, wanted: list, path=None) -> Column:
-    return reduce(or_, [array_contains(column, w, path) for w in wanted], F.lit(False))
+    """One pass over the elements, which are parsed once."""
+    if not wanted:
+        return F.lit(False)
+    return F.coalesce(F.exists(elements(column, path), lambda e: reduce(or_, [_is(e, w) for w in wanted])), F.lit(False))
 
 
 def array_contains_all(column: Column, wanted: list, path=None) -> Column:
-    return reduce(and_, [array_contains(column, w, path) for w in wanted], F.lit(True))
+    """One pass over the elements marks which values were met."""
+    if not wanted:
+        return F.lit(True)
+    start = F.array(*(F.lit(False) for _ in wanted))
+    met = F.aggregate(elements(column, path), start, lambda seen, e: F.array(*(seen[i] | _is(e, w) for i, w in enumerate(wanted))))
+    return F.coalesce(F.forall(met, lambda x: x), F.lit(False))
 
 
 def array_length(column: Column, path=None) -> Column:
     """Elements of the array at a path: 0 for another JSON value, NULL where nothing is."""
-    value = at(column, path)
-    size = F.size(elements(column, path)).cast("bigint")
-    return F.when(kind(value).startswith("ARRAY"), size).when(value.isNotNull(), F.lit(0).cast("bigint"))
+    size = lambda v: F.when(v.isNotNull(), F.coalesce(F.size(F.try_variant_get(v, "$", "array<variant>")).cast("bigint"), F.lit(0).cast("bigint")))
+    return _once(at(column, path), size)
 
 
 def build_object(pairs: Mapping[str, Column]) -> Column:

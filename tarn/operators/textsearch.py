@@ -150,8 +150,8 @@ def match(fields: Sequence[str] | str, query: str, mode: str | None = None, doma
 def bm25(df: DataFrame, key: str, fields: Sequence[str] | str, query: str, weights: Sequence[float] | Mapping[str, float] | None = None, mode: str | None = None, domain: Domain | None = None, alias: str = "rank") -> DataFrame:
     """Matching rows with their BM25 rank under ``alias``; lower is better (the score is negated).
 
-    One scan tokenises and counts the query's terms; statistics of the corpus are one row, joined back by
-    broadcast (its size is the number of query terms).
+    Two scans: one counts the query's terms and lengths for the statistics of the corpus, which are one row
+    (as many numbers as the query has terms) joined back by broadcast; one ranks the rows that match.
     """
     names = _fields(domain, fields)
     if domain is not None and (far := [f for f in names if f in domain.joined]):

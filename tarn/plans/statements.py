@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -17,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..domain import Domain, Reference
 from ..errors import TarnError, normalize_error
+from ..lexer import mask, plain, table_places
 from ..predicates import quote
 from ..session import Result, Session
-from ..types import bind
 from .writes import Transaction, Writer
 
 _NAME = r'("(?:[^"]|"")+"|`(?:[^`]|``)+`|[A-Za-z_][\w.]*)'
@@ -28,13 +26,15 @@ _INSERT = re.compile(rf"\s*(INSERT\s+OR\s+REPLACE|INSERT|REPLACE)\s+INTO\s+{_NAM
 _UPDATE = re.compile(rf"\s*UPDATE\s+{_NAME}\s+SET\s+(.*?)\s+WHERE\s+(.*?)\s*;?\s*", re.I | re.S)
 _DELETE = re.compile(rf"\s*DELETE\s+FROM\s+{_NAME}\s+WHERE\s+(.*?)\s*;?\s*", re.I | re.S)
 _DROP = re.compile(rf"\s*DROP\s+TABLE\s+(IF\s+EXISTS\s+)?{_NAME}\s*;?\s*", re.I)
-_TABLES = re.compile(rf"((?:\bFROM|\bJOIN|,)\s+){_NAME}", re.I)
 _ALIASED = re.compile(r"\s+(?:AS\s+)?(?!(?:ON|WHERE|JOIN|LEFT|INNER|CROSS|GROUP|ORDER|LIMIT|OFFSET|UNION|HAVING|EXCEPT|INTERSECT|USING|WINDOW)\b)[A-Za-z_]", re.I)
 _CHANGES = re.compile(r"\s*(INSERT|REPLACE|UPDATE|DELETE)\b", re.I)
 
 
-def _plain(name: str) -> str:
-    return name[1:-1].replace(name[0] * 2, name[0]) if name[0] in '"`' else name
+def _match(pattern: re.Pattern, text: str, nested: bool = False) -> list[str | None] | None:
+    """The pattern's groups (from 1) in a statement whose literals and comments, and with ``nested`` whatever
+    is in brackets, are not looked at."""
+    m = pattern.fullmatch(mask(text, nested))
+    return m and [None, *(None if m.start(i) < 0 else text[m.start(i) : m.end(i)] for i in range(1, pattern.groups + 1))]
 
 
 def _parts(text: str) -> list[str]:
@@ -55,12 +55,12 @@ def _parts(text: str) -> list[str]:
 
 
 def _names(text: str) -> tuple[str, ...]:
-    return tuple(_plain(p) for p in _parts(text))
+    return tuple(plain(p) for p in _parts(text))
 
 
 def parse_table(text: str) -> Domain:
     """The domain of a CREATE TABLE statement: types, PRIMARY KEY, AUTOINCREMENT, NOT NULL, UNIQUE, REFERENCES."""
-    m = _CREATE.fullmatch(text)
+    m = _match(_CREATE, text)
     if not m:
         raise TarnError("invalid_command", "not a CREATE TABLE statement", text=text)
     columns, key, unique, required, refs, generated = {}, (), [], set(), [], None
@@ -70,9 +70,9 @@ def parse_table(text: str) -> Domain:
         elif c := re.fullmatch(r"UNIQUE\s*\((.*)\)", part, re.I | re.S):
             unique.append(_names(c[1]))
         elif c := re.fullmatch(rf"FOREIGN\s+KEY\s*\((.*?)\)\s*REFERENCES\s+{_NAME}\s*\((.*?)\).*", part, re.I | re.S):
-            refs.append(Reference(_plain(c[1].strip()), _plain(c[2]), _plain(c[3].strip())))
+            refs.append(Reference(plain(c[1].strip()), plain(c[2]), plain(c[3].strip())))
         elif c := re.fullmatch(rf"{_NAME}\s+([A-Za-z]+(?:\s+PRECISION)?(?:\s*\([^)]*\))?)(.*)", part, re.I | re.S):
-            name, rest = _plain(c[1]), c[3]
+            name, rest = plain(c[1]), c[3]
             columns[name] = c[2]
             if re.search(r"PRIMARY\s+KEY", rest, re.I):
                 key = (name,)
@@ -82,10 +82,10 @@ def parse_table(text: str) -> Domain:
             if re.search(r"\bUNIQUE\b", rest, re.I):
                 unique.append((name,))
             if r := re.search(rf"REFERENCES\s+{_NAME}\s*\((.*?)\)", rest, re.I):
-                refs.append(Reference(name, _plain(r[1]), _plain(r[2].strip())))
+                refs.append(Reference(name, plain(r[1]), plain(r[2].strip())))
         else:
             raise TarnError("invalid_command", "a column can't be read", column=part)
-    return Domain(_plain(m[2]), columns, key, tuple(unique), frozenset(required), tuple(refs), generated)
+    return Domain(plain(m[2]), columns, key, tuple(unique), frozenset(required), tuple(refs), generated)
 
 
 class Statements:
@@ -97,14 +97,14 @@ class Statements:
 
     def execute(self, text: str, params: Sequence[Any] | None = None, *, timeout: int = 60_000) -> Result:
         """Rows of a query, or the number of rows that a change touched."""
-        if m := _CREATE.fullmatch(text):
-            if not (m[1] and _plain(m[2]) in self.store.load()):
+        if m := _match(_CREATE, text):
+            if not (m[1] and plain(m[2]) in self.store.load()):
                 self.store.create(parse_table(text))
             return Result([], [], 0)
-        if m := _DROP.fullmatch(text):
-            return self._drop(_plain(m[2]), bool(m[1]))
+        if m := _match(_DROP, text):
+            return self._drop(plain(m[2]), bool(m[1]))
         try:
-            if not _CHANGES.match(text):
+            if not _CHANGES.match(mask(text)):
                 return self.session.execute(self.frame(text, params), timeout=timeout)
             return Result([], [], self.writer._guarded(lambda tx: self._change(tx, text, params)))
         except TarnError:
@@ -113,20 +113,18 @@ class Statements:
             raise normalize_error(e) from e
 
     def frame(self, text: str, params: Sequence[Any] | None = None) -> DataFrame:
-        """A query's lazy DataFrame; after FROM, JOIN and commas the store's tables go by their names."""
+        """A query's lazy DataFrame; where it has a table, the store's tables go by their names."""
         current = self.writer.current
         tables = current.tables if current else self.store.load()
         used: dict[str, DataFrame] = {}
-
-        def named(m: re.Match) -> str:
-            name = _plain(m[2])
-            if name not in tables:
-                return m[0]
-            used[name] = self.store.read(tables[name])
-            alias = "" if _ALIASED.match(text, m.end()) else f" AS {quote(name)}"
-            return f"{m[1]}{{{name}}}{alias}"
-
-        return self.session.sql(_TABLES.sub(named, text), params, used)
+        out, at = [], 0
+        for start, end, name in table_places(text):
+            if name in tables:
+                used[name] = self.store.read(tables[name])
+                alias = "" if _ALIASED.match(text, end) else f" AS {quote(name)}"
+                out += [text[at:start], f"{{{name}}}{alias}"]
+                at = end
+        return self.session.sql("".join([*out, text[at:]]), params, used)
 
     def _drop(self, name: str, lenient: bool) -> Result:
         with self.store.lock():
@@ -138,17 +136,17 @@ class Statements:
         return Result([], [], 0)
 
     def _change(self, tx: Transaction, text: str, params: Sequence[Any] | None) -> int:
-        if m := _INSERT.fullmatch(text):
-            name, columns = _plain(m[2]), _names(m[3])
+        if m := _match(_INSERT, text):
+            name, columns = plain(m[2]), _names(m[3])
             rows = self.frame(m[4] if re.match(r"\s*(SELECT|WITH)\b", m[4], re.I) else f"SELECT * FROM ({m[4]})", params).toDF(*columns)
             if m[1].upper() != "INSERT":
                 self._replace(tx, name, rows)
             return self.writer.append(name, rows).affected_rows
-        if m := _UPDATE.fullmatch(text):
-            name = _plain(m[1])
+        if m := _match(_UPDATE, text, nested=True):
+            name = plain(m[1])
             state = tx.state(name)
             pairs = [p.partition("=") for p in _parts(m[2])]
-            sets = {_plain(c.strip()): v.strip() for c, _, v in pairs}
+            sets = {plain(c.strip()): v.strip() for c, _, v in pairs}
             if unknown := [c for c in sets if c not in state.domain.columns]:
                 raise TarnError("execution_failed", "no such column", columns=unknown)
             *values, where = self._expressions([*sets.values(), m[3]], params)
@@ -163,8 +161,8 @@ class Statements:
                 self.writer._constraints(tx, after, touched, among=self.store.read(after) if keys else None)
                 tx.put(after)
             return n
-        if m := _DELETE.fullmatch(text):
-            state = tx.state(_plain(m[1]))
+        if m := _match(_DELETE, text, nested=True):
+            state = tx.state(plain(m[1]))
             (where,) = self._expressions([m[2]], params)
             matched = F.coalesce(F.expr(where), F.lit(False))
             after, old = self.store.rewritten(state, matched, lambda df: df.where(~matched))
@@ -176,14 +174,11 @@ class Statements:
         raise TarnError("invalid_command", "the statement can't be read (UPDATE and DELETE need WHERE)", text=text)
 
     def _replace(self, tx: Transaction, name: str, rows: DataFrame) -> None:
-        """Delete the rows whose unique keys the new ones take."""
+        """Delete the rows whose unique keys the new ones take: one rewrite for each unique key of the table."""
+        types = {f.name: f.dataType for f in tx.state(name).domain.schema}
         for u in tx.state(name).domain.uniques:
-            if not set(u) <= set(rows.columns):
-                continue
-            for key in rows.select(*map(quote, u)).dropna().distinct().collect():
-                state = tx.state(name)
-                matched = reduce(and_, (F.col(quote(c)) == F.lit(bind(v, state.domain.schema[c].dataType)) for c, v in zip(u, key, strict=True)))
-                tx.put(self.store.rewritten(state, matched, lambda df, m=matched: df.where(~F.coalesce(m, F.lit(False))))[0])
+            if set(u) <= set(rows.columns):
+                tx.put(self.store.without(tx.state(name), rows.select(*(F.col(quote(c)).cast(types[c]).alias(c) for c in u))))
 
     @staticmethod
     def _expressions(texts: list[str], params: Sequence[Any] | None) -> list[str]:

@@ -335,7 +335,7 @@ class Writer:
             next_key += 1
         elif generated:
             next_key = max(next_key, int(given[generated]) + 1)
-        new = self.store.spark.range(1).select(*(c.alias(n) for n, c in columns.items()))
+        new = self.store.spark.range(0, 1, 1, 1).select(*(c.alias(n) for n, c in columns.items()))
         self._constraints(tx, state, new)
         fresh = replace(self.store.added(state, new), next_key=next_key)
         tx.put(fresh)
@@ -374,7 +374,7 @@ class Writer:
         return self._change(tx, state, checked, matched, sets)
 
     def _change(self, tx, state, checked, matched, sets) -> tuple[int, list]:
-        moment = self.store.spark.range(1).select(now()).first()[0]
+        moment = self.store.spark.range(0, 1, 1, 1).select(now()).first()[0]
         frozen = {n: F.lit(moment).cast(state.domain.schema[n].dataType) if _is_now(checked, n) else c for n, c in sets.items()}
         after = lambda df: df.withColumns({n: F.when(matched, c).otherwise(F.col(quote(n))) for n, c in frozen.items()})
         fresh, old = self.store.rewritten(state, matched, after)

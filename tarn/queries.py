@@ -14,6 +14,7 @@ from .functions import collections as coll
 from .functions import json as js
 from .functions.datetimes import datetime_operation
 from .operators import relational, textsearch
+from .plans.statements import Statements
 from .plans.writes import Batch, Binding, Command, Graph, Node, Row, Writer
 from .session import Session
 from .sources.scratch import private_folder
@@ -110,9 +111,9 @@ def right_emulated(s):
     return s.query(big).right_join("customer", F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_custkey").df
 
 
-@query("SELECT c.c_custkey, s.s_suppkey FROM (SELECT * FROM customer WHERE c_custkey < 500) c FULL JOIN (SELECT * FROM supplier WHERE s_suppkey < 700) s ON c.c_custkey = s.s_suppkey * 7")
+@query("SELECT c.c_custkey, s.s_suppkey FROM (SELECT * FROM customer WHERE c_acctbal > 0) c FULL JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON c.c_custkey = s.s_suppkey * 7")
 def full_emulated(s):
-    c, p = s.table("customer").where("c_custkey < 500"), s.table("supplier").where("s_suppkey < 700")
+    c, p = s.table("customer").where("c_acctbal > 0"), s.table("supplier").where("s_acctbal > 0")
     return s.query(c).full_join(p, F.col("c_custkey") == F.col("s_suppkey") * 7).select("c_custkey", "s_suppkey").df
 
 
@@ -121,9 +122,9 @@ def semi_exists(s):
     return s.query("customer").join(s.table("orders").where("o_totalprice > 250000"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey").df
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 250000)")
 def anti_exists(s):
-    return s.query("customer").join("orders", F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey").df
+    return s.query("customer").join(s.table("orders").where("o_totalprice > 250000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey").df
 
 
 @query("SELECT a.n_name, b.r_name FROM nation a JOIN region b ON a.n_regionkey = b.r_regionkey WHERE b.r_name LIKE 'A%'")
@@ -171,9 +172,9 @@ def json_array_agg_distinct(s):
     return s.query("customer").collect_values(["c_nationkey"], "segments", "array_agg", "c_mktsegment", distinct=True).df
 
 
-@query("SELECT e.event_type, '[' || string_agg(coalesce(v::VARCHAR, 'null'), ',' ORDER BY v NULLS FIRST) || ']' AS vals FROM (SELECT event_type, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id END AS v FROM events WHERE event_id < 40) e GROUP BY 1")
+@query("SELECT e.event_type, '[' || string_agg(coalesce(v::VARCHAR, 'null'), ',' ORDER BY v NULLS FIRST) || ']' AS vals FROM (SELECT event_type, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id END AS v FROM events) e GROUP BY 1")
 def json_array_agg_nulls(s):
-    df = s.table("events").where("event_id < 40").select("event_type", F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("v"))
+    df = s.table("events").select("event_type", F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("v"))
     return df.groupBy("event_type").agg(coll.json_array(F.col("v")).alias("vals"))
 
 
@@ -247,9 +248,9 @@ def intersect(s):
     return s.query(s.table("customer").select(F.col("c_custkey").alias("k"))).intersect(s.table("orders").select("o_custkey")).df
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 250000")
 def except_(s):
-    return s.query(s.table("customer").select(F.col("c_custkey").alias("k"))).except_(s.table("orders").select("o_custkey")).df
+    return s.query(s.table("customer").select(F.col("c_custkey").alias("k"))).except_(s.table("orders").where("o_totalprice > 250000").select("o_custkey")).df
 
 
 _CTE = "WITH big AS (SELECT o_custkey, count(*) AS n FROM {o} WHERE o_totalprice > 200000 GROUP BY o_custkey) SELECT c_custkey, c_name, CAST(n AS BIGINT) AS n FROM {c} JOIN big ON c_custkey = o_custkey"
@@ -345,17 +346,20 @@ def json_contains(s):
     return _docs(s).where(js.json_operation("json_contains", F.col("doc"), value={"k": 3, "o": {"x": 1}})).select("event_id")
 
 
-@query(_over("json_exists(doc, '$.only') AS only, true AS n, false AS z"))
+@query(_over("json_exists(doc, '$.only') AS only, json_exists(doc, '$.n') AS n, json_exists(doc, '$.z') AS z"))
 def json_key_exists(s):
     return _docs(s).select("event_id", js.json_operation("json_exists", F.col("doc"), path="only").alias("only"), js.json_operation("json_path_exists", F.col("doc"), path="$.n").alias("n"), js.exists(F.col("doc"), "z").alias("z"))
 
 
-@query(_over("'integer' AS k, 'text' AS s, 'real' AS f, json_extract_string(doc, '$.b') AS b, 'null' AS n, 'object' AS o, 'array' AS a, NULL::VARCHAR AS z"))
+_TYPE = "CASE json_type(doc, '$.{0}') WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'VARCHAR' THEN 'text' WHEN 'DOUBLE' THEN 'real' WHEN 'BOOLEAN' THEN json_extract_string(doc, '$.{0}') ELSE lower(json_type(doc, '$.{0}')) END AS {0}"
+
+
+@query(_over(", ".join(map(_TYPE.format, "ksfbnoaz"))))
 def json_typeof(s):
     return _docs(s).select("event_id", *(js.json_operation("json_typeof", F.col("doc"), path=p).alias(p) for p in "ksfbnoaz"))
 
 
-@query(_over("4::BIGINT AS a, 0::BIGINT AS k, NULL::BIGINT AS z"))
+@query(_over(", ".join(f"json_array_length(doc, '$.{p}')::BIGINT AS {p}" for p in "akz")))
 def json_array_length(s):
     return _docs(s).select("event_id", *(js.json_operation("json_array_length", F.col("doc"), path=p).alias(p) for p in "akz"))
 
@@ -385,6 +389,12 @@ def json_rowset(s):
     return js.json_rows(_docs(s), "doc", "a").select("event_id", "index", "value")
 
 
+@query(_over("json_extract_string(json_extract(doc, '$.t'), '$') AS d").replace(_DOC, "'{\"t\": \"' || strftime(ts, '%Y-%m-%d') || '\"}'"))
+def json_extract_date(s):
+    docs = s.table("events").select("event_id", F.concat(F.lit('{"t": "'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"}')).alias("doc"))
+    return docs.select("event_id", js.json_operation("json_extract", F.col("doc"), path="$.t", cast="date").alias("d"))
+
+
 # ----------------------------------------------------------------------------------- full text
 
 _T = "list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '')"
@@ -414,6 +424,17 @@ def fts_bm25(s):
     return ranked.select("doc_id", F.round("rank", 6).alias("rank"))
 
 
+@query(f"""WITH d AS (SELECT doc_id, {_T} AS w, {_T.replace("text", "lang")} AS v FROM documents),
+    n AS (SELECT doc_id, len(w) + len(v) AS l, len(list_filter(w, lambda x: x = 'license')) AS aw, len(list_filter(v, lambda x: x = 'license')) AS av, len(list_filter(w, lambda x: x = 'en')) AS bw, len(list_filter(v, lambda x: x = 'en')) AS bv FROM d),
+    t AS (SELECT count(*) AS docs, avg(l) AS avgl, sum(CASE WHEN aw + av > 0 THEN 1 ELSE 0 END) AS da, sum(CASE WHEN bw + bv > 0 THEN 1 ELSE 0 END) AS db FROM n),
+    f AS (SELECT *, aw + 4.0 * av AS a, bw + 4.0 * bv AS b, 1.2 * (0.25 + 0.75 * l / avgl) AS k FROM n, t)
+    SELECT doc_id, round(-(greatest(ln((docs - da + 0.5) / (da + 0.5)), 1e-6) * (a * 2.2) / (a + k) + greatest(ln((docs - db + 0.5) / (db + 0.5)), 1e-6) * (b * 2.2) / (b + k)), 6) AS rank
+    FROM f WHERE aw > 0 OR av > 0 OR bw > 0 OR bv > 0""")
+def fts_bm25_weights(s):
+    ranked = textsearch.bm25(s.table("documents").select("doc_id", "text", "lang"), "doc_id", ["text", "lang"], "license OR en", weights={"text": 1.0, "lang": 4.0})
+    return ranked.select("doc_id", F.round("rank", 6).alias("rank"))
+
+
 # -------------------------------------------------------------------------------------- writes
 
 CUSTOMER = Domain("customer", {"c_custkey": "bigint", "c_name": "text", "c_nationkey": "integer", "c_acctbal": "double", "c_mktsegment": "text"}, key=("c_custkey",), not_null=frozenset({"c_name"}), generated="c_custkey")
@@ -516,6 +537,105 @@ def write_insert_select(s):
     return store.table("customer")
 
 
+@query("SELECT c_custkey, 'changed' AS c_name, c_acctbal FROM customer WHERE c_nationkey = 3 AND c_acctbal > 0")
+def write_returning(s):
+    """What an update returns: the rows it changed, as they are after it."""
+    where = ("and", [("eq", "c_nationkey", 3), ("gt", "c_acctbal", 0)])
+    done = Writer(_store(s)).execute(Command("update", "customer", (("c_name", "changed"),), where, returning=["c_custkey", "c_name", "c_acctbal"]))
+    return s.spark.createDataFrame([tuple(r.values()) for r in done.rows], "c_custkey bigint, c_name string, c_acctbal double")
+
+
+@query("SELECT c_custkey, c_nationkey = 3 AS seen FROM customer")
+def write_now(s):
+    """The system's time as a value: set where the predicate holds, and not later than now."""
+    domain = Domain("visits", {"c_custkey": "bigint", "c_nationkey": "bigint", "c_seen": "datetime"}, key=("c_custkey",))
+    store = Store(s.spark, private_folder(s.spark, "store")).create(domain, s.table("customer").selectExpr("c_custkey", "cast(c_nationkey as bigint) AS c_nationkey", "cast(null as timestamp_ntz) AS c_seen"))
+    Writer(store).execute(Command("update", "visits", (("c_seen", ("literal", ("system", "now"))),), ("eq", "c_nationkey", 3)))
+    seen = F.col("c_seen").isNotNull() & (F.col("c_seen") <= F.localtimestamp()) & (F.col("c_seen") > F.localtimestamp() - F.expr("interval 1 hour"))
+    return store.table("visits").select("c_custkey", F.coalesce(seen, F.lit(False)).alias("seen"))
+
+
+@query(_O + " WHERE o_custkey IS DISTINCT FROM 10 UNION ALL SELECT 900000001, 10, 'N', 2.5 UNION ALL SELECT 900000002, 10, 'N', 3.5")
+def write_delete_missing(s):
+    """A graph writes two orders of a customer; the customer's other orders go."""
+    store = _store(s, orders=True)
+    order = lambda key, price: Command("insert", "orders", (("o_orderkey", key), ("o_custkey", 10), ("o_orderstatus", "N"), ("o_totalprice", price)), returning=["o_orderkey"])
+    node = Node("orders", "orders", (Row("0", order(900000001, 2.5)), Row("1", order(900000002, 3.5))), delete_missing=("o_custkey",))
+    Writer(store).execute(Graph((node,), ("orders", "0")))
+    return store.table("orders")
+
+
+@query("SELECT * FROM (VALUES ('unique', 'execution_failed'), ('required', 'execution_failed'), ('reference', 'execution_failed'), ('referred', 'execution_failed'), ('cardinality', 'cardinality_mismatch')) t(attempt, kind), (SELECT count(*)::BIGINT AS customers FROM customer), (SELECT count(*)::BIGINT AS orders FROM orders)")
+def write_refused(s):
+    """Writes that constraints refuse, how, and that they leave the tables as they were."""
+    from .errors import TarnError
+
+    store = _store(s, orders=True)
+    attempts = {
+        "unique": Command("insert", "customer", _new(10, "taken")),
+        "required": Command("update", "customer", (("c_name", None),), ("eq", "c_custkey", 10)),
+        "reference": Command("insert", "orders", (("o_orderkey", 900000001), ("o_custkey", -5))),
+        "referred": Command("delete", "customer", predicate=("gt", "c_custkey", 0)),
+        "cardinality": Command("delete", "orders", predicate=("gt", "o_orderkey", 0), expected_cardinality=("exactly", 1)),
+    }
+    kinds = []
+    for name, command in attempts.items():
+        try:
+            Writer(store).execute(command)
+        except TarnError as e:
+            kinds.append((name, e.kind))
+    sizes = [store.table(t).agg(F.count("*").alias(f"{t}s" if t == "customer" else t)) for t in ("customer", "orders")]
+    return s.spark.createDataFrame(kinds, "attempt string, kind string").crossJoin(sizes[0]).crossJoin(sizes[1])
+
+
+@query(_C + " WHERE c_custkey <> 14 UNION ALL SELECT 900000005, 'outer', 5, 1.5, 'NEW' UNION ALL SELECT 900000006, 'kept', 5, 1.5, 'NEW'")
+def write_savepoints(s):
+    """A transaction with two inner ones: one is kept, the other undone alone."""
+    store = _store(s)
+    writer = Writer(store)
+
+    def undone(tx):
+        writer.execute(Command("delete", "customer", predicate=("gt", "c_custkey", 0)))
+        raise LookupError("undo this level only")
+
+    def work(tx):
+        writer.execute(Command("insert", "customer", _new(900000005, "outer")))
+        writer.transaction(lambda inner: writer.execute(Command("insert", "customer", _new(900000006, "kept"))))
+        try:
+            writer.transaction(undone)
+        except LookupError:
+            pass
+        writer.execute(Command("delete", "customer", predicate=("eq", "c_custkey", 14)))
+
+    writer.transaction(work)
+    return store.table("customer")
+
+
+@query("SELECT c_custkey, CASE WHEN c_nationkey = 4 THEN 'replaced, from x' ELSE c_name END AS c_name, c_nationkey::BIGINT AS c_nationkey, CASE WHEN c_nationkey = 4 THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer")
+def sql_replace(s):
+    """REPLACE of many rows at once: those whose keys it takes go, in one rewrite."""
+    db = Statements(Writer(_store(s)))
+    db.execute("REPLACE INTO customer (c_custkey, c_name, c_nationkey, c_mktsegment) SELECT c_custkey, 'replaced, from x', c_nationkey, c_mktsegment FROM customer WHERE c_nationkey = ?", [4])
+    return db.frame("SELECT * FROM customer")
+
+
+@query("SELECT c_nationkey::BIGINT AS nation, count(*)::BIGINT AS customers, 'from sums, customer' AS label FROM customer WHERE c_acctbal > 0 AND c_nationkey <> 7 GROUP BY 1")
+def sql_statements(s):
+    """CREATE, INSERT .. SELECT, UPDATE, DELETE and a query, as texts; names inside literals are literals."""
+    db = Statements(Writer(_store(s)))
+    db.execute("CREATE TABLE sums (nation BIGINT PRIMARY KEY, customers BIGINT NOT NULL, label VARCHAR)")
+    db.execute("INSERT INTO sums (nation, customers, label) SELECT c_nationkey, count(*), 'x WHERE y' FROM customer WHERE c_acctbal > $1 GROUP BY c_nationkey", [0])
+    db.execute("UPDATE sums SET label = 'from sums, customer' WHERE label = 'x WHERE y' AND nation + 0 = nation")
+    db.execute("DELETE FROM sums WHERE nation = 7 -- WHERE nation = 8")
+    return db.frame("SELECT nation, customers, label FROM sums")
+
+
+@query("SELECT n_name, r_name, '{nation} $1 ?' AS text FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey = 2")
+def sql_attached(s):
+    s.attach(s.database, "other")
+    return s.sql("SELECT n_name, r_name, '{nation} $1 ?' AS text FROM {nation} JOIN {other.region} r ON n_regionkey = r.r_regionkey WHERE r_regionkey = ?", [2])
+
+
 @query("SELECT 1 AS active, 12.5 AS amount UNION ALL SELECT 1, 20.25")
 def typed_parameters(s):
     from pyspark.sql import types as T

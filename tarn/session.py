@@ -12,12 +12,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from .errors import TarnError, normalize_error
+from .lexer import QUOTED, braces, fill_braces
 from .predicates import quote
 from .types import bind
 
 OFF = (False, 0, "off", "false", "0")
 TIMEOUT_MS = 5000
-_NUMBERED = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`(?:[^`]|``)*`|--[^\n]*|/\*.*?\*/|\$(\d+)|\?", re.S)
+_NUMBERED = re.compile(QUOTED + r"|\$(\d+)|\?", re.S)
 
 
 @dataclass
@@ -102,17 +103,15 @@ class Session:
     # ---------------------------------------------------------------------------------- SQL
 
     def sql(self, text: str, params: Sequence[Any] | None = None, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-        """A lazy DataFrame of a query.  ``{name}`` in the text stands for a table, ``$n`` or ``?`` for a value."""
-        named = {**(tables or {})}
-        for n in set(re.findall(r"\{(\w+)\}", text)) - named.keys():
-            named[n] = self.table(n)
-        views = {n: f"tarn_{n}_{uuid.uuid4().hex[:8]}" for n in named}
+        """A lazy DataFrame of a query.  ``{name}`` (or ``{other.name}`` of an attached folder) outside quotes
+        stands for a table, ``$n`` or ``?`` for a value."""
+        given = tables or {}
+        named = {n: given[n] if n in given else self.table(n) for n in braces(text)}
+        views = {n: f"tarn_{n.replace('.', '_')}_{uuid.uuid4().hex[:8]}" for n in named}
         for n, df in named.items():
             df.createOrReplaceTempView(views[n])
         try:
-            text, args = convert_parameters(text, [bind(p) for p in params or []])
-            for n, v in views.items():
-                text = text.replace("{" + n + "}", quote(v))
+            text, args = convert_parameters(fill_braces(text, lambda n: quote(views[n])), [bind(p) for p in params or []])
             return self.spark.sql(text, args=args)
         finally:
             for v in views.values():

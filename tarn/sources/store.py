@@ -122,11 +122,17 @@ class Store:
         return self.read(tables[name])
 
     def written(self, df: DataFrame) -> tuple[str, ...]:
-        """The files that now hold the rows of ``df``."""
+        """The files that now hold the rows of ``df``; files without rows are deleted."""
         at = f"{self.root}/data/{uuid.uuid4().hex}"
         df.write.parquet(at)
-        found = self.fs.listStatus(self.path(at))
-        return tuple(s.getPath().toString() for s in found if s.getPath().getName().startswith("part-"))
+        found = [s.getPath() for s in self.fs.listStatus(self.path(at)) if s.getPath().getName().startswith("part-")]
+        if len(found) > 1:
+            full = {r[0].rsplit("/", 1)[1] for r in self.spark.read.schema(df.schema).parquet(at).select(F.col("_metadata.file_path")).distinct().collect()}
+            for p in found:
+                if p.getName() not in full:
+                    self.fs.delete(p, False)
+            found = [p for p in found if p.getName() in full]
+        return tuple(p.toString() for p in found)
 
     def added(self, state: TableState, df: DataFrame) -> TableState:
         return replace(state, files=state.files + self.written(df))
@@ -144,6 +150,20 @@ class Store:
         fresh = self.written(change(old))
         return replace(state, files=tuple(f for f in state.files if f not in touched) + fresh), old.where(matched)
 
+    def without(self, state: TableState, keys: DataFrame) -> TableState:
+        """The state after one rewrite of the files that hold a row whose values of ``keys``' columns are
+        among its rows; other files are kept as they are."""
+        names, rows = keys.columns, self.read(state)
+        keys = keys.dropna().distinct()
+        hits = [r[0] for r in rows.select(*names, F.col("_metadata.file_path").alias("_tarn_file")).join(keys, names, "left_semi").select("_tarn_file").distinct().collect()] if state.files else []
+        if not hits:
+            return state
+        by_path = {self.path(f).toUri().getPath(): f for f in state.files}
+        touched = {by_path[self.path(h).toUri().getPath()] for h in hits}
+        old = self.spark.read.schema(state.domain.schema).parquet(*sorted(touched))
+        fresh = self.written(old.join(keys, names, "left_anti").select(*state.domain.columns))
+        return replace(state, files=tuple(f for f in state.files if f not in touched) + fresh)
+
     def vacuum(self) -> int:
         """Delete files that the manifest doesn't list; returns how many folders went."""
         with self.lock():

@@ -1,13 +1,13 @@
 """Byte-pair machinery: ragged-array merging, word pre-tokens, and a scan that finds byte-level pre-tokens.
 
 Merging works on many pre-tokens at once.  Their symbols lie in one flat array; in each round every
-pre-token applies its lowest-ranked pair, and pre-tokens without a mergeable pair leave the batch.
+pre-token applies its lowest-ranked pair, wherever it stands, and pre-tokens without a mergeable pair
+leave the batch.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import json
 import re
 import unicodedata
@@ -17,8 +17,6 @@ import numpy as np
 
 #: Pre-tokens remembered by a worker; the table is emptied beyond that, so memory is bounded.
 MEMO = 1_000_000
-#: Pre-tokens with more symbols are merged one by one with a heap: n log n, whatever their length.
-LONG = 256
 #: Pairs of symbols below this are looked up in a table, others by binary search.
 DENSE = 1024
 _NONE = np.iinfo(np.int64).max
@@ -53,18 +51,13 @@ class Pairs:
 def merge_all(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> list[bytes]:
     """Merge each sequence of the ragged array until no pair of it is mergeable; packed ids of each.
 
-    In every round each sequence applies its leftmost lowest-ranked pair, all sequences at once.
+    In every round each sequence applies its lowest-ranked pair, all sequences at once, and at all places
+    that it has (see ``places``), so a long sequence takes as many rounds as it has kinds of merges.
     Ranks of the pairs are kept, and only those beside a merge are looked up again.
     """
     out = [b""] * len(lengths)
-    flat, owner = flat.astype(np.int64), np.arange(len(lengths))
-    long = lengths > LONG
-    if long.any():
-        ends = np.cumsum(lengths)
-        for i in np.flatnonzero(long).tolist():
-            out[i] = np.array(merge_long(flat[ends[i] - lengths[i] : ends[i]].tolist(), pairs), "<u4").tobytes()
-    keep = ~long & (lengths > 0)
-    flat, owner, lengths = flat[np.repeat(keep, lengths)], owner[keep], lengths[keep]
+    flat, owner = flat.astype(np.int64), np.flatnonzero(lengths > 0)
+    lengths = lengths[owner]
     if not len(owner):
         return out
     ends = np.cumsum(lengths)
@@ -85,43 +78,55 @@ def merge_all(flat: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> list[bytes
             flat, rank, at, owner, lengths, least = flat[keep], rank[keep], at[keep], owner[live], lengths[live], least[live]
             if not len(owner):
                 break
-        hits = np.flatnonzero(rank == np.repeat(least, lengths))
-        of = np.searchsorted(np.cumsum(lengths), hits, "right")
-        first = hits[np.concatenate(([True], of[1:] != of[:-1]))]
-        flat[first] = pairs.made[at[first]]
-        keep = np.ones(len(flat), bool)
-        keep[first + 1] = False
+        hits, of = places(flat, rank, at, lengths, least, pairs)
         stop = np.cumsum(lengths) - 1
-        closes = first + 1 == stop  # the merge took the sequence's last symbol
+        closes = hits + 1 == stop[of]  # the merge took the sequence's last symbol
+        flat[hits] = pairs.made[at[hits]]
+        keep = np.ones(len(flat), bool)
+        keep[hits + 1] = False
         flat, rank, at = flat[keep], rank[keep], at[keep]
-        now = first - np.arange(len(first))
-        lengths = lengths - 1
+        now = hits - np.arange(len(hits))
+        lengths = lengths - np.bincount(of, minlength=len(lengths))
         nearby = np.minimum(now + 1, len(flat) - 1)
         new, place = pairs.find(flat[now], flat[nearby])
         rank[now], at[now] = np.where(closes, _NONE, new), place
-        left = now[now > np.cumsum(lengths) - lengths]
+        left = now[now > (np.cumsum(lengths) - lengths)[of]]
         rank[left - 1], at[left - 1] = pairs.find(flat[left - 1], flat[left])
     return out
 
 
-def merge_long(symbols: list[int], pairs: Pairs) -> list[int]:
-    """The same merges for one long sequence: a heap of (rank, position) over a linked list."""
-    table, n = pairs.table, len(symbols)
-    value, after, before = list(symbols), [*range(1, n), -1], list(range(-1, n - 1))
-    heap = [(table[p][0], i, *p) for i in range(n - 1) if (p := (value[i], value[i + 1])) in table]
-    heapq.heapify(heap)
-    while heap:
-        _, i, a, b = heapq.heappop(heap)
-        j = after[i] if value[i] == a else -1
-        if j < 0 or value[j] != b:
-            continue
-        value[i], value[j], after[i] = table[a, b][1], -1, after[j]
-        if after[j] >= 0:
-            before[after[j]] = i
-        for x in (before[i], i):
-            if x >= 0 and (y := after[x]) >= 0 and (p := (value[x], value[y])) in table:
-                heapq.heappush(heap, (table[p][0], x, *p))
-    return [v for v in value if v >= 0]
+def places(flat: np.ndarray, rank: np.ndarray, at: np.ndarray, lengths: np.ndarray, least: np.ndarray, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """Where each sequence applies its lowest-ranked pair in this round, and the sequences of these places.
+
+    One merge at a time goes from left to right; its next merge is at the pair's next place unless a merge
+    has made a pair of lower rank.  So all places (of overlapping ones every other) go at once where no
+    such pair comes up on the way, and the first place alone where one does.
+    """
+    hits = np.flatnonzero(rank == np.repeat(least, lengths))
+    ends = np.cumsum(lengths)
+    new = np.ones(len(hits), bool)
+    new[1:] = hits[1:] != hits[:-1] + 1
+    start = np.flatnonzero(new)
+    hits = hits[(np.arange(len(hits)) - np.repeat(start, np.diff(np.append(start, len(hits))))) % 2 == 0]
+    of = np.searchsorted(ends, hits, "right")
+    first = np.ones(len(hits), bool)
+    first[1:] = of[1:] != of[:-1]
+    if first.all():
+        return hits, of
+    several = np.flatnonzero((np.bincount(of, minlength=len(lengths)) > 1)[of])
+    i, own = hits[several], of[several]
+    made = pairs.made[at[i]]
+    beside = np.zeros(len(i), bool)
+    beside[1:] = i[1:] == i[:-1] + 2  # the symbol before is made by the merge before
+    low = np.zeros(len(i), bool)
+    has = i > (ends - lengths)[own]
+    low[has] = pairs.find(np.where(beside, made, flat[i - 1])[has], made[has])[0] < least[own[has]]
+    has = i + 2 < ends[own]
+    low[has] |= pairs.find(made[has], flat[i[has] + 2])[0] < least[own[has]]
+    one = np.zeros(len(lengths), bool)
+    one[own[low]] = True
+    keep = first | ~one[of]
+    return hits[keep], of[keep]
 
 
 # ---------------------------------------------------------------------------------------- words
@@ -157,8 +162,8 @@ def holes(parts: list) -> list[int]:
 class WordBpe:
     """Lower-casing BPE with word ends, as the library for word_bpe_49k.json gives it.
 
-    Texts of Latin-1 characters without special strings take the fast path; for others the library
-    normalises and splits (or, with special strings, encodes) the text, and merging is ours again.
+    Special strings are cut out of a text and stand for their ids; what is between them is split into
+    pre-tokens, in Latin-1 here and else by the library's own normaliser and splitter, and merged here.
     """
 
     def __init__(self, path: str) -> None:
@@ -168,7 +173,8 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters])
         self.last = np.array([vocab[c + end] for c in letters])
@@ -177,7 +183,7 @@ class WordBpe:
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             table[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.pairs = Pairs(table)
-        self.ids: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = dict(self.special)  # no pre-token looks like a special string
 
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
@@ -205,21 +211,22 @@ class WordBpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.ids) > MEMO:
-            self.ids.clear()
+            self.ids = dict(self.special)
         words: list[str] = []
-        ends, fixed = [0], {}
-        for i, t in enumerate(texts):
-            if "<|" in t and any(x in t for x in self.special):
-                fixed[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
+        ends = [0]
+        for t in texts:
+            if "<|" not in t:
                 words += self.words(t)
+            else:
+                for i, piece in enumerate(self.cut.split(t)):
+                    words += [piece] if i % 2 else self.words(piece)
             ends.append(len(words))
         parts = list(map(self.ids.get, words))
         if at := holes(parts):
             self.learn({words[i] for i in at})
             for i in at:
                 parts[i] = self.ids[words[i]]
-        return [fixed[i] if i in fixed else b"".join(parts[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:]))]  # noqa: B905
+        return [b"".join(parts[a:b]) for a, b in zip(ends, ends[1:])]  # noqa: B905
 
 
 @lru_cache(maxsize=1)
@@ -317,6 +324,10 @@ class ByteBpe:
         self.pattern, self.probe = pattern, None
         self.memo: dict[str, bytes] = {}
         self.decimal = [str(i) for i in range(max(self.bytes_of) + 1)]
+        #: bytes of all tokens by id, end to end, with each one's size and place
+        self.sizes = np.array([len(self.bytes_of.get(i, b"")) for i in range(len(self.decimal))], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(len(self.decimal))), np.uint8)
 
     def classify(self, points: np.ndarray) -> np.ndarray:
         """Class of each code point; the table is filled as code points turn up."""
@@ -373,7 +384,7 @@ class ByteBpe:
         at, stop = at[real], stop[real]
         return joined, at, stop, np.diff(np.searchsorted(at, ends), prepend=0)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         joined, begin, stop, counts = self.offsets(texts)
         pieces = [joined[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
@@ -395,10 +406,17 @@ class ByteBpe:
         for i in at:
             found[i] = self.memo[pieces[i]]
         cut = np.concatenate(([0], np.cumsum(counts))).tolist()
-        return [np.frombuffer(b"".join(found[a:b]), "<u4").tolist() for a, b in zip(cut, cut[1:])]  # noqa: B905
+        return [np.frombuffer(b"".join(found[a:b]), "<u4") for a, b in zip(cut, cut[1:])]  # noqa: B905
+
+    def starts(self, ids: np.ndarray) -> np.ndarray:
+        """Byte offset of each token in what the ids decode to, and, last, where they end."""
+        return np.concatenate((np.zeros(1, np.int64), np.cumsum(self.sizes[ids])))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray, starts: np.ndarray | None = None) -> bytes:
+        """The tokens' bytes, each put at its offset."""
+        starts = self.starts(ids) if starts is None else starts
+        move = np.repeat(self.begins[ids] - starts[:-1], np.diff(starts))
+        return self.letters[move + np.arange(int(starts[-1] - starts[0])) + starts[0]].tobytes()
 
 
 @lru_cache(maxsize=1)

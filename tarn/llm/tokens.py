@@ -17,8 +17,9 @@ from .common import as_text, record, slices
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs`` (doc_id, text).
 
-    A null or empty text has 0 bytes and 0 tokens.  Rows are independent: repeated rows give equal
-    results, a null doc_id is kept, other columns are not read.  One map over the scan, no shuffle.
+    A null or empty text has 0 bytes and 0 tokens; exactly ``limit`` tokens are not over it.  Rows are
+    independent: repeated rows give equal results, a null doc_id is kept, other columns are not read.  A
+    text of any length is one row; an empty table gives none.  One map over the scan, no shuffle.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
@@ -38,8 +39,11 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFram
 def byte_encode(docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and, with ``keep_ids``, ids and byte offsets).
 
-    ``offsets[i]`` is where token i starts in the text's UTF-8, so any span of tokens decodes to its
-    bytes.  A null or empty text has no tokens; both digests are then those of the empty string.
+    ``offsets[i]`` is where token i starts in the text's UTF-8; decoding puts each token's bytes there, so
+    any span of tokens decodes to its bytes.  A null or empty text has no tokens; both digests are then
+    those of the empty string.  Rows are independent: repeated rows give equal results, a null doc_id is
+    kept, other columns are not read.  A text of any length is one row; an empty table gives none.  One map
+    over the scan, no shuffle.
     """
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -55,11 +59,10 @@ def byte_encode(docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = Fals
             for a, b in slices(batch, texts, 1 << 20):
                 columns: list[list] = [[] for _ in fields[1:]]
                 for ids in bpe.encode(texts[a:b]):
-                    text_ids = ",".join(map(bpe.decimal.__getitem__, ids))
-                    row = [len(ids), hashlib.sha256(text_ids.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()]
+                    text_ids, starts = ",".join(map(bpe.decimal.__getitem__, ids.tolist())), bpe.starts(ids)
+                    row = [len(ids), hashlib.sha256(text_ids.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids, starts)).hexdigest()]
                     if keep_ids:
-                        sizes = [len(bpe.bytes_of[i]) for i in ids]
-                        row += [ids, np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(int).tolist() if ids else []]
+                        row += [ids.tolist(), starts[:-1].tolist()]
                     for c, x in zip(columns, row, strict=True):
                         c.append(x)
                 yield record(schema, (doc[a:b], *columns))
@@ -71,8 +74,9 @@ def byte_encode(docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = Fals
 
 #: Tokens of a sequence, and of the window whose token proportions are controlled (whole sequences).
 SEQUENCE, WINDOW = 4096, 16 * 4096
-#: Running offsets of (scan task, source) are broadcast up to this many rows; beyond it they are joined.
-OFFSET_ROWS = 200_000
+#: A source's target share is in proportion to its tokens to this power: smaller ones are drawn more often
+#: than their size says, and run dry sooner.
+TEMPERATURE = 0.7
 
 
 class Mixture:
@@ -136,25 +140,28 @@ class Mixture:
         return start, starts
 
 
-def pack(docs: DataFrame, tokenizer: str, end: int, scratch, weights: dict[str, float] | None = None, sequence: int = SEQUENCE, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end: int, scratch, weights: dict[str, float] | None = None, sequence: int = SEQUENCE, window: int = WINDOW, carry: tuple[str, ...] = (), temperature: float = TEMPERATURE) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text, source) packed into sequences; one row per piece.
 
     Each source is a queue of its documents' ids (each followed by ``end``) in scan order; windows draw
-    from the queues by ``Mixture``, in proportion to their lengths unless ``weights`` says otherwise.
-    Every sequence but the last is full.  A null or empty text is the single id ``end``; a null source
-    is a queue of its own; repeated rows are packed as often as they occur.  ``carry`` names columns to
-    pass on.  An empty table gives no piece.
+    from the queues by ``Mixture``, in the proportions of ``weights``, or of the queues' lengths to the power
+    ``temperature``.  Every sequence but the last is full.  A null or empty text is the single id ``end``; a
+    null source is a queue of its own; repeated rows are packed as often as they occur; a text longer than
+    a sequence is cut into pieces.  ``carry`` names columns to pass on (named as an output column, they come
+    with an underscore in front).  An empty table gives no piece.
 
     Ids are computed once and written, with each document's offset in its source within its scan task,
-    to the shared folder; only the totals of (task, source) are gathered for the running offsets.
-    The driver holds one number for each source, which are assumed to be few.
+    to the shared folder; the totals of (task, source) become running offsets, which are joined back.
+    A mixture sets a share for each source, so driver and tasks hold a few numbers for each source.
     """
     from pyspark import TaskContext
     from pyspark.sql import Window as W
     from pyspark.sql import functions as F
 
-    kept = docs.select("doc_id", "text", F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("_queue"), *carry)
-    extra = kept.select(*carry).schema.fields
+    taken = {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}
+    passed = {c: f"_{c}" if c in taken else c for c in carry}
+    kept = docs.select("doc_id", "text", F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("_queue"), *(F.col(c).alias(f"_carry_{c}") for c in carry))
+    extra = kept.schema.fields[3:]
     form = "doc_id long, _queue string, _task int, _within long, _n long, _ids binary"
     ddl = ", ".join([form, *(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)])
 
@@ -170,20 +177,22 @@ def pack(docs: DataFrame, tokenizer: str, end: int, scratch, weights: dict[str,
                     within.append(sent.get(q, 0))
                     sent[q] = within[-1] + len(x) // 4
                 columns = [batch.column(0)[a:b], batch.column(2)[a:b], pa.array([task] * (b - a), pa.int32()), pa.array(within, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([narrow(x) for x in ids], pa.binary())]
-                names = ["doc_id", "_queue", "_task", "_within", "_n", "_ids", *carry]
+                names = ["doc_id", "_queue", "_task", "_within", "_n", "_ids", *(f.name for f in extra)]
                 yield pa.RecordBatch.from_arrays([*columns, *(batch.column(3 + i)[a:b] for i in range(len(carry)))], names)
 
     held = scratch.save(kept.mapInArrow(tokenize, ddl), "ids")
     sums = scratch.save(held.groupBy("_queue", "_task").agg(F.sum("_n").alias("_sum")), "sums")
     order = W.partitionBy("_queue").orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select("_queue", "_task", F.coalesce(F.sum("_sum").over(order), F.lit(0)).alias("_before"))
+    # written, so that Spark knows its size and broadcasts it only within the session's own bound
+    offsets = scratch.save(offsets, "offsets")
     sizes = {r["_queue"]: r["n"] for r in sums.groupBy("_queue").agg(F.sum("_sum").alias("n")).collect()}
-    if sums.count() <= OFFSET_ROWS:
-        offsets = F.broadcast(offsets)
+    if weights is None:
+        weights = {s: (n / max(sizes.values())) ** temperature for s, n in sizes.items()}
     placed = held.join(offsets, ["_queue", "_task"]).withColumn("_at", F.col("_within") + F.col("_before"))
     mix = Mixture(sizes, weights, window)
     out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    ddl_out = ", ".join([out, *(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)])
+    ddl_out = ", ".join([out, *(f"`{passed[c]}` {f.dataType.simpleString()}" for c, f in zip(carry, extra, strict=True))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple[int, dict[str, int]]] = {}
@@ -206,11 +215,11 @@ def pack(docs: DataFrame, tokenizer: str, end: int, scratch, weights: dict[str,
                     origin.append(i)
                     done += size
             columns = list(zip(*rows, strict=True)) if rows else [()] * 7
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *carry]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *passed.values()]
             take = pa.array(origin, pa.int64())
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), *(batch.column(5 + i).take(take) for i in range(len(carry)))], names)
 
-    return placed.select("doc_id", "_queue", "_at", "_n", "_ids", *carry).mapInArrow(cut, ddl_out)
+    return placed.select("doc_id", "_queue", "_at", "_n", "_ids", *(f.name for f in extra)).mapInArrow(cut, ddl_out)
 
 
 def narrow(ids: bytes) -> bytes:

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -45,17 +46,51 @@ def test_word_ids_equal_the_library(library):
 def test_byte_ids_equal_the_library(encoding):
     own, texts = bpe.byte_bpe(BYTE, public_tokenizers.PATTERN), odd_texts()
     for t, ids in zip(texts, own.encode(texts), strict=True):
-        assert ids == encoding.encode_ordinary(t), t
+        assert ids.tolist() == encoding.encode_ordinary(t), t
         assert own.decode(ids) == t.encode()
 
 
-def test_ragged_and_heap_merging_agree():
-    own = bpe.byte_bpe(BYTE, public_tokenizers.PATTERN)
-    rng = random.Random(1)
-    for _ in range(50):
-        s = own.single[np.array([rng.randrange(97, 103) for _ in range(rng.randrange(1, 200))])]
-        ragged = bpe.merge_all(s, np.array([len(s)]), own.pairs)[0]
-        assert np.frombuffer(ragged, "<u4").tolist() == bpe.merge_long(s.tolist(), own.pairs)
+def merged(symbols, table):
+    """One merge at a time: the leftmost of the lowest-ranked pairs."""
+    out = list(symbols)
+    while True:
+        ranked = [(table[p][0], i) for i, p in enumerate(zip(out, out[1:])) if p in table]  # noqa: B905
+        if not ranked:
+            return out
+        i = min(ranked)[1]
+        out[i : i + 2] = [table[out[i], out[i + 1]][1]]
+
+
+def test_merging_equals_one_merge_at_a_time():
+    own, rng = bpe.byte_bpe(BYTE, public_tokenizers.PATTERN), random.Random(1)
+    for letters in (b"ab", b"abcdef", b"=-", bytes(range(97, 123))):
+        batch = [own.single[np.array([rng.choice(letters) for _ in range(rng.randrange(0, 400))], int)] for _ in range(20)]
+        ragged = bpe.merge_all(np.concatenate(batch), np.array([len(x) for x in batch]), own.pairs)
+        assert [np.frombuffer(x, "<u4").tolist() for x in ragged] == [merged(x.tolist(), own.pairs.table) for x in batch]
+
+
+def test_merging_in_any_order_of_ranks():
+    """Tables in which a merge makes pairs of lower rank, which no trained table has."""
+    rng = random.Random(2)
+    for _ in range(300):
+        size = rng.randrange(2, 7)
+        made = [(rng.randrange(size), rng.randrange(size), rng.randrange(size, 2 * size)) for _ in range(rng.randrange(1, 8))]
+        made += [(rng.randrange(2 * size), rng.randrange(2 * size), rng.randrange(2 * size, 3 * size)) for _ in range(rng.randrange(1, 12))]
+        pairs, ranks = {(a, b): c for a, b, c in made}, list(range(40))
+        rng.shuffle(ranks)
+        table = {k: (ranks[i], c) for i, (k, c) in enumerate(pairs.items())}
+        batch = [np.array([rng.randrange(size) for _ in range(rng.randrange(0, 30))], np.int64) for _ in range(6)]
+        ragged = bpe.merge_all(np.concatenate(batch), np.array([len(x) for x in batch]), bpe.Pairs(table))
+        assert [np.frombuffer(x, "<u4").tolist() for x in ragged] == [merged(x.tolist(), table) for x in batch]
+
+
+def test_long_runs_take_few_rounds(encoding):
+    own, rng = bpe.byte_bpe(BYTE, public_tokenizers.PATTERN), random.Random(3)
+    for t in ("=" * 300_001, "ab" * 100_000, "".join(rng.choice("abcdefgh") for _ in range(20_000))):
+        ids = own.encode([t])[0]
+        assert own.decode(ids) == t.encode()
+        if len(t) < 50_000:
+            assert ids.tolist() == encoding.encode_ordinary(t)
 
 
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4096, 5000])
@@ -134,7 +169,7 @@ def test_packing_follows_the_mixture(spark, library):
     ids = {d: [*library.encode(t or "", add_special_tokens=False).ids, 2] for d, t in rows}
     kind = {d: None if d == 901 else "big" if d % 3 else "small" for d, _ in rows}
     for weights in (None, {"big": 0.5, "small": 0.5}):
-        out = tokens.pack(docs.repartition(5), WORD, 2, Scratch(spark, "test"), weights, sequence=64, window=256, carry=("source",))
+        out = tokens.pack(docs.repartition(5), WORD, 2, Scratch(spark, "test"), weights, sequence=64, window=256, carry=("source",), temperature=1.0)
         pieces = [r.asDict() for r in out.collect()]
         check_packing(pieces, ids, 64)
         assert all(p["source"] == kind[p["doc_id"]] for p in pieces)
@@ -145,6 +180,48 @@ def test_packing_follows_the_mixture(spark, library):
     assert tokens.pack(docs.limit(0), WORD, 2, Scratch(spark, "test")).collect() == []
 
 
+def round_robin(sizes, given, window):
+    """Deficit round-robin, window by window: what each queue has sent after each window.  A queue that runs
+    dry leaves at the end of its window; the others' deficits then start anew."""
+    left, deficit, sent = dict(sizes), {s: Fraction(0) for s in sizes}, {s: [0] for s in sizes}
+    while live := [s for s in sizes if left[s]]:
+        whole = sum(given[s] for s in live)
+        for s in sizes:
+            out = 0
+            if s in live:
+                deficit[s] += Fraction(window * given[s], whole)
+                out = min(left[s], int(deficit[s]))
+                deficit[s] -= out
+                left[s] -= out
+            sent[s].append(sent[s][-1] + out)
+        if any(not left[s] for s in live):
+            deficit = {s: Fraction(0) for s in sizes}
+    return sent
+
+
+def test_mixture_equals_a_round_robin():
+    rng = random.Random(12)
+    for _ in range(40):
+        sizes = {str(i): rng.randrange(1, 4000) for i in range(rng.randrange(1, 7))}
+        weights = {s: rng.random() + 0.01 for s in sizes}
+        mix = tokens.Mixture(sizes, weights, 100)
+        given = {s: max(1, round(w * (1 << 20))) for s, w in weights.items()}
+        sent = round_robin(sizes, given, 100)
+        for s in sizes:
+            assert [mix.total(s, w) for w in range(mix.windows + 1)] == sent[s]
+
+
+def test_long_texts_and_clashing_columns(spark, library):
+    rows = [(1, "word " * 9000, "a"), (2, "=" * 20_000, "a"), (3, "other <|endoftext|> " * 4000, "b")]
+    docs = spark.createDataFrame([(d, t, s, d * 10, "x") for d, t, s in rows], "doc_id long, text string, source string, start long, _n string")
+    ids = {d: [*library.encode(t, add_special_tokens=False).ids, 2] for d, t, _ in rows}
+    got = tokens.pack(docs, WORD, 2, Scratch(spark, "test"), carry=("start", "_n", "source"))
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "_start", "_n", "source"]
+    pieces = [r.asDict() for r in got.collect()]
+    check_packing(pieces, ids, 4096)
+    assert all(p["_start"] == p["doc_id"] * 10 and p["_n"] == "x" for p in pieces)
+
+
 def test_mixture_pays_every_token_once():
     rng = random.Random(2)
     for _ in range(40):

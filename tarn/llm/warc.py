@@ -13,7 +13,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, record
+from .common import Scratch, key_mark, record, salt_of, salted
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
@@ -55,9 +55,14 @@ def write_warc(pages: DataFrame, scratch: Scratch, least: int = 0) -> DataFrame:
     body = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", "html", F.sha1(body.cast("binary")).alias("_sha1"), F.octet_length(body).cast("long").alias("_size"))
     copies = rows.where((F.col("_size") >= least) & F.col("page_id").isNotNull()).groupBy("_sha1", "_size").agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    copies = scratch.save(copies, "copies")
+    # a payload that no other page has goes straight to its archive; copies of one are spread over salts
+    marked = key_mark(rows, F.col("_sha1"), copies, F.col("_sha1"))
+    some = marked.where("_tarn_may").withColumn("_salt", salt_of(F.coalesce("page_id", F.length("url")))).join(salted(copies).hint("merge"), ["_sha1", "_size", "_salt"], "left")
+    columns = ["page_id", "url", body.alias("html"), "_sha1", "_size"]
     refers = F.when(F.col("page_id") > F.col("_first"), F.col("_first"))
-    marked = rows.join(copies, ["_sha1", "_size"], "left").withColumn("_refers", refers)
-    marked = marked.select("page_id", "url", F.when(F.col("_refers").isNull(), F.coalesce("html", F.lit(""))).alias("html"), "_sha1", "_size", "_refers")
+    some = some.withColumn("_refers", refers).select("page_id", "url", F.when(F.col("_refers").isNull(), body).alias("html"), "_sha1", "_size", "_refers")
+    marked = marked.where("not _tarn_may").select(*columns, F.lit(None).cast("long").alias("_refers")).union(some)
     root = scratch.path("warc")
     schema = pa.schema([("file", pa.string()), ("size", pa.int64()), ("records", pa.int64())])
 

@@ -1,6 +1,8 @@
 """WARC archives, secrets, toxicity and quality rules."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import zlib
@@ -184,6 +186,69 @@ def test_marginals_equal_brute_force():
         at += n
 
 
+def every_tagging(emission, steps):
+    """(tags, weight) of each sequence of tags of a short document that begins clean."""
+    for tags in itertools.product((0, 1), repeat=len(emission)):
+        yield tags, math.exp(sum(steps[a][b] for a, b in zip((0, *tags), tags)) + sum(e for e, t in zip(emission, tags, strict=True) if t))  # noqa: B905
+
+
+def test_expectations_equal_brute_force():
+    rng = np.random.default_rng(4)
+    steps = np.array([[0.0, -0.7], [0.4, 1.1]])
+    lengths = [1, 4, 7, 2, 5]
+    emission = rng.normal(0, 1.5, sum(lengths))
+    first = np.zeros(len(emission), bool)
+    first[np.cumsum([0, *lengths[:-1]])] = True
+    p, clean, pairs = toxicity.expectations(emission, first, steps, width=3)
+    at = 0
+    for n in lengths:
+        taggings = list(every_tagging(emission[at : at + n], steps))
+        whole = sum(w for _, w in taggings)
+        assert np.allclose(p[at : at + n], [sum(w for t, w in taggings if t[i]) / whole for i in range(n)])
+        assert math.isclose(clean[at : at + n].sum(), -math.log(whole), abs_tol=1e-9)
+        for k, (a, b) in enumerate([(0, 1), (1, 0), (1, 1)]):
+            assert np.allclose(pairs[at : at + n, k], [sum(w for t, w in taggings if (((0, *t)[i]), t[i]) == (a, b)) / whole for i in range(n)])
+        at += n
+
+
+def test_slopes_equal_differences():
+    rng = np.random.default_rng(5)
+    lengths, toxic = np.array([3, 9, 1, 6]), np.array([1, 0, 1, 0])
+    emission = rng.normal(-1, 1, 19)
+    first = np.zeros(19, bool)
+    first[np.cumsum(lengths) - lengths] = True
+    theta = np.array([-0.5, 0.3, 0.8])
+    value = lambda e, t: toxicity.likelihood(e, lengths, first, np.array([[0.0, t[0]], t[1:]]), toxic)
+    _, by_word, by_step = value(emission, theta)
+    for i in range(19):
+        step = np.eye(19)[i] * 1e-5
+        assert math.isclose(by_word[i], (value(emission + step, theta)[0] - value(emission - step, theta)[0]) / 2e-5, rel_tol=1e-4, abs_tol=1e-6)
+    for i in range(3):
+        step = np.eye(3)[i] * 1e-5
+        assert math.isclose(by_step[i], (value(emission, theta + step)[0] - value(emission, theta - step)[0]) / 2e-5, rel_tol=1e-4, abs_tol=1e-6)
+
+
+def test_the_sample_has_its_bounds(spark, monkeypatch):
+    rows = corpus(60, 6)
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows] + [(3, "a second text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    met = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: met.append((texts, toxic)))
+    toxicity.train(docs, labels, sample=20)
+    toxicity.train(docs, labels, most=3000)
+    assert len(met[0][0]) == 20 and 0 < sum(map(len, met[1][0])) <= 3000
+    assert {t.decode() for t in met[0][0]} <= {t for _, t, _ in rows} | {"a second text"}
+
+
+def test_a_very_long_text_is_scored_whole(spark):
+    rows = corpus(300, 7)
+    long = " ".join(t for _, t, y in rows if not y)
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows] + [(900, f"{long} idiots moronic scumbag trashy idiots")], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score_documents(docs, labels).collect()}
+    assert got[900]["spans"].split(",")[-1].split(":")[0] > "0" and got[900]["n_toxic_words"] >= 5
+
+
 def corpus(n, seed):
     rng = random.Random(seed)
     words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randrange(2, 9))) for _ in range(800)]
@@ -223,6 +288,20 @@ def test_labels_of_the_held_out_fold_change_nothing(spark):
     assert scores[0] == scores[1]
 
 
+def test_toxicity_query_on_the_held_out_fold(spark):
+    folder = DATA.replace("sf0.001", "sf0.01")
+    truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null").collect()}
+    got = queries.op6_toxicity(spark, folder).collect()
+    held = [r for r in got if r["held_out"] and r["doc_id"] in truth]
+    assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count() and len(held) > 50
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.95
+    assert not [r for r in held if r["predicted"] and not truth[r["doc_id"]]]
+    ranked = sorted(held, key=lambda r: r["score"])
+    toxic = [i for i, r in enumerate(ranked) if truth[r["doc_id"]]]
+    clean = [i for i, r in enumerate(ranked) if not truth[r["doc_id"]]]
+    assert len(toxic) < 10 and np.mean([[t > c for c in clean] for t in toxic]) > 0.85  # few: one missed is much
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "plain words"), (None, None)], "doc_id long, text string")
     got = toxicity.score_documents(docs, spark.createDataFrame([], "doc_id long, toxic int")).collect()

@@ -1,10 +1,12 @@
 """Media columns: payloads as lossless WebP images, written and read back here.
 
 The reader is a whole VP8L decoder: prefix codes, back-references, colour cache, several code groups,
-and the predictor, cross-colour, subtract-green and palette transforms.  Images with one code group
-and no cache or back-reference are decoded without a loop over pixels: the length of the pixel that
-would start at each bit is looked up for all bits at once, and the chain of true starts is followed by
-pointer doubling.
+and the predictor, cross-colour, subtract-green and palette transforms.  Where one code group holds for
+all pixels, symbols are found without a loop: the length of the symbol that would start at each bit is
+looked up for all bits at once, and the chain of true starts is followed by pointer doubling.
+
+The writer takes four bytes of a payload as a pixel, and the transforms, copies and cache that its
+estimates say make the image smaller.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import hashlib
 import heapq
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +23,15 @@ from pyspark.sql import DataFrame
 
 from .common import as_bytes, record, slices
 
-#: Pixels of an image's row, and rows of an image at most; longer payloads take several images.
-WIDTH, HEIGHT = 64, 16384
+#: Bytes of an image's row (four a pixel), and rows of an image at most; longer payloads take several images.
+WIDTH, HEIGHT = 64, 4096
 # Fixed values of the format.
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 CACHE_FACTOR = 0x1E35A7BD
 
 
+@lru_cache(maxsize=1)
 def distance_map() -> list[tuple[int, int]]:
     """(dx, dy) of the 120 short distance codes: pixels above or left of the current one, nearest first;
     at equal distance the more vertical come first, and of a mirrored pair the left one."""
@@ -42,11 +46,14 @@ class Bits:
         self.value, self.at, self.data = 0, 0, data
         self.size = len(data) * 8
 
-    def read(self, n: int) -> int:
+    def peek(self, n: int) -> int:
         a, b = self.at >> 3, (self.at + n + 7) >> 3
-        got = int.from_bytes(self.data[a:b], "little") >> (self.at & 7)
+        return int.from_bytes(self.data[a:b], "little") >> (self.at & 7) & ((1 << n) - 1)
+
+    def read(self, n: int) -> int:
+        got = self.peek(n)
         self.at += n
-        return got & ((1 << n) - 1)
+        return got
 
 
 class Prefix:
@@ -101,19 +108,33 @@ def read_prefix(bits: Bits, size: int) -> Prefix:
     code, left = Prefix(own), size
     if bits.read(1):
         left = 2 + bits.read(2 + 2 * bits.read(3))
-    at, last = 0, 8
-    while at < size and left:
+    # a token takes 14 bits at most: those ahead are held as one number
+    symbols, sizes, mask = code.symbols.tolist(), code.bits.tolist(), (1 << code.top) - 1
+    found: list[int] = []
+    last, spare, ahead, used = 8, 0, 0, 0
+    while len(found) < size and left:
         left -= 1
-        s = code.read(bits)
+        if spare < 14:
+            bits.at += used
+            ahead, spare, used = bits.peek(1024), 1024, 0
+        v = ahead & mask
+        s, n = symbols[v], sizes[v]
+        ahead >>= n
         if s < 16:
-            lengths[at] = s
-            at, last = at + 1, s or last
+            found.append(s)
+            last = s or last
         elif s == 16:
-            n = 3 + bits.read(2)
-            lengths[at : at + n] = last
-            at += n
+            found += [last] * (3 + (ahead & 3))
+            n, ahead = n + 2, ahead >> 2
+        elif s == 17:
+            found += [0] * (3 + (ahead & 7))
+            n, ahead = n + 3, ahead >> 3
         else:
-            at += 3 + bits.read(3) if s == 17 else 11 + bits.read(7)
+            found += [0] * (11 + (ahead & 127))
+            n, ahead = n + 7, ahead >> 7
+        spare, used = spare - n, used + n
+    bits.at += used
+    lengths[: len(found)] = found[:size]
     return Prefix(lengths)
 
 
@@ -136,10 +157,8 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         which = (read_pixels(bits, side, (height + (1 << block) - 1) >> block, False) >> 8) & 0xFFFF
         groups = int(which.max()) + 1
     codes = [[read_prefix(bits, n) for n in (280 + cache, 256, 256, 256, 40)] for _ in range(groups)]
-    if groups == 1 and not cache:
-        got = literals(bits, codes[0], width * height)
-        if got is not None:
-            return got
+    if groups == 1:
+        return resolve(*symbols(bits, codes[0], width * height), width, cache_bits)
     out, at, total = np.zeros(width * height, np.uint32), 0, width * height
     held, near = [0] * cache, distance_map()
     shift = 32 - cache_bits
@@ -171,47 +190,116 @@ def read_pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
     return out
 
 
-def literals(bits: Bits, codes: list[Prefix], total: int) -> np.ndarray | None:
-    """All pixels at once, or None (nothing read) if a back-reference turns up."""
+def extras(symbol: np.ndarray) -> np.ndarray:
+    """Extra bits of length and distance symbols."""
+    return np.where(symbol < 4, 0, (symbol - 2) >> 1)
+
+
+def valued(symbol: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Values of length and distance symbols with their extra bits."""
+    return np.where(symbol < 4, symbol, ((2 + (symbol & 1)) << extras(symbol)) + rest) + 1
+
+
+def symbols(bits: Bits, codes: list[Prefix], total: int) -> tuple[np.ndarray, ...]:
+    """(green symbols, pixels, lengths, distance codes) of ``total`` pixels, all symbols at once.
+
+    A symbol below 256 is a pixel, one below 280 a copy with a length and a distance code, another is a
+    place of the cache.
+    """
     start = bits.at
+    begin = start & 7
     data = np.frombuffer(bits.data[start >> 3 :] + b"\0\0\0\0", np.uint8).astype(np.uint32)
-    words = data[:-3] | data[1:-2] << 8 | data[2:-1] << 16
+    words = data[:-3] | data[1:-2] << 8 | data[2:-1] << 16 | data[3:] << 24
     seen = np.repeat(words, 8)
     seen >>= np.tile(np.arange(8, dtype=np.uint32), len(words))
     n = len(seen)
-    at = np.arange(n, dtype=np.int32)
-    looked = []
-    for code in codes[:4]:
-        looked.append(code.bits[seen & ((1 << code.top) - 1)] if code.top else None)
-    step = at.copy()
-    for own in looked:  # green, red, blue, alpha follow one another
-        if own is not None:
-            step = np.minimum(step + own[step], n - 1)
-    begin = start & 7
-    if all(own is None for own in looked):
+
+    def look(code: Prefix, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Symbol and size of what a code reads at each bit (or at those given)."""
+        key = (seen if at is None else seen[at]) & np.uint32((1 << code.top) - 1)
+        return code.symbols[key], code.bits[key]
+
+    green, size = look(codes[0])
+    after = np.minimum(np.arange(n, dtype=np.int32) + size, n - 1)
+    step = after
+    for code in codes[1:4]:  # red, blue and alpha follow green
+        if code.top:
+            step = np.minimum(step + look(code)[1][step], n - 1)
+    others = codes[0].symbols.max() >= 256
+    if others:
+        far = np.flatnonzero(green >= 256)
+        step = step.copy() if step is after else step
+        step[far] = after[far]
+        copy = far[green[far] < 280]
+        at = np.minimum(after[copy] + extras(green[copy] - 256), n - 1)
+        symbol, size = look(codes[4], at)
+        step[copy] = np.minimum(at + size + extras(symbol), n - 1)
+    # the chain of starts: a symbol's place, then the place of the next one
+    if not others and not any(c.top for c in codes[:4]):
         places = np.full(total, begin, np.int32)
     else:
         jumps = [step]
         while len(jumps) < 5 and 1 << len(jumps) < total:
             jumps.append(jumps[-1][jumps[-1]])
-        far, places, p = jumps[-1], [], begin
+        leap, places, p = jumps[-1], [], begin
         for _ in range(-(-total >> (len(jumps) - 1))):
             places.append(p)
-            p = int(far[p])
+            p = int(leap[p])
+            if p >= n - 1:
+                break
         places = np.array(places, np.int32)
         for jump in reversed(jumps[:-1]):
             places = np.stack((places, jump[places]), 1).ravel()
         places = places[:total]
-    channels, p = [], places
-    for code, own in zip(codes[:4], looked, strict=True):
-        channels.append(code.symbols[seen[p] & ((1 << code.top) - 1)] if own is not None else np.full(total, code.symbols[0], np.int32))
-        if own is not None:
-            p = np.minimum(p + own[p], n - 1)
-    if total and channels[0].max() >= 256:
-        return None
-    bits.at = start - begin + (int(p[-1]) if total else begin)
-    green, red, blue, alpha = (c.astype(np.uint32) for c in channels)
-    return alpha << 24 | red << 16 | green << 8 | blue
+    symbol = green[places]
+    lengths, distances = np.ones(len(places), np.int64), np.zeros(len(places), np.int64)
+    if others and len(at := np.flatnonzero((symbol >= 256) & (symbol < 280))):
+        p, own = after[places[at]], symbol[at] - 256
+        more = extras(own)
+        lengths[at] = valued(own, seen[p] & ((np.uint32(1) << more.astype(np.uint32)) - np.uint32(1)).astype(np.uint32))
+        p = np.minimum(p + more, n - 1)
+        own, size = look(codes[4], p)
+        more, p = extras(own), np.minimum(p + size, n - 1)
+        distances[at] = valued(own, seen[p] & ((np.uint32(1) << more.astype(np.uint32)) - np.uint32(1)).astype(np.uint32))
+    count = int(np.searchsorted(np.cumsum(lengths), total)) + 1 if total else 0
+    symbol, places, lengths, distances = symbol[:count], places[:count], lengths[:count], distances[:count]
+    if lengths.sum() < total:
+        raise ValueError("the image ends early")
+    pixels, p = symbol.astype(np.uint32) << 8, after[places]
+    for code, shift in zip(codes[1:4], (16, 0, 24), strict=True):
+        own, size = look(code, p)
+        pixels |= own.astype(np.uint32) << np.uint32(shift)
+        p = np.minimum(p + size, n - 1)
+    bits.at = start - begin + (int(step[places[-1]]) if count and (others or any(c.top for c in codes[:4])) else begin)
+    return symbol, pixels, lengths, distances
+
+
+def resolve(symbol: np.ndarray, pixels: np.ndarray, lengths: np.ndarray, distances: np.ndarray, width: int, cache_bits: int) -> np.ndarray:
+    """The pixels, with copies and places of the cache filled in."""
+    if not len(symbol) or symbol.max() < 256:
+        return pixels
+    out: list[int] = []
+    held, near, shift = [0] * (1 << cache_bits), distance_map(), 32 - cache_bits
+    keys = ((pixels * np.uint32(CACHE_FACTOR)) >> np.uint32(shift)).tolist() if cache_bits else [0] * len(pixels)
+    for s, x, key, n, d in zip(symbol.tolist(), pixels.tolist(), keys, lengths.tolist(), distances.tolist(), strict=True):
+        if s < 256:
+            out.append(x)
+            held[key] = x
+        elif s >= 280:
+            out.append(held[s - 280])
+        else:
+            if d > 120:
+                d -= 120
+            else:
+                dx, dy = near[d - 1]
+                d = max(1, dy * width + dx)
+            own = out[-d:] if d <= n else out[-d : len(out) - d + n]
+            own = (own * -(-n // len(own)))[:n]
+            out += own
+            if cache_bits:
+                for x in own:
+                    held[(x * CACHE_FACTOR & 0xFFFFFFFF) >> shift] = x
+    return np.array(out, np.uint32)
 
 
 def average(a: int, b: int) -> int:
@@ -446,25 +534,207 @@ def write_prefix(out: Writer, lengths: np.ndarray) -> None:
         out.put(more, n)
 
 
-def encode_grey(samples: np.ndarray, width: int = WIDTH) -> bytes:
-    """8-bit samples (a multiple of ``width``) as an opaque grey image: red and blue equal green."""
-    out = Writer()
-    out.put(0x2F, 8)
-    out.put(width - 1, 14)
-    out.put(len(samples) // width - 1, 14)
-    out.put(0, 4)
-    out.put(1, 1)
-    out.put(SUBTRACT_GREEN, 2)
-    out.put(0, 3)  # no more transforms, no cache, one code group
-    lengths = np.zeros(280, np.int64)
-    lengths[:256] = code_lengths(np.bincount(samples, minlength=256), 12)
-    write_prefix(out, lengths)
-    for symbol in (0, 0, 255, 0):
-        own = np.zeros(256, np.int64)
-        own[symbol] = 1
-        write_prefix(out, own)
-    if np.count_nonzero(lengths) > 1:
-        out.put_many(canonical(lengths)[samples], lengths[samples])
+def bits_of(values: np.ndarray, size: int = 256) -> float:
+    """Bits that an ideal code takes for the values."""
+    counts = np.bincount(values, minlength=size)
+    counts = counts[counts > 0]
+    return float(len(values) * np.log2(len(values)) - (counts * np.log2(counts)).sum()) if len(values) else 0.0
+
+
+def pixel_bits(pixels: np.ndarray) -> float:
+    return sum(bits_of(c) for c in pixels.view(np.uint8).reshape(-1, 4).T)
+
+
+def minus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Channel by channel difference."""
+    return (a.view(np.uint8) - np.ascontiguousarray(b).view(np.uint8)).view(np.uint32)
+
+
+#: Modes that the writer tries for a block: none, left, above, above and left.
+MODES = (0, 1, 2, 4)
+#: Rows and columns of a block of predictors, as a power of two; rows of one of cross-colour factors.
+TILE, CROSS_TILE = 3, 9
+#: Factors (of 32) that are tried, and the bits that a transform must spare to be worth its own.
+FACTORS, WORTH = (8, 16, 32, -32), 150
+
+
+def by_predictor(pixels: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(table of modes, differences): each block has the mode by which its differences cost least."""
+    height = len(pixels) // width
+    shown = lambda by: np.concatenate((np.full(by, 0xFF000000, np.uint32), pixels))[: len(pixels)]
+    black, left, top, corner = np.full(len(pixels), 0xFF000000, np.uint32), shown(1), shown(width), shown(width + 1)
+    i = np.arange(len(pixels))
+    y, x = i // width, i % width
+    side, tall = (width + (1 << TILE) - 1) >> TILE, (height + (1 << TILE) - 1) >> TILE
+    block = (y >> TILE) * side + (x >> TILE)
+    costs = []
+    for guess in (black, left, top, corner):
+        parts = minus(pixels, guess).view(np.uint8).reshape(-1, 4)
+        own = np.zeros(len(pixels))
+        for c in range(4):
+            counts = np.bincount(parts[:, c], minlength=256)
+            own += np.log2(len(pixels) / np.maximum(counts, 1))[parts[:, c]]
+        costs.append(np.bincount(block, own, minlength=side * tall))
+    best = np.argmin(np.stack(costs) + np.array([0.0, 8, 8, 8])[:, None], 0)
+    mode = best[block]
+    guess = np.choose(mode, (black, left, top, corner))
+    guess = np.where(y == 0, left, np.where(x == 0, top, guess))
+    return (np.uint32(0xFF000000) | np.array(MODES, np.uint32)[best] << np.uint32(8)), minus(pixels, guess)
+
+
+def by_factors(pixels: np.ndarray) -> tuple[int, float]:
+    """(the factors that make red and blue cheapest: green to red, green to blue, red to blue; bits spared)."""
+    blue, green, red, _ = pixels.view(np.uint8).reshape(-1, 4).T.astype(np.int64)
+    delta = lambda t, c: (t * _signed(c)) >> 5
+    found, spared = [], 0.0
+    for target, sources in ((red, (green,)), (blue, (green, red))):
+        now = bits_of(target)
+        for c in sources:
+            tried = [(bits_of((target - delta(t, c)) & 255), t) for t in FACTORS]
+            least, t = min(tried)
+            if least < now:
+                target, spared, now = (target - delta(t, c)) & 255, spared + now - least, least
+                found.append(t & 255)
+            else:
+                found.append(0)
+    return found[0] | found[1] << 8 | found[2] << 16 | 0xFF000000, spared
+
+
+def prefixed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, extra bits and their sizes of lengths or distance codes."""
+    v = values - 1
+    top = np.where(v < 4, 2, np.frexp(np.maximum(v, 1).astype(np.float64))[1]) - 2
+    return np.where(v < 4, v, 2 * top + 2 + (v >> top & 1)), np.where(v < 4, 0, v & (1 << top) - 1), np.where(v < 4, 0, top)
+
+
+def copies(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """(place, length, distance) of stretches of three pixels or more that stood before."""
+    n = len(pixels) - 2
+    if n < 2:
+        return []
+    wide = pixels.astype(np.uint64)
+    key = (wide[:-2] * np.uint64(0x9E3779B97F4A7C15) + wide[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + wide[2:]
+    order = np.argsort(key, kind="stable")
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    if not len(same):
+        return []
+    before = np.full(n, -1)
+    before[order[same + 1]] = order[same]
+    found, at, end = [], 0, len(pixels)
+    starts = np.flatnonzero(before >= 0)
+    while (k := int(np.searchsorted(starts, at))) < len(starts):
+        i = int(starts[k])
+        d = i - int(before[i])
+        differ = np.flatnonzero(pixels[i : i + 4096] != pixels[i - d : i - d + min(4096, end - i)])
+        size = int(differ[0]) if len(differ) else min(4096, end - i)
+        if size < 3:  # equal hashes of different pixels
+            at = i + 1
+            continue
+        found.append((i, size, d))
+        at = i + size
+    return found
+
+
+def entropy_coded(out: Writer, pixels: np.ndarray, width: int, main: bool) -> None:
+    """Pixels as prefix-coded symbols.  In the main image, stretches that stood before are copies, and pixels
+    that the colour cache holds are places in it if that makes the codes shorter."""
+    n = len(pixels)
+    literal, lengths, distances, cache_bits = np.ones(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+    if main:
+        for i, size, d in copies(pixels):
+            literal[i : i + size] = False
+            lengths[i], distances[i] = size, d
+    begins = np.flatnonzero(literal | (lengths > 0))
+    green = pixels >> np.uint32(8) & np.uint32(255)
+    symbol = green.astype(np.int64)
+    if main and n >= 64:
+        best = pixel_bits(pixels[literal])
+        for tried in (6, 9):
+            key = (pixels * np.uint32(CACHE_FACTOR)) >> np.uint32(32 - tried)
+            order = np.argsort(key, kind="stable")
+            hit = np.zeros(n, bool)
+            hit[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (pixels[order[1:]] == pixels[order[:-1]])
+            plain, cached = literal & ~hit, literal & hit
+            parts = pixels[plain].view(np.uint8).reshape(-1, 4)
+            mixed = np.where(cached, 280 + key.astype(np.int64), green)[literal]
+            cost = bits_of(mixed, 280 + (1 << tried)) + sum(bits_of(parts[:, c]) for c in (0, 2, 3)) + 6 * len(np.unique(mixed[mixed >= 280]))
+            if cost < best:
+                best, cache_bits = cost, tried
+                symbol = np.where(cached, 280 + key.astype(np.int64), green)
+    out.put(1 if cache_bits else 0, 1)
+    if cache_bits:
+        out.put(cache_bits, 4)
+    if main:
+        out.put(0, 1)  # one code group
+    symbol, px, size, far = symbol[begins], pixels[begins], lengths[begins], distances[begins]
+    copy = np.flatnonzero(size > 0)
+    own, more, bits = prefixed(size[copy])
+    symbol[copy] = 256 + own
+    near = {max(1, dy * width + dx): k for k, (dx, dy) in reversed(list(enumerate(distance_map(), 1)))}
+    far_code, far_more, far_bits = prefixed(np.array([near.get(d, d + 120) for d in far[copy].tolist()], np.int64))
+    plain = symbol < 256
+    channels = [np.array(px >> np.uint32(k) & np.uint32(255), np.int64) for k in (16, 0, 24)]
+    counts = [np.bincount(symbol, minlength=280 + (1 << cache_bits if cache_bits else 0)), *(np.bincount(c[plain], minlength=256) for c in channels), np.bincount(far_code, minlength=40)]
+    sizes = [code_lengths(c, 15) for c in counts]
+    for x in sizes:
+        write_prefix(out, x)
+    sizes, codes = [x if np.count_nonzero(x) > 1 else np.zeros_like(x) for x in sizes], [canonical(x) for x in sizes]
+    sent, wide = np.zeros((len(symbol), 4), np.int64), np.zeros((len(symbol), 4), np.int64)
+    sent[:, 0], wide[:, 0] = codes[0][symbol], sizes[0][symbol]
+    for k, c in enumerate(channels, 1):
+        sent[plain, k], wide[plain, k] = codes[k][c[plain]], sizes[k][c[plain]]
+    sent[copy, 1], wide[copy, 1] = more, bits
+    sent[copy, 2], wide[copy, 2] = codes[4][far_code], sizes[4][far_code]
+    sent[copy, 3], wide[copy, 3] = far_more, far_bits
+    out.put_many(sent.ravel(), wide.ravel())
+
+
+def encode(pixels: np.ndarray, width: int) -> bytes:
+    """ARGB pixels as a lossless WebP file, with the transforms that spare bits."""
+    out, height = Writer(), len(pixels) // width
+    for value, n in ((0x2F, 8), (width - 1, 14), (height - 1, 14), (1, 1), (0, 3)):
+        out.put(value, n)
+
+    def transform(kind: int) -> None:
+        out.put(1, 1)
+        out.put(kind, 2)
+
+    cost = pixel_bits(pixels)
+    colours, index = np.unique(pixels, return_inverse=True)
+    fold = 3 if len(colours) <= 2 else 2 if len(colours) <= 4 else 1 if len(colours) <= 16 else 0
+    if len(colours) <= 256 and bits_of(index) / (1 << fold) + 20 * len(colours) < cost:
+        transform(PALETTE)
+        out.put(len(colours) - 1, 8)
+        steps = np.diff(colours.view(np.uint8).reshape(-1, 4), axis=0, prepend=np.zeros((1, 4), np.uint8))
+        entropy_coded(out, steps.astype(np.uint8).copy().view(np.uint32).ravel(), len(colours), False)
+        across = -(-width >> fold)
+        padded = np.zeros((height, across << fold), np.uint32)
+        padded[:, :width] = index.reshape(height, width)
+        bundled = (padded.reshape(height, across, -1) << (np.arange(1 << fold, dtype=np.uint32) * np.uint32(8 >> fold))).sum(2)
+        pixels, width = np.uint32(0xFF000000) | bundled.astype(np.uint32).ravel() << np.uint32(8), across
+    else:
+        table, rest = by_predictor(pixels, width)
+        side = (width + (1 << TILE) - 1) >> TILE
+        if (spared := cost - pixel_bits(rest)) > WORTH + 2 * len(table):
+            transform(PREDICTOR)
+            out.put(TILE - 2, 3)
+            entropy_coded(out, table, side, False)
+            pixels, cost = rest, cost - spared
+        factors, spared = by_factors(pixels)
+        green = pixels >> np.uint32(8) & np.uint32(255)
+        less = (pixels & np.uint32(0xFF00FF00)) | ((pixels >> np.uint32(16)) - green & np.uint32(255)) << np.uint32(16) | (pixels - green & np.uint32(255))
+        if cost - pixel_bits(less) > max(WORTH // 10, spared - WORTH):
+            transform(SUBTRACT_GREEN)
+            pixels = less
+        elif spared > WORTH:
+            transform(CROSS_COLOUR)
+            out.put(CROSS_TILE - 2, 3)
+            rows = (height + (1 << CROSS_TILE) - 1) >> CROSS_TILE
+            table = np.full(rows, factors, np.uint32)
+            entropy_coded(out, table, 1, False)
+            pixels = cross_colour(pixels, width, table, CROSS_TILE, 1, False)
+    out.put(0, 1)
+    entropy_coded(out, pixels, width, True)
     return riff(out.bytes())
 
 
@@ -476,7 +746,7 @@ def riff(stream: bytes) -> bytes:
 def store(payload: bytes) -> bytes:
     """A payload (a positive multiple of WIDTH bytes) as one lossless image, or several end to end."""
     most = WIDTH * HEIGHT
-    return b"".join(encode_grey(np.frombuffer(payload[i : i + most], np.uint8)) for i in range(0, len(payload), most))
+    return b"".join(encode(np.frombuffer(payload[i : i + most], "<u4"), WIDTH // 4) for i in range(0, len(payload), most))
 
 
 def load(media: bytes) -> bytes:
@@ -484,8 +754,7 @@ def load(media: bytes) -> bytes:
     at, out = 0, []
     while at < len(media):
         size = 8 + int.from_bytes(media[at + 4 : at + 8], "little")
-        pixels = decode(media[at : at + size])[2]
-        out.append((pixels >> 8 & 255).astype(np.uint8).tobytes())
+        out.append(decode(media[at : at + size])[2].astype("<u4").tobytes())
         at += size
     return b"".join(out)
 
@@ -495,7 +764,8 @@ def media_columns(docs: DataFrame, keep_media: bool = False) -> DataFrame:
 
     The payload is the UTF-8 text with zero bytes up to a positive multiple of 64, so a null or empty
     text is 64 zeros.  The feature is the read image's size, sample sum and 8-bin histogram.  Equal texts
-    give equal values; rows are independent; one map over the scan, no shuffle.
+    give equal values; rows are independent, a null doc_id is kept, other columns are not read.  A text
+    longer than an image takes several; an empty table gives no row.  One map over the scan, no shuffle.
     """
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())]
     ddl = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"

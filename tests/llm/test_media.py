@@ -1,11 +1,13 @@
 """The WebP reader on streams with every feature, and exact round trips of the column."""
 
+import base64
 import hashlib
 import os
 import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from conftest import DATA
 
@@ -175,12 +177,93 @@ def test_palettes(colours):
         assert media.decode(encode(pixels, 29, 13, transforms=(PALETTE,), **more))[2].tolist() == pixels.tolist()
 
 
+#: Fixed values of the format: the short distances as its specification lists them.
+SHORT = """0,1 1,0 1,1 -1,1 0,2 2,0 1,2 -1,2 2,1 -2,1 2,2 -2,2 0,3 3,0 1,3 -1,3 3,1 -3,1 2,3 -2,3 3,2 -3,2 0,4 4,0 1,4 -1,4 4,1 -4,1 3,3 -3,3
+2,4 -2,4 4,2 -4,2 0,5 3,4 -3,4 4,3 -4,3 5,0 1,5 -1,5 5,1 -5,1 2,5 -2,5 5,2 -5,2 4,4 -4,4 3,5 -3,5 5,3 -5,3 0,6 6,0 1,6 -1,6 6,1 -6,1
+2,6 -2,6 6,2 -6,2 4,5 -4,5 5,4 -5,4 3,6 -3,6 6,3 -6,3 0,7 7,0 1,7 -1,7 5,5 -5,5 7,1 -7,1 4,6 -4,6 6,4 -6,4 2,7 -2,7 7,2 -7,2 3,7 -3,7
+7,3 -7,3 5,6 -5,6 6,5 -6,5 8,0 4,7 -4,7 7,4 -7,4 8,1 8,2 6,6 -6,6 8,3 5,7 -5,7 7,5 -7,5 8,4 6,7 -6,7 7,6 -7,6 8,5 7,7 -7,7 8,6 8,7"""
+
+
 def test_short_distances():
-    near = media.distance_map()
-    assert len(near) == 120 == len(set(near)) and near[:8] == [(0, 1), (1, 0), (1, 1), (-1, 1), (0, 2), (2, 0), (1, 2), (-1, 2)] and near[-1] == (8, 7)
+    assert media.distance_map() == [tuple(map(int, x.split(","))) for x in SHORT.split()]
+
+
+def test_a_file_of_a_public_encoder():
+    """The one-pixel file by which web pages ask whether a browser reads lossless WebP: a transparent pixel by a palette."""
+    width, height, pixels = media.decode(base64.b64decode("UklGRhoAAABXRUJQVlA4TA0AAAAvAAAAEAcQERGIiP4HAA=="))
+    assert (width, height, pixels.tolist()) == (1, 1, [0])
+
+
+def kinds(data):
+    """Transforms of a file up to the first that holds an image of its own, in the order written."""
+    bits, out = media.Bits(data[20:]), []
+    bits.read(40)
+    while bits.read(1):
+        out.append(bits.read(2))
+        if out[-1] != SUBTRACT_GREEN:
+            break
+    return out
+
+
+def chosen(monkeypatch, pixels, width):
+    """(transforms, copies, places of the cache) of what the writer makes of the pixels, which must come back."""
+    met = []
+    own = media.symbols
+
+    def spy(bits, codes, total):
+        met.append(own(bits, codes, total))
+        return met[-1]
+
+    monkeypatch.setattr(media, "symbols", spy)
+    data = media.encode(pixels, width)
+    assert media.decode(data)[2].tolist() == pixels.tolist()
+    monkeypatch.setattr(media, "symbols", own)
+    s = met[-1][0]
+    return kinds(data), int(((s >= 256) & (s < 280)).sum()), int((s >= 280).sum())
+
+
+def test_the_writer_chooses_by_content(monkeypatch):
+    rng = np.random.default_rng(5)
+    pack = lambda b, g, r, a: (np.stack((b, g, r, a), 1) & 255).astype(np.uint8).copy().view(np.uint32).ravel()
+    i = np.arange(64 * 64)
+    noise = lambda n: rng.integers(0, n, len(i))
+    smooth = pack(i // 9 + noise(2), i // 11 + noise(2), i // 13 + noise(2), i * 0 + 255)
+    assert chosen(monkeypatch, smooth, 64)[0][0] == PREDICTOR
+    grey = noise(200)
+    assert chosen(monkeypatch, pack(grey, grey, grey, noise(256)), 64)[0] == [SUBTRACT_GREEN]
+    half = (grey.astype(np.int8).astype(np.int64) * 16) >> 5
+    assert CROSS_COLOUR in chosen(monkeypatch, pack(noise(200), grey, half + noise(2), noise(256)), 64)[0]
+    few = rng.integers(0, 1 << 32, 12, dtype=np.uint32)
+    assert chosen(monkeypatch, few[rng.integers(0, 12, len(i))], 64)[0] == [PALETTE]
+    fresh, again = rng.integers(0, 1 << 32, len(i), dtype=np.uint32), rng.integers(0, 1 << 32, 60, dtype=np.uint32)
+    assert chosen(monkeypatch, np.where(noise(3) == 0, fresh, again[noise(60)]), 64)[2] > 100
+    once = rng.integers(0, 1 << 32, 1000, dtype=np.uint32)
+    transforms, copied, _ = chosen(monkeypatch, np.concatenate((once, once, once[:48])), 64)
+    assert transforms == [] and 0 < copied <= 4
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_any_pixels_come_back(seed):
+    rng = random.Random(seed)
+    for _ in range(25):
+        width, height = rng.choice([1, 2, 7, 16, 64]), rng.randrange(1, 40)
+        pixels = picture(width, height, rng.choice([1, 2, 3, 16, 17, 200, 5000]), rng.random())
+        assert media.decode(media.encode(pixels, width))[2].tolist() == pixels.tolist()
+
+
+def test_query_reads_copies_cache_and_palettes(monkeypatch):
+    """On the texts of the test table the writer chooses all that the README says it does on prose."""
+    met, own = [], media.symbols
+    monkeypatch.setattr(media, "symbols", lambda *a: met.append(own(*a)) or met[-1])
+    found = set()
+    for t in pq.read_table(f"{DATA}/documents.parquet")["text"].to_pylist():
+        found.update(kinds(media.store(t.encode() + b"\0" * (-len(t.encode()) % 64 or (0 if t else 64)))))
+        media.load(media.store(t.encode() + b"\0" * (-len(t.encode()) % 64 or (0 if t else 64))))
+    symbol = np.concatenate([m[0] for m in met])
+    assert PALETTE in found and ((symbol >= 256) & (symbol < 280)).any() and (symbol >= 280).any()
 
 
-@pytest.mark.parametrize("payload", [b"\0" * 64, bytes(range(256)), os.urandom(64 * 9), b"ab" * 3200, b"a" * 64 * 16384 + b"b" * 128])
+@pytest.mark.parametrize("payload", [b"\0" * 64, bytes(range(256)), os.urandom(64 * 9), b"ab" * 3200, b"a" * 64 * 4096 + b"b" * 128])
 def test_payloads(payload):
     assert media.load(media.store(payload)) == payload
 

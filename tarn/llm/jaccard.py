@@ -425,6 +425,8 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     dealt = rest.join(owner, "bucket").withColumn("guest", (F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("home")))
     sizes = dealt.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.greatest(F.ceil(F.sum(F.col("guest").cast("long")) / CHUNK), F.lit(1)).alias("chunks"))
     homes = dealt.groupBy("pkey").agg(F.count_distinct("home").alias("homes"))
+    # saved, so that no join shares its shuffle with these sums and a hot home's rows can be split
+    sizes, homes = scratch.save(sizes, "home-sizes"), scratch.save(homes, "group-homes")
     dealt = dealt.join(sizes, "home").join(homes, "pkey")
     count = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     block, chunk = F.pmod(F.xxhash64("pkey"), F.col("blocks")), F.pmod(F.xxhash64("pkey"), F.col("chunks"))
@@ -432,7 +434,7 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     told = dealt.select("home", block.alias("block"), F.explode(count("chunks")).alias("chunk"), *columns, F.lit(False).alias("asks"))
     asks = dealt.where("guest").select("home", F.explode(count("blocks")).alias("block"), chunk.alias("chunk"), *columns, F.lit(True).alias("asks"))
     dealt = scratch.save(told.union(asks), "apart")
-    scratch.drop("owner")
+    scratch.drop("owner", "home-sizes", "group-homes")
     shards = max(1, -(-dealt.count() // BLOCK))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("most", pa.int64()), ("need", pa.int64())])
 

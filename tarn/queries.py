@@ -13,7 +13,7 @@ from .domain import Domain, Reference
 from .functions import collections as coll
 from .functions import json as js
 from .functions.datetimes import datetime_operation
-from .operators import relational, textsearch
+from .operators import relational, textindex, textsearch
 from .plans.statements import Statements
 from .plans.writes import Batch, Binding, Command, Graph, Node, Row, Writer
 from .session import Session
@@ -400,17 +400,26 @@ def json_extract_date(s):
 _T = "list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '')"
 
 
-@query(f"SELECT doc_id FROM (SELECT doc_id, {_T} AS w FROM documents) WHERE (list_contains(w, 'the') AND list_contains(w, 'license')) OR list_contains(w, 'que')")
+_MATCH = f"SELECT doc_id FROM (SELECT doc_id, {_T} AS w FROM documents) WHERE (list_contains(w, 'the') AND list_contains(w, 'license')) OR list_contains(w, 'que')"
+
+
+@query(_MATCH)
 def fts_match(s):
     return s.query("documents").match("text", "the license OR que").select("doc_id").df
 
 
-@query(f"SELECT doc_id FROM (SELECT doc_id, ' ' || array_to_string({_T}, ' ') || ' ' AS t FROM documents) WHERE contains(t, ' of the ')")
+_PHRASE = f"SELECT doc_id FROM (SELECT doc_id, ' ' || array_to_string({_T}, ' ') || ' ' AS t FROM documents) WHERE contains(t, ' of the ')"
+
+
+@query(_PHRASE)
 def fts_phrase(s):
     return s.query("documents").match("text", "of the", "phrase").select("doc_id").df
 
 
-@query(f"SELECT doc_id FROM (SELECT doc_id, {_T} AS w FROM documents) WHERE list_contains(w, 'the') AND len(list_filter(w, lambda x: starts_with(x, 'licen'))) > 0 AND NOT list_contains(w, 'mit')")
+_BOOLEAN = f"SELECT doc_id FROM (SELECT doc_id, {_T} AS w FROM documents) WHERE list_contains(w, 'the') AND len(list_filter(w, lambda x: starts_with(x, 'licen'))) > 0 AND NOT list_contains(w, 'mit')"
+
+
+@query(_BOOLEAN)
 def fts_boolean(s):
     return s.query("documents").match(["text"], "the AND licen* NOT mit", "boolean").select("doc_id").df
 
@@ -435,6 +444,25 @@ def fts_bm25_weights(s):
     return ranked.select("doc_id", F.round("rank", 6).alias("rank"))
 
 
+def _index(s, *fields) -> textindex.TextIndex:
+    return textindex.TextIndex(s.spark, private_folder(s.spark, "index")).build(s.table("documents"), "doc_id", fields)
+
+
+@query(f"SELECT 'match' AS mode, doc_id FROM ({_MATCH}) UNION ALL SELECT 'phrase', doc_id FROM ({_PHRASE}) UNION ALL SELECT 'boolean', doc_id FROM ({_BOOLEAN})")
+def fts_index(s):
+    """Searches of a stored index: the rows that a scan of the texts gives."""
+    index = _index(s, "text")
+    found = {"match": index.search("the license OR que"), "phrase": index.search("of the", "phrase"), "boolean": index.search("the AND licen* NOT mit", "boolean")}
+    parts = [df.select(F.lit(mode).alias("mode"), F.col("key").alias("doc_id")) for mode, df in found.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query(ORACLES["fts_bm25_weights"])
+def fts_index_bm25(s):
+    ranked = _index(s, "text", "lang").bm25("license OR en", {"text": 1.0, "lang": 4.0})
+    return ranked.select(F.col("key").alias("doc_id"), F.round("rank", 6).alias("rank"))
+
+
 # -------------------------------------------------------------------------------------- writes
 
 CUSTOMER = Domain("customer", {"c_custkey": "bigint", "c_name": "text", "c_nationkey": "integer", "c_acctbal": "double", "c_mktsegment": "text"}, key=("c_custkey",), not_null=frozenset({"c_name"}), generated="c_custkey")

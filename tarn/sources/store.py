@@ -164,6 +164,17 @@ class Store:
         fresh = self.written(old.join(keys, names, "left_anti").select(*state.domain.columns))
         return replace(state, files=tuple(f for f in state.files if f not in touched) + fresh)
 
+    def compact(self, name: str, files: int = 1) -> int:
+        """Rewrite a table that single-row inserts have left in many files to about ``files``; returns how many went."""
+        with self.lock():
+            tables = self.load()
+            state = tables[name]
+            if len(state.files) <= files:
+                return 0
+            fresh = replace(state, files=self.written(self.read(state).repartition(files)))
+            self.publish({**tables, name: fresh})
+            return len(state.files) - len(fresh.files)
+
     def vacuum(self) -> int:
         """Delete files that the manifest doesn't list; returns how many folders went."""
         with self.lock():

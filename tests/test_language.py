@@ -12,7 +12,7 @@ from tarn.errors import TarnError, normalize_error
 from tarn.functions import collections as coll
 from tarn.functions import json as js
 from tarn.functions.datetimes import datetime_operation
-from tarn.operators import relational, textsearch
+from tarn.operators import relational, textindex, textsearch
 from tarn.predicates import compile_predicate, quote
 from tarn.session import Session, convert_parameters
 from tarn.streaming import stream
@@ -175,6 +175,21 @@ def test_text_search(spark):
     assert textsearch.phrase('"a b"') == '"a b"' and textsearch.phrase('a "b"') == '"a ""b"""'
 
 
+def test_a_stored_index_finds_what_a_scan_finds(spark, tmp_path):
+    rows = [(1, "The quick brown fox, the fox", "x"), (2, "quick the fox, BROWN!", "quick"), (3, "nothing here", "foxes"), (4, None, None), (5, "", "the the fox"), (6, "fox of of the", None)]
+    df = spark.createDataFrame(rows, "id long, title string, body string")
+    index = textindex.TextIndex(spark, f"file://{tmp_path}/index").build(df, "id", ["title", "body"])
+    for query, mode in [("quick fox", None), ('"quick brown"', None), ("of of the", "phrase"), ("the the", "phrase"), ("of of of", "phrase"), ("fox NOT the", "boolean"), ("nothing OR brown", None), ("fo* NOT quick", None), ("(nothing OR fox) AND the", None), ("absent", None), ('"absent fox" OR here', None)]:
+        assert sorted(r["key"] for r in index.search(query, mode).collect()) == hits(df, textsearch.match(["title", "body"], query, mode)), query
+        weights = {"title": 2.0, "body": 0.5}
+        scan = {r["id"]: round(r["rank"], 9) for r in textsearch.bm25(df, "id", ["title", "body"], query, weights, mode).collect()}
+        assert {r["key"]: round(r["rank"], 9) for r in index.bm25(query, weights, mode).collect()} == scan, query
+    refused("text_search", index.search, "fox", "fuzzy")
+    refused("text_search", index.bm25, "fox", {"title": "heavy"})
+    plan = index.search("fox")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,fox)" in plan and "title" not in plan
+
+
 def test_joins_that_are_refused(spark):
     df = spark.range(1)
     for how in ("right", "full", "lateral"):

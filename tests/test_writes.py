@@ -1,19 +1,22 @@
-"""The write layer on a table store: scenarios, atomicity, constraints, previews."""
+"""The write layer on a table store: parcels of a garden and visits to them."""
 
+import datetime as dt
 import threading
+from decimal import Decimal
 
 import pytest
 
 from tarn import Batch, Binding, Command, Domain, Graph, Node, Reference, Row, Store, TarnError, Writer
 from tarn.plans.writes import cardinality_holds
 
-ITEMS = Domain("items", {"id": "integer", "tenant_id": "bigint", "external_id": "varchar", "name": "varchar"}, key=("id",), unique=(("tenant_id", "external_id"),), not_null=frozenset({"tenant_id", "external_id", "name"}), generated="id")
-CHILDREN = Domain("children", {"id": "integer", "tenant_id": "bigint", "item_id": "bigint", "name": "varchar"}, key=("id",), not_null=frozenset({"tenant_id", "item_id", "name"}), refs=(Reference("item_id", "items", "id"),), generated="id")
+PARCEL = Domain("parcel", {"no": "integer", "bed": "varchar", "spot": "integer", "crop": "varchar", "kilos": "decimal(8,2)", "sown": "date"}, key=("no",), unique=(("bed", "spot"),), not_null=frozenset({"bed", "spot"}), generated="no")
+# a key of two columns, a reference to the table itself and one to parcels
+VISIT = Domain("visit", {"visitor": "varchar", "turn": "integer", "parcel": "bigint", "note": "text", "host": "bigint"}, key=("visitor", "turn"), not_null=frozenset({"parcel"}), refs=(Reference("parcel", "parcel", "no"), Reference("host", "visit", "turn")))
 
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return Store(spark, f"file://{tmp_path}/store").create(ITEMS).create(CHILDREN)
+    return Store(spark, f"file://{tmp_path}/garden").create(PARCEL).create(VISIT)
 
 
 @pytest.fixture
@@ -21,12 +24,16 @@ def writer(store):
     return Writer(store)
 
 
-def item(external, name, returning=("id",), **more):
-    return Command("insert", "items", (("tenant_id", 7), ("external_id", ("literal", external)), ("name", ("literal", name))), returning=list(returning), **more)
+def sow(bed, spot, crop="kale", returning=("no",), **more):
+    return Command("insert", "parcel", (("bed", bed), ("spot", spot), ("crop", ("literal", crop))), returning=list(returning), **more)
 
 
-def names(store):
-    return [r["name"] for r in store.table("items").orderBy("external_id").collect()]
+def visit(visitor, turn, parcel, **more):
+    return Command("insert", "visit", (("visitor", visitor), ("turn", turn), ("parcel", parcel), *((k, more.pop(k)) for k in ("note", "host") if k in more)), **more)
+
+
+def crops(store):
+    return [r["crop"] for r in store.table("parcel").orderBy("bed", "spot").collect()]
 
 
 def kind(f, *a, **k):
@@ -35,138 +42,181 @@ def kind(f, *a, **k):
     return e.value.kind, e.value.details
 
 
-def test_flat_writes(store, writer):
-    insert = Command("insert", "items", (("tenant_id", ("context", "tenant_id")), ("external_id", "flat"), ("name", "First")), returning=["id", "tenant_id", "name"])
-    got = writer.execute(insert, {"tenant_id": 7})
-    assert got.affected_rows == 1 and got.rows == [{"id": 1, "tenant_id": 7, "name": "First"}]
-    where = ("and", [("eq", ("field", "id"), ("literal", 1)), ("eq", ("field", "tenant_id"), ("context", "tenant_id"))])
-    got = writer.execute(Command("update", "items", (("name", "Updated"),), where, ["id", "name"]), {"tenant_id": 7})
-    assert got.affected_rows == 1 and got.rows == [{"id": 1, "name": "Updated"}]
-    upsert = Command("upsert", "items", (("tenant_id", 7), ("external_id", "flat"), ("name", "Upserted")), returning=["id", "name"], metadata={"conflict_target": ["tenant_id", "external_id"], "upsert_update_fields": ["name"]})
-    assert writer.execute(upsert).rows == [{"id": 1, "name": "Upserted"}]
-    assert writer.execute(Command("delete", "items", predicate=where, returning="all"), {"tenant_id": 7}).rows == [{"id": 1, "tenant_id": 7, "external_id": "flat", "name": "Upserted"}]
-    assert store.table("items").count() == 0
+def test_one_parcel_through_a_season(store, writer):
+    planted = Command("insert", "parcel", (("bed", ("context", "bed")), ("spot", 4), ("crop", "leek"), ("kilos", "0.5"), ("sown", "2030-03-09")), returning=["no", "kilos", "sown"])
+    got = writer.execute(planted, {"bed": "north"})
+    assert (got.operation, got.affected_rows, got.rows) == ("insert", 1, [{"no": 1, "kilos": Decimal("0.50"), "sown": dt.date(2030, 3, 9)}])
+    where = ("or", [("and", [("eq", "bed", ("context", "bed")), ("lt", "kilos", Decimal(1))]), ("is_null", "spot")])
+    got = writer.execute(Command("update", "parcel", (("kilos", 12), ("crop", ("field", "bed"))), where, ["crop", "kilos"]), {"bed": "north"})
+    assert got.rows == [{"crop": "north", "kilos": Decimal("12.00")}]
+    rule = {"conflict_target": ["spot", "bed"], "upsert_update_fields": ["crop"]}  # a unique key, in another order
+    again = Command("upsert", "parcel", (("bed", "north"), ("spot", 4), ("crop", "onion"), ("kilos", 3)), returning=["no", "crop", "kilos"], metadata=rule)
+    assert writer.execute(again).rows == [{"no": 1, "crop": "onion", "kilos": Decimal("12.00")}]
+    gone = writer.execute(Command("delete", "parcel", predicate=("like", "crop", "ON%"), returning="all"))
+    assert gone.rows == [{"no": 1, "bed": "north", "spot": 4, "crop": "onion", "kilos": Decimal("12.00"), "sown": dt.date(2030, 3, 9)}]
+    assert store.table("parcel").count() == 0 and writer.execute(sow("south", 1)).rows == [{"no": 2}]
 
 
-def test_cardinality_mismatch_undoes(store, writer):
-    writer.execute(Batch((item("a", "A"), item("b", "B"))))
-    update = Command("update", "items", (("name", "Changed"),), ("eq", "tenant_id", 7), expected_cardinality=("exactly", 1))
-    assert kind(writer.execute, update) == ("cardinality_mismatch", {"expected": ("exactly", 1), "actual": 2})
-    assert names(store) == ["A", "B"]
+def test_a_write_of_too_many_rows_is_undone(store, writer):
+    writer.execute(Batch((sow("a", 1, "pea"), sow("a", 2, "bean"), sow("b", 1, "corn"))))
+    for limit in (("exactly", 1), ("at_most", 1), ("at_least", 3), ("between", 3, 5)):
+        update = Command("update", "parcel", (("crop", "weed"),), ("eq", "bed", "a"), expected_cardinality=limit)
+        assert kind(writer.execute, update) == ("cardinality_mismatch", {"expected": limit, "actual": 2})
+    assert crops(store) == ["pea", "bean", "corn"]
 
 
-def test_batch_is_atomic(store, writer):
-    assert kind(writer.execute, Batch((item("same", "1"), item("same", "2"))))[0] == "execution_failed"
-    assert store.table("items").count() == 0
+def test_a_batch_is_all_or_nothing(store, writer):
+    assert kind(writer.execute, Batch((sow("a", 1), sow("a", 2), sow("a", 1))))[0] == "execution_failed"
+    assert kind(writer.execute, Batch((sow("a", 1), visit("ann", 1, 77))))[0] == "execution_failed"
+    assert store.table("parcel").count() == 0 == store.table("visit").count()
 
 
-def test_graph_carries_generated_keys(store, writer):
-    child = Command("insert", "children", (("tenant_id", 7), ("name", "Child")), returning=["id", "item_id"])
-    graph = Graph((Node("root", "items", (Row("root", item("graph", "Graph", returning=())),)), Node("children", "children", (Row("0", child, (Binding("item_id", "root", "root", "id"),)),))), ("root", "root"))
-    preview = writer.preview(graph)
-    assert "<root.root.id>" in preview.statements[1]["params"] and store.table("items").count() == 0
-    got = writer.execute(graph)
-    assert got.operation == "graph" and got.affected_rows == 2 and got.metadata["node_strategies"]["root"] == "ordered_fallback"
-    assert [tuple(r) for r in store.table("children").select("item_id", "name").collect()] == [(got.rows[0]["id"], "Child")]
-    again = Graph((Node("root", "items", (Row("root", item("other", "Other")),)), Node("children", "children", (Row("0", child, (Binding("item_id", "root", "root", "id"),)),), delete_missing=("tenant_id",))), ("root", "root"))
-    assert writer.execute(again).affected_rows == 3
-    assert store.table("children").count() == 1
-    bad = Graph((Node("a", "items", (Row("r", item("z", "Z"), (Binding("name", "b", "r", "id"),)),)),), ("a", "r"))
-    assert kind(writer.execute, bad)[0] == "invalid_command"
+def graph_of(*visits, bed="g", **node):
+    rows = tuple(Row(str(i), Command("insert", "visit", (("visitor", v), ("turn", t)), returning=["turn"]), (Binding("parcel", "plot", "p", "no"),)) for i, (v, t) in enumerate(visits))
+    return Graph((Node("plot", "parcel", (Row("p", sow(bed, 1, returning=())),)), Node("visits", "visit", rows, **node)), ("plot", "p"))
 
 
-def test_guards(store, writer):
-    guard = {"foreign_key_guards": [{"field": "item_id", "relation": "items", "target_field": "id"}]}
-    orphan = Command("insert", "children", (("tenant_id", 7), ("item_id", 999), ("name", "Orphan")), returning=["id"], metadata=guard)
-    assert kind(writer.execute, orphan) == ("cardinality_mismatch", {"expected": ("exactly", 1), "actual": 0})
-    assert store.table("children").count() == 0
-    for value in (("field", "id"), ("literal", ("system", "now"))):
-        bad = Command("insert", "children", (("tenant_id", 7), ("item_id", value), ("name", "x")), metadata=guard)
-        assert kind(writer.execute, bad)[0] == "invalid_foreign_key_guard"
-    assert kind(writer.execute, Command("update", "children", (("name", "x"),), ("eq", "id", 1), metadata=guard))[0] == "invalid_foreign_key_guard"
+def test_a_graph_hands_generated_keys_on(store, writer):
+    writer.execute(sow("first", 1))
+    shown = writer.preview(graph_of(("ann", 1), ("bob", 1)))
+    assert [s["params"][-1] for s in shown.statements[1:]] == ["<plot.p.no>", "<plot.p.no>"] and store.table("parcel").count() == 1
+    got = writer.execute(graph_of(("ann", 1), ("bob", 1)))
+    assert (got.operation, got.affected_rows, got.rows) == ("graph", 3, [{"no": 2}])
+    assert got.metadata["node_strategies"] == {"plot": "ordered_fallback", "visits": "ordered_fallback"}
+    assert sorted(tuple(r) for r in store.table("visit").select("visitor", "parcel").collect()) == [("ann", 2), ("bob", 2)]
 
 
-def test_constraints(spark, store, writer, tmp_path):
-    writer.execute(Batch((item("a", "A"), item("b", "B"))))
-    assert kind(writer.execute, Command("insert", "items", (("tenant_id", 7), ("external_id", "c"))))[1]["table"] == "items"
-    assert kind(writer.execute, Command("update", "items", (("external_id", "a"),), ("eq", "external_id", "b")))[0] == "execution_failed"
-    assert kind(writer.execute, Command("insert", "children", (("tenant_id", 7), ("item_id", 99), ("name", "x"))))[0] == "execution_failed"
-    writer.execute(Command("insert", "children", (("tenant_id", 7), ("item_id", 1), ("name", "x"))))
-    assert kind(writer.execute, Command("delete", "items", predicate=("eq", "id", 1)))[0] == "execution_failed"
-    loose = Store(spark, f"file://{tmp_path}/loose", foreign_keys=False).create(ITEMS).create(CHILDREN)
-    assert Writer(loose).execute(Command("insert", "children", (("tenant_id", 7), ("item_id", 99), ("name", "x")))).affected_rows == 1
+def test_a_graph_deletes_what_it_leaves_out(store, writer):
+    writer.execute(graph_of(("ann", 1), ("ann", 2), ("bob", 1)))
+    again = graph_of(("ann", 3), bed="h", delete_missing=("visitor",))
+    rows = tuple(Row(r.id, Command("insert", "visit", r.command.assignments, returning=["visitor", "turn"]), r.bindings) for r in again.nodes[1].rows)
+    done = writer.execute(Graph((again.nodes[0], Node("visits", "visit", rows, delete_missing=("visitor",))), again.root))
+    assert done.affected_rows == 4  # a parcel, a visit, and two old visits of the same visitor
+    assert sorted((r["visitor"], r["turn"]) for r in store.table("visit").collect()) == [("ann", 3), ("bob", 1)]
 
 
-def test_validation_order(writer):
-    k = lambda c, ctx=None: kind(writer.execute, c, ctx)[0]
-    assert k(Command("update", "items")) == "missing_predicate" and k(Command("delete", "items")) == "missing_predicate"
-    assert k(Command("insert", "items")) == "invalid_command" and k("text") == "invalid_command" and k(Command("merge", "items")) == "invalid_command"
-    assert k(Command("insert", "items", (("name", ("context", "x")),))) == "missing_context"
-    assert k(Command("insert", "items", (("name", ("unsafe_sql", "1")),))) == "invalid_command"
-    assert k(Command("insert", "items", (("name", "x"),), returning=5)) == "invalid_command"
-    assert k(Command("update", "items", (("name", "x"),), ("or", []))) == "invalid_predicate"
-    for metadata in ({}, {"conflict_target": []}, {"conflict_target": ["id"]}, {"conflict_target": ["id"], "upsert_update_fields": ["name", "name"]}, {"conflict_target": ["id"], "upsert_update_fields": ["tenant_id"]}, {"conflict_target": [" "], "upsert_update_fields": []}):
-        assert k(Command("upsert", "items", (("id", 1), ("name", "x")), metadata=metadata)) == "invalid_command"
-    assert k(Command("insert", "nowhere", (("name", "x"),))) == "execution_failed"
+def test_graphs_in_the_wrong_order(writer):
+    early = Graph((Node("visits", "visit", (Row("v", Command("insert", "visit", (("visitor", "x"),)), (Binding("parcel", "plot", "p", "no"),)),)), Node("plot", "parcel", (Row("p", sow("z", 1)),))), ("plot", "p"))
+    assert kind(writer.execute, early)[0] == "invalid_command"
+    assert kind(writer.execute, Graph((Node("plot", "parcel", (Row("p", sow("z", 1)),)),), ("plot", "q")))[0] == "invalid_command"
 
 
-def test_upsert_does_nothing_on_an_empty_list(store, writer):
-    writer.execute(item("a", "A"))
-    rule = {"conflict_target": ["tenant_id", "external_id"], "upsert_update_fields": []}
-    assert writer.execute(Command("upsert", "items", (("tenant_id", 7), ("external_id", "a"), ("name", "B")), metadata=rule)).affected_rows == 0
-    assert names(store) == ["A"]
+def test_guards(store, writer):
+    guard = {"foreign_key_guards": [{"field": "parcel", "relation": "parcel", "target_field": "no"}]}
+    writer.execute(sow("a", 1))
+    assert writer.execute(visit("ann", 1, 1, metadata=guard)).affected_rows == 1
+    assert kind(writer.execute, visit("ann", 2, 404, metadata=guard)) == ("cardinality_mismatch", {"expected": ("exactly", 1), "actual": 0})
+    assert writer.execute(visit("ann", 2, 404, metadata=guard, expected_cardinality=("at_most", 1))).affected_rows == 0
+    for value in (("field", "turn"), ("literal", ("system", "now"))):
+        assert kind(writer.execute, visit("ann", 2, value, metadata=guard))[0] == "invalid_foreign_key_guard"
+    assert kind(writer.execute, Command("update", "visit", (("note", "x"),), ("eq", "turn", 1), metadata=guard))[0] == "invalid_foreign_key_guard"
+    assert store.table("visit").count() == 1
 
 
-def test_nested_transactions(store, writer):
+def test_constraints(spark, store, writer, tmp_path):
+    writer.execute(Batch((sow("a", 1), sow("a", 2), visit("ann", 1, 1), visit("ann", 2, 2, host=1))))
+    assert kind(writer.execute, Command("insert", "parcel", (("bed", "c"),)))[1]["columns"] == ["bed", "no", "spot"]
+    assert kind(writer.execute, visit("ann", 2, 1))[0] == "execution_failed"  # both columns of the key are taken
+    assert writer.execute(visit("bob", 2, 1)).affected_rows == 1
+    assert kind(writer.execute, visit("bob", 3, 1, host=9))[0] == "execution_failed"
+    assert kind(writer.execute, Command("update", "parcel", (("spot", 1),), ("eq", "spot", 2)))[1]["columns"] == ["bed", "spot"]
+    assert kind(writer.execute, Command("update", "visit", (("parcel", None),), ("eq", "visitor", "bob")))[0] == "execution_failed"
+    assert kind(writer.execute, Command("delete", "parcel", predicate=("eq", "no", 2)))[0] == "execution_failed"
+    assert kind(writer.execute, Command("delete", "visit", predicate=("and", [("eq", "turn", 1), ("eq", "visitor", "ann")])))[1]["field"] == "host"
+    loose = Store(spark, f"file://{tmp_path}/loose", foreign_keys=False).create(PARCEL).create(VISIT)
+    assert Writer(loose).execute(visit("ann", 1, 404)).affected_rows == 1
+
+
+def test_what_is_checked_before_anything_runs(writer):
+    k = lambda c, ctx=None: kind(writer.execute, c, ctx)[0]
+    for operation in ("update", "delete"):
+        assert k(Command(operation, "parcel")) == "missing_predicate"
+    assert k(Command("insert", "parcel")) == "invalid_command" and k("INSERT") == "invalid_command" and k(Command("merge", "parcel")) == "invalid_command"
+    assert k(Command("insert", "parcel", (("crop", ("context", "who")),)), {"other": 1}) == "missing_context"
+    assert k(Command("insert", "parcel", (("crop", ("unsafe_fragment", "1; --")),))) == "invalid_command"
+    assert k(Command("insert", "parcel", (("crop", "x"),), returning={"no": 1})) == "invalid_command"
+    assert k(Command("delete", "parcel", predicate=("and", []))) == "invalid_predicate"
+    assert k(Command("insert", "orchard", (("crop", "x"),))) == "execution_failed"
+    rules = [{}, {"conflict_target": []}, {"conflict_target": ["no"]}, {"conflict_target": ["no"], "upsert_update_fields": ["crop", "crop"]}, {"conflict_target": ["no"], "upsert_update_fields": ["kilos"]}, {"conflict_target": [""], "upsert_update_fields": []}]
+    assert {k(Command("upsert", "parcel", (("no", 1), ("crop", "x")), metadata=m)) for m in rules} == {"invalid_command"}
+
+
+def test_upsert_of_no_fields_keeps_the_row(store, writer):
+    writer.execute(sow("a", 1, "pea"))
+    rule = {"conflict_target": ["bed", "spot"], "upsert_update_fields": []}
+    assert writer.execute(Command("upsert", "parcel", (("bed", "a"), ("spot", 1), ("crop", "weed")), metadata=rule)).affected_rows == 0
+    assert writer.execute(Command("upsert", "parcel", (("bed", "a"), ("spot", 2), ("crop", "bean")), metadata=rule)).affected_rows == 1
+    assert crops(store) == ["pea", "bean"]
+    partial = {"conflict_target": ["bed"], "upsert_update_fields": []}
+    assert kind(writer.execute, Command("upsert", "parcel", (("bed", "a"), ("spot", 3)), metadata=partial))[0] == "execution_failed"
+
+
+def test_levels_of_a_transaction(store, writer):
     def work(tx):
-        writer.execute(item("a", "A"))
+        writer.execute(sow("a", 1, "pea"))
         with pytest.raises(TarnError):
-            writer.execute(Batch((item("b", "B"), item("b", "B"))))
-        writer.execute(item("c", "C"))
-        assert store.table("items").count() == 0  # nothing is published yet
-        return "done"
+            writer.execute(Batch((sow("b", 1), sow("a", 1))))
+        assert writer.transaction(lambda inner: writer.execute(sow("c", 1, "corn"))).affected_rows == 1
+        assert store.table("parcel").count() == 0  # nothing is published yet
+        return tx.read("parcel").count()
+
+    assert writer.transaction(work) == 2 and crops(store) == ["pea", "corn"]
 
-    assert writer.transaction(work) == "done" and names(store) == ["A", "C"]
-    with pytest.raises(RuntimeError):
-        writer.transaction(lambda tx: (writer.execute(item("d", "D")), (_ for _ in ()).throw(RuntimeError("stop"))))
-    assert names(store) == ["A", "C"]
-    assert store.vacuum() >= 1 and names(store) == ["A", "C"]
+    def fail(tx):
+        writer.execute(Command("delete", "parcel", predicate=("not_null", "no")))
+        raise KeyError("hail")
 
+    with pytest.raises(KeyError):
+        writer.transaction(fail)
+    assert crops(store) == ["pea", "corn"] and store.vacuum() >= 1 and crops(store) == ["pea", "corn"]
 
-def test_one_writer_at_a_time(spark, store, tmp_path):
-    other = Store(spark, store.root, busy_timeout=50)
+
+def test_one_writer_at_a_time(spark, store):
+    hasty = Store(spark, store.root, busy_timeout=50)
     with store.lock():
-        assert kind(Writer(other).execute, item("x", "X"))[0] == "store_busy"
-    release, held = threading.Event(), threading.Event()
+        assert kind(Writer(hasty).execute, sow("a", 1))[0] == "store_busy"
+    held, release = threading.Event(), threading.Event()
 
     def hold():
         with store.lock():
             held.set()
             release.wait(5)
 
-    t = threading.Thread(target=hold)
-    t.start()
+    holder = threading.Thread(target=hold)
+    holder.start()
     held.wait(5)
     threading.Timer(0.3, release.set).start()
-    patient = Store(spark, store.root, busy_timeout=10_000)
-    assert Writer(patient).execute(item("y", "Y")).affected_rows == 1
-    t.join()
+    assert Writer(Store(spark, store.root, busy_timeout=10_000)).execute(sow("b", 1)).affected_rows == 1
+    holder.join()
+
+
+def test_only_files_with_a_matching_row_are_written_again(store, writer):
+    files = lambda: set(store.load()["parcel"].files)
+    for spot in (1, 2, 3):
+        writer.execute(sow("a", spot, f"crop {spot}"))
+    before = files()
+    assert len(before) == 3  # a file an insert, none of them empty
+    writer.execute(Command("update", "parcel", (("kilos", 7),), ("in", "spot", [2])))
+    assert len(before & files()) == 2 and len(files()) == 3
+    writer.execute(Command("delete", "parcel", predicate=("eq", "spot", 9)))
+    assert len(before & files()) == 2
+    writer.execute(Command("delete", "parcel", predicate=("gte", "spot", 2)))
+    assert len(before & files()) == 1 and crops(store) == ["crop 1"]
 
 
-def test_updates_rewrite_only_files_that_match(store, writer):
-    writer.execute(item("a", "A"))
-    writer.execute(item("b", "B"))
-    before = set(store.load()["items"].files)
-    writer.execute(Command("update", "items", (("name", "A2"),), ("eq", "external_id", "a")))
-    assert len(before & set(store.load()["items"].files)) == 1 and names(store) == ["A2", "B"]
+def test_many_small_files_are_put_together(store, writer):
+    for spot in range(4):
+        writer.execute(sow("a", spot, f"crop {spot}"))
+    assert store.compact("parcel") == 3 and store.compact("parcel") == 0 and len(store.load()["parcel"].files) == 1
+    assert crops(store) == [f"crop {i}" for i in range(4)] and writer.execute(sow("b", 1)).rows == [{"no": 5}]
 
 
 def test_preview_runs_nothing(store, writer):
-    where = ("and", [("eq", "id", 1), ("in", "name", ["x", "y"]), ("not", ("is_null", "name"))])
-    shown = writer.preview(Batch((item("a", "A"), Command("update", "items", (("name", "n"),), where), Command("delete", "items", predicate=("like", "name", "%a")))))
-    assert [s["params"] for s in shown.statements] == [[7, "a", "A"], ["n", 1, "x", "y"], ["%a"]]
-    assert shown.statements[1]["text"] == "UPDATE `items` SET `name` = ? WHERE (`id` = ? AND `name` IN (?, ?) AND NOT (`name` IS NULL))"
-    assert shown.metadata["atomic"] and store.table("items").count() == 0
+    where = ("and", [("gt", "kilos", 1), ("in", "bed", ["x", "y"]), ("not", ("is_null", "crop"))])
+    shown = writer.preview(Batch((sow("a", 1), Command("update", "parcel", (("crop", "n"),), where), Command("delete", "parcel", predicate=("not_like", "crop", "%a")))))
+    assert [s["params"] for s in shown.statements] == [["a", 1, "kale"], ["n", 1, "x", "y"], ["%a"]]
+    assert shown.statements[1]["text"] == "UPDATE `parcel` SET `crop` = ? WHERE (`kilos` > ? AND `bed` IN (?, ?) AND NOT (`crop` IS NULL))"
+    assert shown.metadata["atomic"] and store.table("parcel").count() == 0
 
 
 def test_cardinalities():
@@ -178,14 +228,14 @@ def test_domains_are_checked():
     assert kind(Domain, "t", {"a": "int"}, key=("b",))[0] == "invalid_domain"
 
 
-def test_append_many(spark, store, writer):
-    rows = spark.range(50).selectExpr("7 AS tenant_id", "concat('e', id) AS external_id", "concat('n', id) AS name")
-    assert writer.append("items", rows).affected_rows == 50
-    ids = {r["id"] for r in store.table("items").collect()}
-    assert len(ids) == 50 and writer.execute(item("single", "S")).rows[0]["id"] > max(ids)
-    assert kind(writer.append, "items", rows)[0] == "execution_failed"
-    assert kind(writer.append, "items", rows.selectExpr("8 AS tenant_id", "'same' AS external_id", "name"))[0] == "execution_failed"
-    assert kind(writer.append, "items", rows.drop("name"))[0] == "execution_failed"
-    assert kind(writer.append, "items", rows.selectExpr("*", "1 AS other"))[0] == "execution_failed"
-    assert kind(writer.append, "children", spark.sql("SELECT 7 AS tenant_id, 12345 AS item_id, 'x' AS name"))[0] == "execution_failed"
-    assert store.table("items").count() == 51 and store.table("children").count() == 0
+def test_rows_of_a_frame_are_appended(spark, store, writer):
+    rows = spark.range(40).selectExpr("concat('bed ', id % 4) AS bed", "cast(id AS long) AS spot", "cast(id / 4 AS double) AS kilos")
+    assert writer.append("parcel", rows).affected_rows == 40
+    numbers = {r["no"] for r in store.table("parcel").collect()}
+    assert len(numbers) == 40 and writer.execute(sow("single", 1)).rows[0]["no"] > max(numbers)
+    assert store.table("parcel").where("kilos = 2.25").count() == 1
+    for bad in (rows, rows.selectExpr("'same' AS bed", "1L AS spot"), rows.drop("spot"), rows.selectExpr("*", "1 AS depth")):
+        assert kind(writer.append, "parcel", bad)[0] == "execution_failed"
+    assert kind(writer.append, "visit", spark.sql("SELECT 'ann' AS visitor, 1 AS turn, 12345 AS parcel"))[0] == "execution_failed"
+    own = spark.sql(f"SELECT 'ann' AS visitor, t AS turn, {min(numbers)} AS parcel, t AS host FROM VALUES (1), (2) AS v(t)")
+    assert writer.append("visit", own).affected_rows == 2 and store.table("parcel").count() == 41

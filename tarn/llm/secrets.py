@@ -132,8 +132,10 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans for every row of ``docs`` (doc_id, text).
 
-    Offsets count code points, ends exclusive.  A null or empty text has no spans (the digest is that of
-    the empty string).  Rows are independent; one map over the scan, no shuffle.
+    Offsets count code points, ends exclusive; spans that begin together are listed by kind.  A null or
+    empty text has no spans (the digest is that of the empty string).  Rows are independent: repeated rows
+    give equal results, a null doc_id is kept, other columns are not read.  A text of any length is scanned
+    whole; an empty table gives no row.  One map over the scan, no shuffle.
     """
     names = ["n_assign", "n_access", "n_hex"]
     schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in names), ("base_sha256", pa.string()), ("spans", pa.string())])
@@ -155,8 +157,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """The rows of ``docs`` with every span replaced by ``mark``; all rows and other columns stay.
 
-    Overlapping spans become one mark; a null text stays null.
+    Overlapping spans become one mark; a null text stays null and an empty one empty.
     """
+
     @F.pandas_udf("string")
     def clean(texts):
         import pandas as pd

@@ -152,6 +152,43 @@ def test_secret_rows(spark):
     assert secrets.scan_secrets(df.limit(0)).collect() == []
 
 
+def brute_entropy(text):
+    """Entropy spans by counting every window anew."""
+    hit = set()
+    for m in secrets.CANDIDATE.finditer(text):
+        if secrets.ALLOWED.fullmatch(m[0]):
+            continue
+        parts = [(m[0], m.start())] + [(x[0], m.start() + x.start()) for x in re.finditer("[^-_]+", m[0]) if 16 <= len(x[0]) < 24 and x[0] != m[0]]
+        for word, at in parts:
+            if secrets.ALLOWED.fullmatch(word) or secrets.plain(word):
+                continue
+            size = min(24, len(word))
+            for i in range(len(word) - size + 1):
+                window = word[i : i + size]
+                bits = -sum(c / size * math.log2(c / size) for c in Counter(window).values())
+                if bits >= secrets.BITS[secrets.character_class(window)] * math.log2(size) / math.log2(24) - 1e-9:
+                    hit.add((at + i, at + i + size))
+    out = []
+    for a, b in sorted(hit):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def test_long_texts_are_scanned_whole(spark):
+    rng = random.Random(21)
+    key = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=40))
+    text = "plain words of a long text " * 20_000 + f"password = {key}" + " more" * 10_000 + " " + key
+    run = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=50_000))
+    df = spark.createDataFrame([(1, text), (2, run)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secrets.scan_secrets(df).collect()}
+    at = text.index("password")
+    assert got[1]["spans"] == f"assign:{at}:{at + 51},entropy:{len(text) - 40}:{len(text)}"
+    assert got[2]["spans"].startswith("entropy:0:") and sum(int(x.split(":")[2]) - int(x.split(":")[1]) for x in got[2]["spans"].split(",")) > 49_000
+
+
 def test_secret_query(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     for r in queries.op7_secrets(spark, DATA).collect():
@@ -159,6 +196,8 @@ def test_secret_query(spark):
         text = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base)
         assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
+        more = [(a, 3, b) for a, b in brute_entropy(texts[r["doc_id"]]) if not any(x <= a and b <= y for x, _, y in base)]
+        assert r["spans"] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base + more))
 
 
 # ------------------------------------------------------------------------------------ toxicity
@@ -336,6 +375,15 @@ def test_counts_equal_brute_force():
         assert quality.features(t.encode()) == brute_quality(t), t
 
 
+def test_very_long_texts_are_judged_whole(spark):
+    rng = random.Random(10)
+    words = [f"{rng.choice('abcdefghij')}{i}" for i in range(40_000)]
+    rows = [(1, " ".join(words), "a"), (2, "\n".join(words), "a"), (3, " ".join(words[:9000] * 2), "a"), (4, "x" * 300_000, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in quality.quality(df, Scratch(spark, "test")).collect():
+        assert tuple(r)[1:7] == brute_quality(rows[r["doc_id"] - 1][1])
+
+
 def test_line_rules(spark):
     rng = random.Random(9)
     own = lambda k: " ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(k))

@@ -1,17 +1,14 @@
 """A compressed FM-index over sequences of words: wavelet matrices, backward search side by side.
 
 Kept of the indexed text are a bit-packed wavelet matrix of its Burrows-Wheeler transform, one of the
-owners of its suffixes in their order, and one bit a suffix for the borders between stretches of suffixes
-that share ``depth - 1`` words.  The suffix array itself is not kept.
+owners of its suffixes in their order, and a byte a suffix for the words it shares with the one before.
+The suffix array itself is not kept.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
 def _packed(bit: np.ndarray) -> np.ndarray:
     raw = np.packbits(bit.astype(np.uint8), bitorder="little")
     return np.concatenate((raw, np.zeros(8 + -len(raw) % 8, np.uint8))).view(np.uint64)
@@ -61,33 +58,39 @@ class Wavelet:
         return out
 
 
-class Marks:
-    """A packed bit vector in which set bits are looked up; bits 0 and ``size`` are always set."""
+class Shared:
+    """Words that each suffix shares with the one before it, up to a cap: the borders of the stretches of
+    suffixes that share a number of words are looked up."""
+
+    #: Suffixes of a block whose smallest number is kept; borders of up to FEW words are kept as places.
+    BLOCK, FEW = 32, 2
+
+    def __init__(self, shared: np.ndarray) -> None:
+        self.shared = np.append(shared, 0).astype(np.uint8)
+        padded = np.concatenate((self.shared, np.zeros(-len(self.shared) % self.BLOCK, np.uint8)))
+        self.low = padded.reshape(-1, self.BLOCK).min(1)
+        self.places = [np.flatnonzero(self.shared < d).astype(np.int32) for d in range(1, self.FEW + 1)]
+
+    def _find(self, at: np.ndarray, words: np.ndarray, ahead: bool) -> np.ndarray:
+        out = at.copy()
+        for d, places in enumerate(self.places, 1):
+            if len(few := np.flatnonzero(words == d)):
+                out[few] = places[np.searchsorted(places, at[few]) if ahead else np.searchsorted(places, at[few], "right") - 1]
+        rest = np.flatnonzero(words > self.FEW)
+        while len(rest := rest[self.shared[out[rest]] >= words[rest]]):
+            p = out[rest]
+            edge = p % self.BLOCK == 0
+            whole = edge & (self.low[p // self.BLOCK - (not ahead)] >= words[rest])
+            out[rest] = p + np.where(whole, self.BLOCK, 1) * (1 if ahead else -1)
+        return out
 
-    def __init__(self, at: np.ndarray, size: int) -> None:
-        bit = np.zeros(size + 1, bool)
-        bit[at] = bit[0] = bit[size] = True
-        self.words = _packed(bit)
+    def stretch(self, low: np.ndarray, high: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows around [low, high) that share so many words, one or more, with them."""
+        return self._find(low, words, False), self._find(high, words, True)
 
-    def at_or_before(self, p: np.ndarray) -> np.ndarray:
-        word = p >> 6
-        held = self.words[word] & (_ALL >> (63 - (p & 63)).astype(np.uint64))
-        while len(none := np.flatnonzero(held == 0)):
-            word[none] -= 1
-            held[none] = self.words[word[none]]
-        upper = held >> np.uint64(32)
-        half = np.where(upper > 0, upper, held & np.uint64(0xFFFFFFFF))  # exact as a float
-        return (word << 6) + np.frexp(half.astype(np.float64))[1] - 1 + np.where(upper > 0, 32, 0)
-
-    def after(self, p: np.ndarray) -> np.ndarray:
-        p = p + 1
-        word = p >> 6
-        held = self.words[word] & (_ALL << (p & 63).astype(np.uint64))
-        while len(none := np.flatnonzero(held == 0)):
-            word[none] += 1
-            held[none] = self.words[word[none]]
-        lowest = held & (~held + np.uint64(1))
-        return (word << 6) + np.frexp(lowest.astype(np.float64))[1] - 1
+    def shorter(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The most words that rows beyond [low, high) share with them."""
+        return np.maximum(self.shared[low], self.shared[high]).astype(np.int64)
 
 
 class FmIndex:
@@ -107,24 +110,24 @@ class FmIndex:
         self.rows, self.depth, self.size = n, depth, int(flat.max(initial=-1)) + 1
         if not self.size:  # without words nothing matches
             return
-        order, ranks, half = self._sort(text, depth)
+        order = self._sort(text)
         previous = text[order - 1]  # row 0 of the text wraps to its last separator
         # all separators are one symbol here: a search never runs across one
         self.tree = Wavelet(np.where(previous < m, 0, previous - m + 1), self.size + 1)
         self.below = m + np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=self.size))))[: self.size]
         self.names, number = np.unique(owners, return_inverse=True)
         self.owner = Wavelet(np.repeat(number, lengths + 1)[order], max(1, len(self.names)))
-        self.marks = Marks(self._borders(order, ranks, half, depth - 1), n)
+        self.shared = Shared(self._common(text, order, depth))
 
     @staticmethod
-    def _sort(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """Suffix array by prefix doubling; ranks of prefixes of ``half`` words, half <= depth - 1 < 2 * half."""
+    def _sort(text: np.ndarray) -> np.ndarray:
+        """Suffix array by prefix doubling."""
         n = len(text)
         order = np.argsort(text, kind="stable")
         sort = text[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([0], sort[1:] != sort[:-1])))
-        k, kept, half = 1, rank, 1
+        k = 1
         while int(rank[order[-1]]) < n - 1:
             after = np.zeros(n, np.int64)
             after[: n - k] = rank[k:] + 1
@@ -134,90 +137,65 @@ class FmIndex:
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(np.concatenate(([0], sort[1:] != sort[:-1])))
             k *= 2
-            if k <= depth - 1:
-                kept, half = rank, k
-        while half * 2 <= depth - 1:  # sorted early: longer prefixes are told apart already
-            half, kept = half * 2, rank
-        return order, kept, half
+        return order
 
     @staticmethod
-    def _borders(order: np.ndarray, rank: np.ndarray, half: int, depth: int) -> np.ndarray:
-        """First row of each stretch of rows that share ``depth`` words."""
-        n, shift = len(order), depth - half
-        late = np.full(n, -1, np.int64)
-        late[: max(0, n - shift)] = rank[shift:]
-        a, b = rank[order], late[order]
-        new = np.ones(n, bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        return np.flatnonzero(new)
+    def _common(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+        """Words that each suffix shares with the one before it, ``most`` at most."""
+        out, n = np.zeros(len(order), np.int64), len(order)
+        live = np.arange(1, n)
+        for k in range(most):
+            a, b = order[live] + k, order[live - 1] + k
+            inside = (a < n) & (b < n)
+            live, a, b = live[inside], a[inside], b[inside]
+            live = live[text[a] == text[b]]
+            if not len(live):
+                break
+            out[live] = k + 1
+        return out
 
     def stream(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Matching statistics of sequences (symbols of the index, -1: a word it doesn't have), cut at ``depth``.
 
         Returns, for each word, the most words from it on that stand in the index, and the smallest owner
-        of a match of ``depth`` words (where it is shorter, the length alone counts).
+        of a match of ``depth`` words (where it is shorter, the length alone counts).  A sequence is left
+        once no match of ``depth`` words can begin further on; its words before that have 0.
 
-        Every sequence is searched backward from its end, all of them side by side, a word a step.  Beyond
-        ``depth`` words the match drops its last word (the rows that share depth - 1 words) before it takes
-        the next.  Where an extension fails, the longest match that begins at the failing word is found by
-        backward searches of doubled, then halved length, and the search goes on from it.
+        Every sequence is searched backward from its end, all of them side by side, a word a step.  Where a
+        word can't be put before a match, and beyond ``depth`` words, the match loses its last words: as few
+        as make its rows more.  So a sequence takes two steps a word at most.
         """
         matched, owner = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
         ends = np.cumsum(lengths)
-        live = np.flatnonzero((lengths > 0) & (self.size > 0))
-        begin, pos, end = (ends - lengths)[live], ends[live] - 1, ends[live]
+        live = np.flatnonzero((lengths >= self.depth) & (self.size > 0))
+        begin, pos = (ends - lengths)[live], ends[live] - 1
         whole = np.int64(self.rows)
-        low, high = np.zeros(len(live), np.int64), np.full(len(live), whole)
-        #: of a search for the longest match at ``pos``: whether one is on, known ends, next end, next word
-        probing = np.zeros(len(live), bool)
-        good, bad, goal, at = pos.copy(), pos.copy(), pos.copy(), pos.copy()
-        good_low, good_high = low.copy(), high.copy()
+        low, high, held = np.zeros(len(live), np.int64), np.full(len(live), whole), np.zeros(len(live), np.int64)
         while len(pos):
-            c = flat[np.where(probing, at, pos)]
+            c = flat[pos]
             known = (c >= 0) & (c < self.size)
             s = np.where(known, c, 0)
             both = self.tree.rank(np.concatenate((s, s)) + 1, np.concatenate((low, high)))
             new_low, new_high = self.below[s] + both[: len(s)], self.below[s] + both[len(s) :]
             ok = known & (new_high > new_low)
-            done = np.zeros(len(pos), bool)
-
-            grown = np.flatnonzero(~probing & ok)
-            low[grown], high[grown] = new_low[grown], new_high[grown]
-            matched[pos[grown]] = end[grown] - pos[grown]
-            full = grown[end[grown] - pos[grown] == self.depth]
+            low, high, held = np.where(ok, new_low, low), np.where(ok, new_high, high), held + ok
+            matched[pos[ok]] = held[ok]
+            full = np.flatnonzero(held == self.depth)
             if len(full):
                 owner[pos[full]] = self.names[self.owner.least(low[full], high[full])]
-                end[full] -= 1
-                low[full], high[full] = self.marks.at_or_before(low[full]), self.marks.after(low[full])
-            done[grown] = True
-
-            failed = ~probing & ~ok
-            alone = np.flatnonzero(failed & (end == pos + 1))  # the word itself is not in the index
-            end[alone], low[alone], high[alone] = pos[alone], 0, whole
-            done[alone] = True
-            start = np.flatnonzero(failed & (end > pos + 1))
-            good[start], bad[start], good_low[start], good_high[start] = pos[start], end[start], 0, whole
-
-            on = probing & ok
-            hit, inner = np.flatnonzero(on & (at == pos)), np.flatnonzero(on & (at > pos))
-            at[inner] -= 1
-            low[inner], high[inner] = new_low[inner], new_high[inner]
-            good[hit], good_low[hit], good_high[hit] = goal[hit], new_low[hit], new_high[hit]
-            missed = np.flatnonzero(probing & ~ok)
-            bad[missed] = goal[missed]
-            for chosen in (start, hit, missed):
-                if not len(chosen):
-                    continue
-                over = bad[chosen] - good[chosen] == 1
-                found, more = chosen[over], chosen[~over]
-                matched[pos[found]] = good[found] - pos[found]
-                end[found], low[found], high[found] = good[found], good_low[found], good_high[found]
-                probing[found], done[found] = False, True
-                goal[more] = good[more] + np.maximum(1, np.minimum(good[more] - pos[more], (bad[more] - good[more]) // 2))
-                at[more], low[more], high[more], probing[more] = goal[more] - 1, 0, whole, True
-
-            pos[done] -= 1
-            if (pos < begin).any():
-                keep = pos >= begin
-                begin, pos, end, low, high, probing, good, bad, goal, at, good_low, good_high = (x[keep] for x in (begin, pos, end, low, high, probing, good, bad, goal, at, good_low, good_high))
+                held[full] -= 1
+                low[full], high[full] = self.shared.stretch(low[full], high[full], held[full])
+            failed = np.flatnonzero(~ok)
+            pos = pos - (ok | (held == 0))
+            if len(failed):
+                lost = np.where(known[failed] & (held[failed] > 0), self.shared.shorter(low[failed], high[failed]), 0)
+                gone = failed[(held[failed] > 0) & (lost == 0)]
+                less = failed[lost > 0]
+                held[failed] = lost
+                low[gone], high[gone] = 0, whole
+                low[less], high[less] = self.shared.stretch(low[less], high[less], held[less])
+            # a match of ``depth`` words further on ends where the longest one here does, or before
+            keep = (pos + 1 + held - begin >= self.depth) & (pos >= begin)
+            if not keep.all():
+                begin, pos, low, high, held = begin[keep], pos[keep], low[keep], high[keep], held[keep]
         return matched, owner

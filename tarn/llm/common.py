@@ -13,8 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of the fixed-size key filter: 524,288 rows of 64 bits at most, whatever the input's size.
-FILTER_BITS = 1 << 25
+#: Bits of the fixed-size key filter: 262,144 rows of 64 bits at most, whatever the input's size.
+FILTER_BITS = 1 << 24
 #: Parts that each key of the small side of a salted join is copied to.
 SALT = 16
 

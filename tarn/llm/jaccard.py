@@ -266,10 +266,10 @@ def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> Da
     total = pairs.agg(F.sum("w")).first()[0] or 0
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nearest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("_key"))
-    keyed = pairs.join(nearest, "a")
+    keyed = pairs.join(nearest.hint("merge"), "a")
     many = keyed.groupBy("_key").agg(F.ceil(F.sum("w") / VERIFY).alias("_split"))
     groups = max(1, -(-total // VERIFY))
-    dealt = keyed.join(many, "_key").select("a", "b", F.pmod(F.xxhash64("_key", F.pmod("a", "_split")), F.lit(groups)).alias("group"))
+    dealt = keyed.join(many.hint("merge"), "_key").select("a", "b", F.pmod(F.xxhash64("_key", F.pmod("a", "_split")), F.lit(groups)).alias("group"))
     dealt = scratch.save(dealt, f"{name}-dealt")
     needed = dealt.select(F.col("group").alias("_group"), F.col("a").alias("cid")).union(dealt.select("group", "b")).distinct()
     sent = needed.join(sets.hint("merge"), "cid")
@@ -327,7 +327,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     # One that is in no other prefix may still be in a larger group's suffix, which `need` allows for
     alone = few.select(F.col("a").alias("pkey"), "met").unionByName(few.select(F.col("b").alias("pkey"), "met")).groupBy("pkey").agg(F.sum("met").alias("met"))
     caps = buckets.groupBy("pkey").agg(F.count("*").alias("k")).join(alone, "pkey", "left").select("pkey", F.coalesce("met", F.lit(0)).alias("small"), (F.col("k") + F.coalesce("met", F.lit(0))).alias("shared"))
-    buckets = scratch.save(buckets.join(caps, "pkey").select("bucket", "pkey", "n", "pos", "shared", "small"), "buckets")
+    buckets = scratch.save(buckets.join(caps.hint("merge"), "pkey").select("bucket", "pkey", "n", "pos", "shared", "small"), "buckets")
     hubs = buckets.groupBy("bucket").agg(F.min(F.struct("pos", "pkey", "n", "shared")).alias("p"), F.min(F.struct(F.xxhash64("pkey", "bucket").alias("r"), F.col("pkey"), F.col("n"), F.col("shared"))).alias("q"))
     hubs = hubs.select("bucket", F.explode(F.array(F.struct("p.pkey", "p.n", "p.shared"), F.struct("q.pkey", "q.n", "q.shared"))).alias("hub"))
     # saved, so that both sides of the join are plain shuffles and a hot bucket's can be split
@@ -338,7 +338,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
         beyond = F.ceil(F.greatest(x, y) * NUMERATOR / DENOMINATOR) - 1
         return (F.least(x, y) * DENOMINATOR >= F.greatest(x, y) * NUMERATOR) & ((F.least(shared_x, shared_y) + beyond) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (x + y))
 
-    starred = buckets.join(hubs, "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n"), F.col("shared"), F.col("hub.shared")))
+    starred = buckets.join(hubs.hint("merge"), "bucket").where((F.col("pkey") != F.col("hub.pkey")) & fits(F.col("n"), F.col("hub.n"), F.col("shared"), F.col("hub.shared")))
     starred = starred.select(F.least("pkey", "hub.pkey").alias("a"), F.greatest("pkey", "hub.pkey").alias("b"))
 
     members = classes.select("pkey", "cid", "n")
@@ -354,10 +354,10 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.drop("one-dealt", "one-links")
     placed = classes.select("pkey", "cid", "n").join(label.toDF("cid", "_label"), "cid", "left").withColumn("label", F.coalesce("_label", "cid"))
     groups = scratch.save(placed.groupBy("pkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi")), "groups")
-    held = scratch.save(buckets.join(groups, "pkey"), "held")
+    held = scratch.save(buckets.join(groups.hint("merge"), "pkey"), "held")
     scratch.drop("buckets")
     rest = scratch.save(_still_apart(held, scratch), "rest")
-    scratch.drop("held", "masks", "alive", "ends")
+    scratch.drop("held", "masks", "homes")
     second = _expand(apart_pairs(rest, few, scratch), members)
     inside = _inside_pairs(docs, classes, placed, groups.where("lo <> hi"), scratch)
     second = scratch.save(second.unionByName(inside).distinct().join(first, ["a", "b", "w"], "left_anti"), "second")
@@ -371,7 +371,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = scratch.save(by_class.join(least, "label").select("cid", "component_id", F.col("rep").alias("class_id")), "known")
     scratch.drop("classes", "second", "two-dealt", "two-links", "near-labels", "ties-labels")
-    out = slim.join(known, "cid", "left")
+    out = slim.join(known.hint("merge"), "cid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
@@ -388,7 +388,8 @@ def _stretch(low: Column, high: Column, part: int) -> Column:
 
 
 def _still_apart(held: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows (bucket, pkey, n, shared, small, lo, hi) that may have an alike partner in another component.
+    """The rows (bucket, pkey, n, shared, small, lo, hi) that may have an alike partner in another component,
+    with the component ``home`` that most of the bucket's groups are in, and its ``blocks`` and ``chunks``.
 
     A set of n shingles, ``shared`` of its prefix in others' prefixes, can only be alike to smaller ones of
     up to ``7 / 3 * (shared + ceil(3 n / 4) - 1) - n`` shingles, or to larger ones from ``28 / 9 * (3 n / 7 +
@@ -400,41 +401,38 @@ def _still_apart(held: DataFrame, scratch: Scratch) -> DataFrame:
     small, most = F.ceil(n * NUMERATOR / DENOMINATOR), F.least(n, F.floor((k + beyond) * whole / NUMERATOR) - n)
     least, large = F.greatest(n, F.floor((n * NUMERATOR / whole + 0.25 - k) * 28 / 9)), F.floor(n * DENOMINATOR / NUMERATOR)
     near = lambda low, high: [F.when(low <= high, _stretch(_band(low), _band(F.greatest(high, F.lit(1))), j)).otherwise(F.lit(0).cast("long")) for j in range(BANDS // 64)]
-    wanted = [(x.bitwiseOR(y)).alias(f"_want{j}") for j, (x, y) in enumerate(zip(near(F.greatest(small, F.lit(1)), most), near(least, large), strict=True))]
-    own = [_stretch(_band(n), _band(n), j).alias(f"_own{j}") for j in range(BANDS // 64)]
-    marked = held.select("*", *wanted, *own)
-    masks = marked.groupBy("bucket").agg(F.min("lo").alias("_x"), F.max("hi").alias("_y"), *(F.bit_or(f"_own{j}").alias(f"_has{j}") for j in range(BANDS // 64))).where("_x <> _y")
-    masks = scratch.save(masks.drop("_x", "_y"), "masks")
-    met = [F.col(f"_want{j}").bitwiseAND(F.col(f"_has{j}")) != 0 for j in range(BANDS // 64)]
-    alive = scratch.save(marked.join(masks, "bucket").where(reduce(or_, met)).select(*held.columns), "alive")
-    ends = scratch.save(alive.groupBy("bucket").agg(F.min("lo").alias("_x"), F.max("hi").alias("_y")).where("_x <> _y").select("bucket"), "ends")
-    return alive.join(ends, "bucket")
+    wanted = [x.bitwiseOR(y) for x, y in zip(near(F.greatest(small, F.lit(1)), most), near(least, large), strict=True)]
+    own = [_stretch(_band(n), _band(n), j) for j in range(BANDS // 64)]
+    labels = held.groupBy("bucket", "lo").agg(F.count("*").alias("count"), F.max("hi").alias("hi"), *(F.bit_or(x).alias(f"_has{j}") for j, x in enumerate(own)))
+    masks = labels.groupBy("bucket").agg(F.min("lo").alias("_x"), F.max("hi").alias("_y"), F.max(F.struct("count", "lo")).alias("m"), F.sum("count").alias("rows"), *(F.bit_or(f"_has{j}").alias(f"_has{j}") for j in range(BANDS // 64)))
+    masks = scratch.save(masks.where("_x <> _y").select("bucket", F.col("m.lo").alias("home"), "rows", (F.col("rows") - F.col("m.count")).alias("guests"), *(f"_has{j}" for j in range(BANDS // 64))), "masks")
+    # of a component's buckets: the blocks of all their rows, and the chunks of other components' rows
+    sizes = masks.groupBy("home").agg(F.ceil(F.sum("rows") / BLOCK).alias("blocks"), F.greatest(F.ceil(F.sum("guests") / CHUNK), F.lit(1)).alias("chunks"))
+    masks = scratch.save(masks.drop("rows", "guests").join(sizes.hint("merge"), "home"), "homes")
+    met = [x.bitwiseAND(F.col(f"_has{j}")) != 0 for j, x in enumerate(wanted)]
+    return held.join(masks.hint("merge"), "bucket").where(reduce(or_, met)).select(*held.columns, "home", "blocks", "chunks")
 
 
 def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): groups in different components that may share as many prefix shingles as alike ones do.
 
-    ``rest`` has (bucket, pkey, n, shared, small, lo, hi).  A bucket belongs to the component most of its
-    groups are in, and a component's buckets meet in one place: its groups, cut into blocks, are asked for
-    by the groups of other components, cut into chunks, so every task's work has a bound.  Counts are made
+    ``rest`` is what ``_still_apart`` gives.  A bucket belongs to the component most of its groups are in,
+    and a component's buckets meet in one place: its groups, cut into blocks, are asked for by the groups
+    of other components, cut into chunks, so every task's work has a bound.  Counts are made
     per block and chunk, so a pair is told once however many shingles it shares.  A pair whose shingles
     fall to several components is told if one of them has its part of what is needed, with what the pair
     shares by ``few``.
     """
-    owner = scratch.save(rest.groupBy("bucket", "lo").count().groupBy("bucket").agg(F.max(F.struct("count", "lo")).alias("m")).select("bucket", F.col("m.lo").alias("home")), "owner")
-    dealt = rest.join(owner, "bucket").withColumn("guest", (F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("home")))
-    sizes = dealt.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.greatest(F.ceil(F.sum(F.col("guest").cast("long")) / CHUNK), F.lit(1)).alias("chunks"))
-    homes = dealt.groupBy("pkey").agg(F.count_distinct("home").alias("homes"))
-    # saved, so that no join shares its shuffle with these sums and a hot home's rows can be split
-    sizes, homes = scratch.save(sizes, "home-sizes"), scratch.save(homes, "group-homes")
-    dealt = dealt.join(sizes, "home").join(homes, "pkey")
+    dealt = rest.withColumn("guest", (F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("home")))
+    homes = scratch.save(dealt.groupBy("pkey").agg(F.count_distinct("home").alias("homes")), "group-homes")
+    dealt = dealt.join(homes.hint("merge"), "pkey")
     count = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     block, chunk = F.pmod(F.xxhash64("pkey"), F.col("blocks")), F.pmod(F.xxhash64("pkey"), F.col("chunks"))
     columns = ["bucket", "pkey", "n", "shared", "small", "homes", "guest", "lo", "hi"]
     told = dealt.select("home", block.alias("block"), F.explode(count("chunks")).alias("chunk"), *columns, F.lit(False).alias("asks"))
     asks = dealt.where("guest").select("home", F.explode(count("blocks")).alias("block"), chunk.alias("chunk"), *columns, F.lit(True).alias("asks"))
     dealt = scratch.save(told.union(asks), "apart")
-    scratch.drop("owner", "home-sizes", "group-homes")
+    scratch.drop("group-homes")
     shards = max(1, -(-dealt.count() // BLOCK))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("most", pa.int64()), ("need", pa.int64())])
 
@@ -509,7 +507,7 @@ def _inside_pairs(docs: DataFrame, classes: DataFrame, placed: DataFrame, open_:
 
 def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Pairs of groups as pairs of their classes, with the shingles they have in all."""
-    both = pairs.join(members.toDF("a", "x", "nx"), "a").join(members.toDF("b", "y", "ny"), "b")
+    both = pairs.join(members.toDF("a", "x", "nx").hint("merge"), "a").join(members.toDF("b", "y", "ny").hint("merge"), "b")
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("nx") + F.col("ny")).alias("w"))
 
 

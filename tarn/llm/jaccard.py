@@ -9,7 +9,7 @@ expanded to their distinct sets and verified.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import or_
 
 import numpy as np
@@ -180,6 +180,15 @@ def need(na, nb, largest):
     return -(-NUMERATOR * (na + nb) // (NUMERATOR + DENOMINATOR)) - largest(na - prefix_size(na), nb - prefix_size(nb))
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """Two bytes a number where all fit, else four."""
+    return values.astype("<u2" if not len(values) or values.max() < 1 << 16 else "<u4").tobytes()
+
+
+def wide(blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(blob, "<u2" if len(blob) == 2 * n else "<u4").astype(np.int64)
+
+
 def meetings(rows: DataFrame, shards: int) -> DataFrame:
     """What groups share in their prefixes, common shingles aside.
 
@@ -187,7 +196,7 @@ def meetings(rows: DataFrame, shards: int) -> DataFrame:
     the size and position filters pass, counted within a shard; for another, (1, shingle, group, size,
     place) of each of its groups.
     """
-    schema = pa.schema([("shard", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("pos", pa.binary()), ("pkey", pa.binary()), ("n", pa.binary())])
+    schema = pa.schema([("shard", pa.int64()), ("h", pa.binary()), ("pkey", pa.binary()), ("n", pa.binary()), ("pos", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -207,7 +216,7 @@ def meetings(rows: DataFrame, shards: int) -> DataFrame:
                 first = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
                 pos = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
                 h = lists.flatten().to_numpy()[np.repeat(first, own) + pos].view(np.uint64)
-                g = np.repeat(np.arange(len(own)), own)
+                key, n = np.repeat(part.column(0).to_numpy(), own), np.repeat(part.column(1).to_numpy(), own)
                 # prefixes hold low hashes, so these are mixed before they are dealt
                 shard = ((mix(h) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
@@ -215,19 +224,16 @@ def meetings(rows: DataFrame, shards: int) -> DataFrame:
                 out = []
                 for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
                     at = order[x:y]
-                    groups, local = np.unique(g[at], return_inverse=True)
-                    out.append((int(shard[at[0]]), h[at].tobytes(), local.astype("<u2").tobytes(), pos[at].astype("<u4").tobytes(), part.column(0).to_numpy()[groups].tobytes(), part.column(1).to_numpy()[groups].astype("<u4").tobytes()))
+                    out.append((int(shard[at[0]]), h[at].tobytes(), key[at].tobytes(), narrow(n[at]), narrow(pos[at])))
                 if out:
                     yield record(schema, zip(*out, strict=True))
 
     out_schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("met", pa.int64()), ("need", pa.int64())])
 
     def meet(table: pa.Table) -> pa.Table:
-        read = lambda name, kind: [np.frombuffer(x, kind) for x in table[name].to_pylist()]
-        gs, keys, ns = read("g", "<u2"), read("pkey", np.int64), read("n", "<u4")
-        h, pos = np.concatenate(read("h", np.uint64)), np.concatenate(read("pos", "<u4")).astype(np.int64)
-        key = np.concatenate([k[g] for k, g in zip(keys, gs, strict=True)])
-        n = np.concatenate([k[g] for k, g in zip(ns, gs, strict=True)]).astype(np.int64)
+        h = np.frombuffer(b"".join(table["h"].to_pylist()), np.uint64)
+        key = np.frombuffer(b"".join(table["pkey"].to_pylist()), np.int64)
+        n, pos = (np.concatenate([wide(x, len(y) // 8) for x, y in zip(table[c].to_pylist(), table["h"].to_pylist(), strict=True)]) for c in ("n", "pos"))
         order = np.lexsort((key, h))
         h, pos, key, n = h[order], pos[order], key[order], n[order]
         once = np.concatenate(([True], (h[1:] != h[:-1]) | (key[1:] != key[:-1])))  # tasks may send one group each
@@ -253,15 +259,16 @@ def meetings(rows: DataFrame, shards: int) -> DataFrame:
         kind = np.repeat([1, 0], [len(buckets[0]), len(first)]).astype(np.int32)
         return pa.Table.from_arrays([pa.array(kind), *(pa.array(np.concatenate(c)) for c in columns)], schema=out_schema)
 
-    dealt = rows.select("pkey", "n", "heavy", "prefix").mapInArrow(deal, "shard long, h binary, g binary, pos binary, pkey binary, n binary")
+    dealt = rows.select("pkey", "n", "heavy", "prefix").mapInArrow(deal, "shard long, h binary, pkey binary, n binary, pos binary")
     return dealt.groupBy("shard").applyInArrow(meet, "kind int, a long, b long, met long, need long")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b, w: their shingles) whose sets (cid, shingles) are alike.
+def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b, w: their shingles) of classes whose sets are alike.
 
-    Pairs are dealt by their documents' smallest partner, so that those of a cluster meet and a set is
-    sent about once; a document with many partners, or long ones, is split over several groups.
+    Pairs are dealt by their documents' smallest partner, so that those of a cluster meet and a text is
+    sent about once; a document with many partners, or long ones, is split over several groups.  Texts are
+    sent, as they are smaller than sets of hashes.
     """
     total = pairs.agg(F.sum("w")).first()[0] or 0
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -271,12 +278,15 @@ def verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str) -> Da
     groups = max(1, -(-total // VERIFY))
     dealt = keyed.join(many.hint("merge"), "_key").select("a", "b", F.pmod(F.xxhash64("_key", F.pmod("a", "_split")), F.lit(groups)).alias("group"))
     dealt = scratch.save(dealt, f"{name}-dealt")
-    needed = dealt.select(F.col("group").alias("_group"), F.col("a").alias("cid")).union(dealt.select("group", "b")).distinct()
-    sent = needed.join(sets.hint("merge"), "cid")
+    needed = dealt.select("group", F.col("a").alias("cid")).union(dealt.select("group", "b")).distinct()
+    wanted = needed.join(classes.select("cid", "rep", "tkey").hint("merge"), "cid")
+    sent = _texts(docs, wanted).select(F.col("group").alias("_group"), "cid", "text")
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
-        held = dict(zip(right["cid"].to_pylist(), right["shingles"].to_pylist(), strict=True))
-        held = {k: np.frombuffer(v, np.uint64) for k, v in held.items()}
+        held = {}
+        for batch in right.to_batches():
+            for cid, own in sets(batch.column(1), batch.column(2)):
+                held[cid] = own
         out = []
         for a, b in zip(left["a"].to_pylist(), left["b"].to_pylist(), strict=True):
             x, y = held[a], held[b]
@@ -347,7 +357,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     first = few.where("met >= need").select("a", "b").unionByName(starred.select("a", "b")).distinct()
     first = scratch.save(_expand(first, members).unionByName(in_group).distinct(), "first")
     scratch.drop("entries", "hubs")
-    links = verify(first, _sets(docs, classes, first), scratch, "one")
+    links = verify(first, docs, classes, scratch, "one")
 
     # what is still apart: groups of a shingle whose groups are not all in one component
     label = components(links, scratch, "near")
@@ -362,7 +372,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     inside = _inside_pairs(docs, classes, placed, groups.where("lo <> hi"), scratch)
     second = scratch.save(second.unionByName(inside).distinct().join(first, ["a", "b", "w"], "left_anti"), "second")
     scratch.drop("few", "first", "rest", "apart", "groups", "inside", "inside-keys")
-    more = verify(second, _sets(docs, classes, second), scratch, "two")
+    more = verify(second, docs, classes, scratch, "two")
     # the few new links tie components together
     ends = more.join(label.toDF("a", "x"), "a", "left").join(label.toDF("b", "y"), "b", "left")
     ties = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")), scratch, "ties")
@@ -434,7 +444,7 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     dealt = scratch.save(told.union(asks), "apart")
     scratch.drop("group-homes")
     shards = max(1, -(-dealt.count() // BLOCK))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("most", pa.int64()), ("need", pa.int64())])
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "met", "need", "kinds", "rest")])
 
     def unit(rows: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
         """Of one block and chunk: for each group that asks, how many shingles it shares with each that is told."""
@@ -460,7 +470,10 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
             ok = (np.minimum(own["n"], o["n"]) * DENOMINATOR >= np.maximum(own["n"], o["n"]) * NUMERATOR) & (np.minimum(own["shared"], o["shared"]) >= least)
             ok &= reach + np.minimum(own["small"], o["small"]) >= least
             j, reach, least = j[ok], reach[ok], least[ok]
-            yield np.stack((np.minimum(docs[j], own["pkey"]), np.maximum(docs[j], own["pkey"]), reach, least), 1)
+            # what the pair can share where it is not told: less than would be told
+            kinds, apart = np.minimum(own["homes"], o["homes"])[ok], np.minimum(own["small"], o["small"])[ok]
+            rest = np.maximum(0, (least - apart - 1) // kinds)
+            yield np.stack((np.minimum(docs[j], own["pkey"]), np.maximum(docs[j], own["pkey"]), met[j], least, kinds, rest), 1)
 
     def meet(table: pa.Table) -> pa.Table:
         rows = {c: table[c].to_numpy() for c in ("home", "block", "chunk", *columns, "asks")}
@@ -468,17 +481,17 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
         rows = {c: x[order] for c, x in rows.items()}
         new = (rows["home"][1:] != rows["home"][:-1]) | (rows["block"][1:] != rows["block"][:-1]) | (rows["chunk"][1:] != rows["chunk"][:-1])
         cut = np.flatnonzero(np.concatenate(([True], new))) if len(order) else np.zeros(0, np.int64)
-        found = [np.zeros((0, 4), np.int64)]
+        found = [np.zeros((0, 6), np.int64)]
         for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
             found += unit({c: v[x:y] for c, v in rows.items()})
         pairs = np.concatenate(found)
-        return pa.Table.from_arrays([pa.array(pairs[:, k]) for k in range(4)], schema=schema)
+        return pa.Table.from_arrays([pa.array(pairs[:, k]) for k in range(6)], schema=schema)
 
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("home", "block", "chunk"), F.lit(shards)))
-    told = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, most long, need long")
-    told = told.groupBy("a", "b").agg(F.max("most").alias("most"), F.max("need").alias("need"))
+    told = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, met long, need long, kinds long, rest long")
+    told = told.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need"), ((F.max("kinds") - F.count("*")) * F.max("rest")).alias("rest"))
     told = told.join(few.select("a", "b", F.col("met").alias("more")), ["a", "b"], "left")
-    return told.where(F.col("most") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b")
+    return told.where(F.col("met") + F.col("rest") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b")
 
 
 def _inside_pairs(docs: DataFrame, classes: DataFrame, placed: DataFrame, open_: DataFrame, scratch: Scratch) -> DataFrame:
@@ -494,12 +507,12 @@ def _inside_pairs(docs: DataFrame, classes: DataFrame, placed: DataFrame, open_:
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cid, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = np.frombuffer(blob, np.int64)
+            for cid, own in sets(batch.column(0), batch.column(1)):
                 top = own[-(len(own) - -(-2 * NUMERATOR * len(own) // (NUMERATOR + DENOMINATOR)) + 1) :]
-                yield record(schema, (np.full(len(top), cid), top))
+                yield record(schema, (np.full(len(top), cid), top.view(np.int64)))
 
-    keys = _sets(docs, classes, mine.select(F.col("cid").alias("a"), F.col("cid").alias("b"))).mapInArrow(tops, "cid long, h long").join(mine, "cid")
+    wanted = mine.select("cid").join(classes.select("cid", "rep", "tkey").hint("merge"), "cid")
+    keys = _texts(docs, wanted).select("cid", "text").mapInArrow(tops, "cid long, h long").distinct().join(mine, "cid")
     keys = scratch.save(keys, "inside-keys")
     left, right = (keys.select("pkey", "h", F.col("cid").alias(c), F.col("label").alias(f"_{c}"), *(["n"] if c == "a" else [])) for c in "ab")
     return left.join(right, ["pkey", "h"]).where("a < b and _a <> _b").select("a", "b", (2 * F.col("n")).alias("w")).distinct()
@@ -511,29 +524,27 @@ def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("nx") + F.col("ny")).alias("w"))
 
 
-def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(cid, shingles) of the classes in ``pairs``, from their smallest documents."""
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = classes.join(wanted, "cid").select("cid", "rep", "tkey")
-    schema = pa.schema([("cid", pa.int64()), ("shingles", pa.binary())])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in batches:
-            texts = as_bytes(batch.column(1))
-            for a, b in slices(batch, texts):
-                values, sizes = shingle_sets(texts[a:b], known)
-                first, ends = spans(sizes)
-                out = []
-                for i, cid in enumerate(batch.column(0)[a:b].to_pylist()):
-                    own = values[first[i] : ends[i]]
-                    got = mix(np.add.reduce(mix(own), keepdims=True) + np.uint64(len(own)))
-                    if int(got.view(np.int64)[0]) == cid:
-                        out.append((cid, own.tobytes()))
-                if out:
-                    yield record(schema, zip(*out, strict=True))
-
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (rep, tkey and others) with the texts of its classes' smallest documents."""
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_tkey"))
     near = key_filter(texts, F.col("_tkey"), wanted, F.col("tkey"))
-    near = near.join(wanted.hint("merge"), (F.col("_tkey") == F.col("tkey")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("cid", "text")
-    return near.mapInArrow(read, "cid long, shingles binary")
+    return near.join(wanted.hint("merge"), (F.col("_tkey") == F.col("tkey")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+
+
+@lru_cache(maxsize=1)
+def _known() -> WordHashes:
+    """A worker's own, kept from one group to the next."""
+    return WordHashes()
+
+
+def sets(cids: pa.Array, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(cid, sorted shingles) of each class from its text; a text that only shares its key is left out."""
+    held = as_bytes(texts)
+    for a, b in slices(texts, held):
+        values, sizes = shingle_sets(held[a:b], _known())
+        first, ends = spans(sizes)
+        for i, cid in enumerate(cids[a:b].to_pylist()):
+            own = values[first[i] : ends[i]]
+            got = mix(np.add.reduce(mix(own), keepdims=True) + np.uint64(len(own)))
+            if int(got.view(np.int64)[0]) == cid:
+                yield cid, own

@@ -1,10 +1,12 @@
 """The pipeline's stages against brute force on a small table."""
 
 import hashlib
+import os
 
 import numpy as np
 import public_tokenizers
 from conftest import DATA
+from pyspark.sql import functions as F
 from test_dedup import brute_components, brute_cuts
 from test_records import brute_quality
 from test_tokens import check_packing
@@ -63,11 +65,23 @@ def test_run(spark):
     assert np.all(np.array([r["length"] for r in out.select("length").collect()]) > 0)
 
 
+def test_a_stage_deletes_what_the_one_before_left(spark):
+    docs, scratch = spark.read.parquet(f"{DATA}/documents.parquet"), Scratch(spark, "test")
+    folders = []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = scratch.save(stage(spark, docs, DATA), f"d{i}")
+        folders.append(next(iter(corpus_pipeline._WORKING.values()))[0].root.removeprefix("file:"))
+    assert [os.path.exists(f) for f in folders[:-1]] == [False] * 4
+    corpus_pipeline.run(spark, DATA)
+    assert not corpus_pipeline._WORKING and not os.path.exists(folders[-1])
+
+
 def test_stages_take_odd_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "x", 0), (None, "word " * 40, "en", "x", 200), (3, " ".join(f"q{i}" for i in range(90)), None, None, 0), (3, " ".join(f"q{i}" for i in range(90)), None, None, 0)]
     docs, scratch = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), Scratch(spark, "test")
     empty = docs.limit(0)
+    clash = {c: F.lit("clash") for c in ("kept", "n_words", "_tarn_may", "_row", "_text", "n", "cid", "component_id", "start", "_queue")}
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        docs, empty = scratch.save(stage(spark, docs, DATA), f"a{i}"), scratch.save(stage(spark, empty, DATA), f"b{i}")
-        assert empty.count() == 0
+        docs, empty = scratch.save(stage(spark, docs.withColumns(clash), DATA), f"a{i}"), scratch.save(stage(spark, empty, DATA), f"b{i}")
+        assert empty.count() == 0 and (i == 4 or docs.columns == list(corpus_pipeline.COLUMNS))
     assert docs.count() > 0

@@ -64,7 +64,7 @@ class Prefix:
         self.top = int(lengths.max()) if len(used) else 0
         if len(used) <= 1:  # one symbol takes no bits
             self.top = 0
-            self.symbols, self.bits = np.array([used[0] if len(used) else 0], np.int32), np.zeros(1, np.uint8)
+            self.symbols, self.bits = np.array([used[0] if len(used) else 0], np.int64), np.zeros(1, np.int64)
             return
         size = 1 << self.top
         order = used[np.argsort(lengths[used], kind="stable")]
@@ -73,8 +73,8 @@ class Prefix:
         if spans.sum() != size:
             raise ValueError("prefix code is not complete")
         # canonical codes count up from the left; the stream has them with their first bit lowest
-        back = reverse(np.arange(size, dtype=np.int64), self.top)
-        self.symbols, self.bits = np.empty(size, np.int32), np.empty(size, np.uint8)
+        back = backward()[:: 1 << (15 - self.top)]
+        self.symbols, self.bits = np.empty(size, np.int64), np.empty(size, np.int64)
         self.symbols[back] = np.repeat(order, spans)
         self.bits[back] = np.repeat(own, spans)
 
@@ -87,11 +87,11 @@ class Prefix:
         return int(self.symbols[v])
 
 
-def reverse(values: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros_like(values)
-    for i in range(n):
-        out |= ((values >> i) & 1) << (n - 1 - i)
-    return out
+@lru_cache(maxsize=1)
+def backward() -> np.ndarray:
+    """Each number of 15 bits with its bits in reverse order."""
+    values = np.arange(1 << 15)
+    return sum(((values >> i) & 1) << (14 - i) for i in range(15))
 
 
 def read_prefix(bits: Bits, size: int) -> Prefix:
@@ -208,23 +208,23 @@ def symbols(bits: Bits, codes: list[Prefix], total: int) -> tuple[np.ndarray, ..
     """
     start = bits.at
     begin = start & 7
-    data = np.frombuffer(bits.data[start >> 3 :] + b"\0\0\0\0", np.uint8).astype(np.uint32)
+    data = np.frombuffer(bits.data[start >> 3 :] + b"\0\0\0\0", np.uint8).astype(np.int64)
     words = data[:-3] | data[1:-2] << 8 | data[2:-1] << 16 | data[3:] << 24
-    seen = np.repeat(words, 8)
-    seen >>= np.tile(np.arange(8, dtype=np.uint32), len(words))
+    seen = (words[:, None] >> np.arange(8)).ravel()
     n = len(seen)
 
-    def look(code: Prefix, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol and size of what a code reads at each bit (or at those given)."""
-        key = (seen if at is None else seen[at]) & np.uint32((1 << code.top) - 1)
-        return code.symbols[key], code.bits[key]
+    def look(code: Prefix, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbol and size of what a code reads at these bits."""
+        key = seen.take(at) & ((1 << code.top) - 1)
+        return code.symbols.take(key), code.bits.take(key)
 
-    green, size = look(codes[0])
-    after = np.minimum(np.arange(n, dtype=np.int32) + size, n - 1)
+    key = seen & ((1 << codes[0].top) - 1)
+    green = codes[0].symbols.take(key)
+    after = np.minimum(np.arange(n) + codes[0].bits.take(key), n - 1)
     step = after
     for code in codes[1:4]:  # red, blue and alpha follow green
         if code.top:
-            step = np.minimum(step + look(code)[1][step], n - 1)
+            step = np.minimum(step + code.bits.take(seen.take(step) & ((1 << code.top) - 1)), n - 1)
     others = codes[0].symbols.max() >= 256
     if others:
         far = np.flatnonzero(green >= 256)
@@ -236,31 +236,31 @@ def symbols(bits: Bits, codes: list[Prefix], total: int) -> tuple[np.ndarray, ..
         step[copy] = np.minimum(at + size + extras(symbol), n - 1)
     # the chain of starts: a symbol's place, then the place of the next one
     if not others and not any(c.top for c in codes[:4]):
-        places = np.full(total, begin, np.int32)
+        places = np.full(total, begin)
     else:
         jumps = [step]
-        while len(jumps) < 5 and 1 << len(jumps) < total:
-            jumps.append(jumps[-1][jumps[-1]])
+        while len(jumps) < 4 and 1 << len(jumps) < total:
+            jumps.append(jumps[-1].take(jumps[-1]))
         leap, places, p = jumps[-1], [], begin
         for _ in range(-(-total >> (len(jumps) - 1))):
             places.append(p)
-            p = int(leap[p])
+            p = leap.item(p)
             if p >= n - 1:
                 break
-        places = np.array(places, np.int32)
+        places = np.array(places)
         for jump in reversed(jumps[:-1]):
-            places = np.stack((places, jump[places]), 1).ravel()
+            places = np.stack((places, jump.take(places)), 1).ravel()
         places = places[:total]
     symbol = green[places]
     lengths, distances = np.ones(len(places), np.int64), np.zeros(len(places), np.int64)
     if others and len(at := np.flatnonzero((symbol >= 256) & (symbol < 280))):
         p, own = after[places[at]], symbol[at] - 256
         more = extras(own)
-        lengths[at] = valued(own, seen[p] & ((np.uint32(1) << more.astype(np.uint32)) - np.uint32(1)).astype(np.uint32))
+        lengths[at] = valued(own, seen[p] & ((1 << more) - 1))
         p = np.minimum(p + more, n - 1)
         own, size = look(codes[4], p)
         more, p = extras(own), np.minimum(p + size, n - 1)
-        distances[at] = valued(own, seen[p] & ((np.uint32(1) << more.astype(np.uint32)) - np.uint32(1)).astype(np.uint32))
+        distances[at] = valued(own, seen[p] & ((1 << more) - 1))
     count = int(np.searchsorted(np.cumsum(lengths), total)) + 1 if total else 0
     symbol, places, lengths, distances = symbol[:count], places[:count], lengths[:count], distances[:count]
     if lengths.sum() < total:
@@ -435,39 +435,42 @@ def decode(data: bytes) -> tuple[int, int, np.ndarray]:
 
 def code_lengths(counts: np.ndarray, most: int) -> np.ndarray:
     """Huffman code lengths of at most ``most`` bits; small counts are raised until they fit."""
-    lengths, used, least = np.zeros(len(counts), np.int64), np.flatnonzero(counts).tolist(), 1
+    lengths, used, least = np.zeros(len(counts), np.int64), np.flatnonzero(counts), 1
     if len(used) < 2:
         lengths[used] = 1
         return lengths
+    used = used[np.argsort(counts[used], kind="stable")]
+    n = len(used)
     while True:
-        heap = [(max(int(counts[s]), least), i, s) for i, s in enumerate(used)]
-        heapq.heapify(heap)
-        parent: dict[int, int] = {}
-        node = len(counts)
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            parent[a[2]] = parent[b[2]] = node
-            heapq.heappush(heap, (a[0] + b[0], node, node))
-            node += 1
-        depth = {node - 1: 0}
-        for x in range(node - 2, len(counts) - 1, -1):
+        # leaves in order of their counts, and sums, which come up in order too
+        weight = [*np.maximum(counts[used], least).tolist()] + [0] * (n - 1)
+        parent = [0] * (2 * n - 1)
+        leaf, node = 0, n
+        for new in range(n, 2 * n - 1):
+            total = 0
+            for _ in (0, 1):
+                if leaf < n and (node == new or weight[leaf] <= weight[node]):
+                    x, leaf = leaf, leaf + 1
+                else:
+                    x, node = node, node + 1
+                total += weight[x]
+                parent[x] = new
+            weight[new] = total
+        depth = [0] * (2 * n - 1)
+        for x in range(2 * n - 3, -1, -1):
             depth[x] = depth[parent[x]] + 1
-        for s in used:
-            lengths[s] = depth[parent[s]] + 1
-        if lengths.max() <= most:
+        if max(depth) <= most:
+            lengths[used] = depth[:n]
             return lengths
         least = least * 2 + int(counts.sum()) // (1 << most)
 
 
 def canonical(lengths: np.ndarray) -> np.ndarray:
-    """Codes of the canonical prefix code, first bit lowest."""
-    codes, code = np.zeros(len(lengths), np.int64), 0
-    last = 0
-    for s in np.flatnonzero(lengths)[np.argsort(lengths[np.flatnonzero(lengths)], kind="stable")].tolist():
-        n = int(lengths[s])
-        code <<= n - last
-        codes[s] = int(f"{code:0{n}b}"[::-1], 2)
-        code, last = code + 1, n
+    """Codes of the canonical prefix code (of at most 15 bits), first bit lowest."""
+    codes, used = np.zeros(len(lengths), np.int64), np.flatnonzero(lengths)
+    used = used[np.argsort(lengths[used], kind="stable")]
+    share = 1 << (15 - lengths[used])
+    codes[used] = backward()[(np.cumsum(share) - share) & 0x7FFF]
     return codes
 
 
@@ -501,44 +504,57 @@ def write_prefix(out: Writer, lengths: np.ndarray) -> None:
         out.put(1, 1)
         out.put(s, 8)
         return
-    tokens, at, end = [], 0, used[-1] + 1 if used else 0
-    values = lengths.tolist()
-    while at < len(values):
-        if values[at]:
-            tokens.append((values[at], 0, 0))
-            at += 1
+    # runs of zeros and of others
+    edges = [0, *(np.flatnonzero(np.diff(lengths != 0)) + 1).tolist(), len(lengths)]
+    values, kinds, more, sizes = lengths.tolist(), [], [], []
+    for a, b in zip(edges, edges[1:]):  # noqa: B905
+        if values[a]:
+            kinds += values[a:b]
+            more += [0] * (b - a)
+            sizes += [0] * (b - a)
             continue
-        n = 1
-        while at + n < len(values) and not values[at + n] and n < 138:
-            n += 1
-        if at >= end and n < 3 or n < 3:
-            tokens += [(0, 0, 0)] * n
-        elif n < 11:
-            tokens.append((17, n - 3, 3))
-        else:
-            tokens.append((18, n - 11, 7))
-        at += n
-    counts = np.bincount([t[0] for t in tokens], minlength=19)
-    own = code_lengths(counts, 7)
-    codes = canonical(own)
-    lone = np.count_nonzero(own) == 1
+        n = b - a
+        while n:
+            now = min(n, 138)
+            if now < 3:
+                kinds += [0] * now
+                more += [0] * now
+                sizes += [0] * now
+            else:
+                kinds.append(17 if now < 11 else 18)
+                more.append(now - (3 if now < 11 else 11))
+                sizes.append(3 if now < 11 else 7)
+            n -= now
+    kinds = np.array(kinds)
+    own = code_lengths(np.bincount(kinds, minlength=19), 7)
+    codes, shown = canonical(own), own.tolist()
     out.put(0, 1)
-    many = max(i for i, s in enumerate(LENGTH_ORDER) if own[s] or i < 4) + 1
+    many = max(i for i, s in enumerate(LENGTH_ORDER) if shown[s] or i < 4) + 1
     out.put(many - 4, 4)
     for s in LENGTH_ORDER[:many]:
-        out.put(int(own[s]), 3)
+        out.put(shown[s], 3)
     out.put(0, 1)
-    for s, more, n in tokens:
-        if not lone:
-            out.put(int(codes[s]), int(own[s]))
-        out.put(more, n)
+    if np.count_nonzero(own) == 1:
+        own = np.zeros_like(own)
+    out.put_many(np.stack((codes[kinds], np.array(more)), 1).ravel(), np.stack((own[kinds], np.array(sizes)), 1).ravel())
 
 
-def bits_of(values: np.ndarray, size: int = 256) -> float:
+def bits_of(values: np.ndarray) -> float:
     """Bits that an ideal code takes for the values."""
-    counts = np.bincount(values, minlength=size)
-    counts = counts[counts > 0]
-    return float(len(values) * np.log2(len(values)) - (counts * np.log2(counts)).sum()) if len(values) else 0.0
+    if not len(values):
+        return 0.0
+    counts = np.bincount(values)
+    if len(values) >= len(known := _terms()):
+        counts = counts[counts > 0]
+        return float(len(values) * np.log2(len(values)) - (counts * np.log2(counts)).sum())
+    return float(known[len(values)] - known.take(counts).sum())
+
+
+@lru_cache(maxsize=1)
+def _terms() -> np.ndarray:
+    """n log2 n of small numbers."""
+    n = np.arange(1, 1 << 14)
+    return np.concatenate(([0.0], n * np.log2(n)))
 
 
 def pixel_bits(pixels: np.ndarray) -> float:
@@ -550,38 +566,47 @@ def minus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.view(np.uint8) - np.ascontiguousarray(b).view(np.uint8)).view(np.uint32)
 
 
-#: Modes that the writer tries for a block: none, left, above, above and left.
-MODES = (0, 1, 2, 4)
+#: Modes that the writer tries for a block: none, left, above.
+MODES = (0, 1, 2)
 #: Rows and columns of a block of predictors, as a power of two; rows of one of cross-colour factors.
 TILE, CROSS_TILE = 3, 9
 #: Factors (of 32) that are tried, and the bits that a transform must spare to be worth its own.
-FACTORS, WORTH = (8, 16, 32, -32), 150
+FACTORS, WORTH = (16, 32), 150
 
 
 def by_predictor(pixels: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(table of modes, differences): each block has the mode by which its differences cost least."""
     height = len(pixels) // width
     shown = lambda by: np.concatenate((np.full(by, 0xFF000000, np.uint32), pixels))[: len(pixels)]
-    black, left, top, corner = np.full(len(pixels), 0xFF000000, np.uint32), shown(1), shown(width), shown(width + 1)
+    black, left, top = np.full(len(pixels), 0xFF000000, np.uint32), shown(1), shown(width)
+    if min(pixel_bits(minus(pixels, left)), pixel_bits(minus(pixels, top))) > 1.2 * pixel_bits(pixels):
+        return np.zeros(0, np.uint32), pixels  # far from its neighbours: no block would gain
     i = np.arange(len(pixels))
     y, x = i // width, i % width
     side, tall = (width + (1 << TILE) - 1) >> TILE, (height + (1 << TILE) - 1) >> TILE
     block = (y >> TILE) * side + (x >> TILE)
     costs = []
-    for guess in (black, left, top, corner):
+    for guess in (black, left, top):
         parts = minus(pixels, guess).view(np.uint8).reshape(-1, 4)
         own = np.zeros(len(pixels))
         for c in range(4):
             counts = np.bincount(parts[:, c], minlength=256)
             own += np.log2(len(pixels) / np.maximum(counts, 1))[parts[:, c]]
         costs.append(np.bincount(block, own, minlength=side * tall))
-    best = np.argmin(np.stack(costs) + np.array([0.0, 8, 8, 8])[:, None], 0)
+    best = np.argmin(np.stack(costs) + np.array([0.0, 8, 8])[:, None], 0)
     mode = best[block]
-    guess = np.choose(mode, (black, left, top, corner))
+    guess = np.choose(mode, (black, left, top))
     guess = np.where(y == 0, left, np.where(x == 0, top, guess))
     return (np.uint32(0xFF000000) | np.array(MODES, np.uint32)[best] << np.uint32(8)), minus(pixels, guess)
 
 
+def related(pixels: np.ndarray) -> bool:
+    """Whether two of blue, green and red go together at all."""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        found = np.corrcoef(pixels.view(np.uint8).reshape(-1, 4)[:, :3].T)
+    return bool((np.abs(found[[0, 0, 1], [1, 2, 2]]) > 0.25).any())
+
+
 def by_factors(pixels: np.ndarray) -> tuple[int, float]:
     """(the factors that make red and blue cheapest: green to red, green to blue, red to blue; bits spared)."""
     blue, green, red, _ = pixels.view(np.uint8).reshape(-1, 4).T.astype(np.int64)
@@ -649,7 +674,7 @@ def entropy_coded(out: Writer, pixels: np.ndarray, width: int, main: bool) -> No
     symbol = green.astype(np.int64)
     if main and n >= 64:
         best = pixel_bits(pixels[literal])
-        for tried in (6, 9):
+        for tried in (6 if n < 600 else 9,):
             key = (pixels * np.uint32(CACHE_FACTOR)) >> np.uint32(32 - tried)
             order = np.argsort(key, kind="stable")
             hit = np.zeros(n, bool)
@@ -657,7 +682,7 @@ def entropy_coded(out: Writer, pixels: np.ndarray, width: int, main: bool) -> No
             plain, cached = literal & ~hit, literal & hit
             parts = pixels[plain].view(np.uint8).reshape(-1, 4)
             mixed = np.where(cached, 280 + key.astype(np.int64), green)[literal]
-            cost = bits_of(mixed, 280 + (1 << tried)) + sum(bits_of(parts[:, c]) for c in (0, 2, 3)) + 6 * len(np.unique(mixed[mixed >= 280]))
+            cost = bits_of(mixed) + sum(bits_of(parts[:, c]) for c in (0, 2, 3)) + 6 * len(np.unique(mixed[mixed >= 280]))
             if cost < best:
                 best, cache_bits = cost, tried
                 symbol = np.where(cached, 280 + key.astype(np.int64), green)
@@ -720,10 +745,10 @@ def encode(pixels: np.ndarray, width: int) -> bytes:
             out.put(TILE - 2, 3)
             entropy_coded(out, table, side, False)
             pixels, cost = rest, cost - spared
-        factors, spared = by_factors(pixels)
+        factors, spared = by_factors(pixels) if related(pixels) else (0, 0.0)
         green = pixels >> np.uint32(8) & np.uint32(255)
         less = (pixels & np.uint32(0xFF00FF00)) | ((pixels >> np.uint32(16)) - green & np.uint32(255)) << np.uint32(16) | (pixels - green & np.uint32(255))
-        if cost - pixel_bits(less) > max(WORTH // 10, spared - WORTH):
+        if factors and cost - pixel_bits(less) > max(WORTH // 10, spared - WORTH):
             transform(SUBTRACT_GREEN)
             pixels = less
         elif spared > WORTH:

@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Pre-tokens remembered by a worker; the table is emptied beyond that, so memory is bounded.
-MEMO = 1_000_000
+MEMO = 500_000
 #: Pairs of symbols below this are looked up in a table, others by binary search.
 DENSE = 1024
 _NONE = np.iinfo(np.int64).max

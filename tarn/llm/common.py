@@ -19,7 +19,7 @@ FILTER_BITS = 1 << 24
 SALT = 16
 
 #: Bytes of text that one vectorised step holds at a time.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

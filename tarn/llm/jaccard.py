@@ -32,7 +32,7 @@ SHARD, VERIFY = 250_000, 1 << 20
 #: Groups that share a rare shingle are all paired up to this number; more are linked to hubs first.
 FEW = 4
 #: Rows of a block of a component's shingles, and of a chunk of the other components' that meet it.
-BLOCK, CHUNK = 200_000, 50_000
+BLOCK, CHUNK = 60_000, 20_000
 #: Bands of sizes, sixteen to a doubling; the last holds all larger sizes.
 BANDS = 256
 
@@ -274,7 +274,8 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scrat
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nearest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("_key"))
     keyed = pairs.join(nearest.hint("merge"), "a")
-    many = keyed.groupBy("_key").agg(F.ceil(F.sum("w") / VERIFY).alias("_split"))
+    # saved, so that the join below can split a hot key's rows
+    many = scratch.save(keyed.groupBy("_key").agg(F.ceil(F.sum("w") / VERIFY).alias("_split")), f"{name}-keys")
     groups = max(1, -(-total // VERIFY))
     dealt = keyed.join(many.hint("merge"), "_key").select("a", "b", F.pmod(F.xxhash64("_key", F.pmod("a", "_split")), F.lit(groups)).alias("group"))
     dealt = scratch.save(dealt, f"{name}-dealt")
@@ -361,7 +362,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     # what is still apart: groups of a shingle whose groups are not all in one component
     label = components(links, scratch, "near")
-    scratch.drop("one-dealt", "one-links")
+    scratch.drop("one-dealt", "one-keys", "one-links")
     placed = classes.select("pkey", "cid", "n").join(label.toDF("cid", "_label"), "cid", "left").withColumn("label", F.coalesce("_label", "cid"))
     groups = scratch.save(placed.groupBy("pkey").agg(F.min("label").alias("lo"), F.max("label").alias("hi")), "groups")
     held = scratch.save(buckets.join(groups.hint("merge"), "pkey"), "held")
@@ -380,7 +381,7 @@ def near_components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     by_class = by_class.join(ties.toDF("_near", "_tied"), "_near", "left").select("cid", "rep", F.coalesce("_tied", "_near").alias("label"))
     least = by_class.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = scratch.save(by_class.join(least, "label").select("cid", "component_id", F.col("rep").alias("class_id")), "known")
-    scratch.drop("classes", "second", "two-dealt", "two-links", "near-labels", "ties-labels")
+    scratch.drop("classes", "second", "two-dealt", "two-keys", "two-links", "near-labels", "ties-labels")
     out = slim.join(known.hint("merge"), "cid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
@@ -444,7 +445,7 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
     dealt = scratch.save(told.union(asks), "apart")
     scratch.drop("group-homes")
     shards = max(1, -(-dealt.count() // BLOCK))
-    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "met", "need", "kinds", "rest")])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), *((c, pa.int32()) for c in ("met", "need", "kinds", "rest"))])
 
     def unit(rows: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
         """Of one block and chunk: for each group that asks, how many shingles it shares with each that is told."""
@@ -473,7 +474,7 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
             # what the pair can share where it is not told: less than would be told
             kinds, apart = np.minimum(own["homes"], o["homes"])[ok], np.minimum(own["small"], o["small"])[ok]
             rest = np.maximum(0, (least - apart - 1) // kinds)
-            yield np.stack((np.minimum(docs[j], own["pkey"]), np.maximum(docs[j], own["pkey"]), met[j], least, kinds, rest), 1)
+            yield np.minimum(docs[j], own["pkey"]), np.maximum(docs[j], own["pkey"]), *(x.astype(np.int32) for x in (met[j], least, kinds, rest))
 
     def meet(table: pa.Table) -> pa.Table:
         rows = {c: table[c].to_numpy() for c in ("home", "block", "chunk", *columns, "asks")}
@@ -481,14 +482,19 @@ def apart_pairs(rest: DataFrame, few: DataFrame, scratch: Scratch) -> DataFrame:
         rows = {c: x[order] for c, x in rows.items()}
         new = (rows["home"][1:] != rows["home"][:-1]) | (rows["block"][1:] != rows["block"][:-1]) | (rows["chunk"][1:] != rows["chunk"][:-1])
         cut = np.flatnonzero(np.concatenate(([True], new))) if len(order) else np.zeros(0, np.int64)
-        found = [np.zeros((0, 6), np.int64)]
+        found: list[list[np.ndarray]] = [[np.zeros(0, f.type.to_pandas_dtype())] for f in schema]
         for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):  # noqa: B905
-            found += unit({c: v[x:y] for c, v in rows.items()})
-        pairs = np.concatenate(found)
-        return pa.Table.from_arrays([pa.array(pairs[:, k]) for k in range(6)], schema=schema)
+            for part in unit({c: v[x:y] for c, v in rows.items()}):
+                for held, own in zip(found, part, strict=True):
+                    held.append(own)
+        out = []
+        for held in found:  # a column's parts go before the next is joined
+            out.append(pa.array(np.concatenate(held)))
+            held.clear()
+        return pa.Table.from_arrays(out, schema=schema)
 
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("home", "block", "chunk"), F.lit(shards)))
-    told = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, met long, need long, kinds long, rest long")
+    told = dealt.groupBy("shard").applyInArrow(meet, "a long, b long, met int, need int, kinds int, rest int")
     told = told.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need"), ((F.max("kinds") - F.count("*")) * F.max("rest")).alias("rest"))
     told = told.join(few.select("a", "b", F.col("met").alias("more")), ["a", "b"], "left")
     return told.where(F.col("met") + F.col("rest") + F.coalesce("more", F.lit(0)) >= F.col("need")).select("a", "b")

@@ -1,6 +1,7 @@
 """The WebP reader on streams with every feature, and exact round trips of the column."""
 
 import base64
+import cProfile
 import hashlib
 import os
 import random
@@ -302,3 +303,186 @@ def test_column(spark):
 def test_query(spark):
     texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
     assert sorted(tuple(r)[:5] for r in queries.op9_media(spark, DATA).collect()) == sorted(expected(d, t) for d, t in texts)
+
+
+def payloads_of_many_kinds():
+    rng = np.random.default_rng(3)
+    texts = [t.encode() for t in pq.read_table(f"{DATA}/documents.parquet")["text"].to_pylist()[:150]]
+    i = np.arange(64 * 64)
+    smooth = np.stack([i // k + rng.integers(0, 2, len(i)) for k in (9, 11, 13, 5000)], 1).astype(np.uint8).tobytes()
+    grey = np.repeat(rng.integers(0, 256, 4096).astype(np.uint8), 4).tobytes()
+    other = [b"", b"a", b"ab" * 3200, smooth, grey, os.urandom(6400), os.urandom(700) * 9, b"x" * 64 * 4100, bytes(range(256)) * 30]
+    return [t + b"\0" * (-len(t) % 64 or (0 if t else 64)) for t in [*other, *texts]]
+
+
+def test_images_written_side_by_side_are_those_written_alone(monkeypatch):
+    payloads = payloads_of_many_kinds()
+    alone = [media.store(p) for p in payloads]
+    assert [media.load(m) for m in alone] == payloads
+    assert media.store_many(payloads) == alone and media.store_many([]) == []
+    assert media.store_many(payloads[::-1]) == alone[::-1]
+    monkeypatch.setattr(media, "GROUP", 7)
+    monkeypatch.setattr(media, "STEP_BYTES", 5000)
+    assert media.store_many(payloads) == alone
+    found = {k for m in alone for k in kinds(m)}
+    assert {PALETTE, PREDICTOR} <= found
+
+
+def test_screen_lets_no_transform_through():
+    """What would be transformed is never taken for an image without transforms."""
+    images = [np.frombuffer(p, "<u4") for p in payloads_of_many_kinds() if len(p) <= 64 * 4096]
+    for pixels, may in zip(images, media.may_transform(images, 16).tolist(), strict=True):
+        outs, inner = [Writer()], []
+        left, width = media.transformed(outs, inner, pixels, 16)
+        assert may or (outs[0].size == 0 and not inner and width == 16 and left is pixels)
+
+
+def test_writing_takes_few_calls_a_text():
+    """The writer's cost is that of its calls: those of a text alone were 2,900."""
+    payloads = payloads_of_many_kinds()[9:]
+    media.store_many(payloads)
+    profile = cProfile.Profile()
+    profile.runcall(media.store_many, payloads)
+    assert sum(x.callcount for x in profile.getstats()) < 500 * len(payloads)
+
+
+@pytest.mark.parametrize("most", [7, 15])
+def test_trees_side_by_side(most):
+    rng = np.random.default_rng(most)
+    counts = rng.integers(0, 30, (60, 19)) * (rng.random((60, 19)) < rng.random((60, 1)))
+    counts[:4] = 0
+    counts[1, 3] = 9
+    counts[2, [0, 18]] = 1
+    counts[5] = 2 ** np.arange(19)  # too deep for either
+    assert np.array_equal(media.code_lengths_many(counts, most), [media.code_lengths(c, most) for c in counts])
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_resolving_is_that_of_a_plain_loop(seed):
+    """Copies that overlap, places of the cache after copies, and places that are read before they are written."""
+    rng = random.Random(seed)
+    cache_bits, width = 4, 7
+    symbol, pixels, lengths, distances, out, held = [], [], [], [], [], [0] * 16
+    for k in range(300):
+        kind = rng.choice(["pixel", "pixel", "place", "copy"]) if k else "pixel"
+        x, n, d = 0, 1, 0
+        if kind == "pixel":
+            x = rng.choice([rng.randrange(1 << 32), 5 << 8, 77 << 8])
+            symbol.append(x >> 8 & 255)
+            now = lambda: x  # noqa: B023, E731
+        elif kind == "place":
+            # every third seed also reads places that nothing was written to
+            place = rng.randrange(16) if seed % 3 == 0 else rng.choice([p * media.CACHE_FACTOR % 2**32 >> 28 for p in out])
+            symbol.append(280 + place)
+            now = lambda: held[place]  # noqa: B023, E731
+        else:
+            n, d = rng.randrange(1, 9), rng.randrange(1, 200)
+            dx, dy = media.distance_map()[min(d, 120) - 1]
+            back = d - 120 if d > 120 else max(1, dy * width + dx)
+            if back > len(out):
+                d, back = 121, 1
+            symbol.append(258)
+            now = lambda: out[-back]  # noqa: B023, E731
+        pixels.append(x)
+        lengths.append(n)
+        distances.append(d)
+        for _ in range(n):
+            out.append(now())
+            held[(out[-1] * media.CACHE_FACTOR & 0xFFFFFFFF) >> 28] = out[-1]
+    got = media.resolve(*(np.array(v, t) for v, t in ((symbol, np.int64), (pixels, np.uint32), (lengths, np.int64), (distances, np.int64))), width, cache_bits)
+    assert got.tolist() == out
+
+
+def test_files_read_side_by_side_are_those_read_alone(monkeypatch):
+    payloads = payloads_of_many_kinds()
+    stored = media.store_many(payloads)
+    assert media.load_many(stored) == payloads and media.load_many([]) == []
+    files, want = [], []
+    for k, case in enumerate([*CASES, {"transforms": (PALETTE,), "cache_bits": 3}] * 2):
+        width, height = [(1, 1), (33, 21), (64, 3)][k % 3]
+        want.append(picture(width, height, 5 if "transforms" in case and PALETTE in case["transforms"] else 200, k).tolist())
+        files.append(encode(want[-1], width, height, **case))
+    assert [x.tolist() for x in media.decode_many(files)] == want
+    monkeypatch.setattr(media, "GROUP", 3)
+    assert [x.tolist() for x in media.decode_many(files)] == want
+    monkeypatch.setattr(media, "STEP_BYTES", 5000)
+    assert media.load_many(stored) == payloads
+    for bad in (stored[20][: len(stored[20]) // 2], stored[20][:30]):
+        with pytest.raises(ValueError):
+            media.load_many([stored[0], bad])
+
+
+def test_query_reader_meets_copies_cache_and_palettes(monkeypatch, spark):
+    met, undone, own, before = [], [], media.symbols, media.undone
+    monkeypatch.setattr(media, "symbols", lambda *a: met.append(own(*a)) or met[-1])
+    monkeypatch.setattr(media, "undone", lambda *a: undone.append(a[3]) or before(*a))
+    texts = [t.encode() for t in pq.read_table(f"{DATA}/documents.parquet")["text"].to_pylist()]
+    payloads = [t + b"\0" * (-len(t) % 64 or (0 if t else 64)) for t in texts]
+    assert media.load_many(media.store_many(payloads)) == payloads
+    symbol = np.concatenate([m[0] for m in met])
+    assert ((symbol >= 256) & (symbol < 280)).any() and (symbol >= 280).any()
+    assert any(x and x[0][0] == PALETTE for x in undone)
+
+
+def told(out, lengths, limited):
+    """A prefix code told with repeats of the last length, and by a count of tokens if ``limited``."""
+    tokens, i, last = [], 0, 8
+    while i < len(lengths):
+        n = 1
+        while i + n < len(lengths) and lengths[i + n] == lengths[i]:
+            n += 1
+        if lengths[i] == 0 and n >= 3:
+            n = min(n, 138)
+            tokens.append((17, n - 3, 3) if n < 11 else (18, n - 11, 7))
+        elif lengths[i] == last and n >= 3:
+            n = min(n, 6)
+            tokens.append((16, n - 3, 2))
+        else:
+            n = 1
+            tokens.append((lengths[i], 0, 0))
+        last = lengths[i] or last
+        i += n
+    if limited:
+        while tokens[-1][0] in (0, 17, 18):
+            tokens.pop()
+    own = np.array([4] * 13 + [5] * 6)
+    codes = media.canonical(own)
+    for value, n in ((0, 1), (15, 4), *((int(own[k]), 3) for k in media.LENGTH_ORDER), (1 if limited else 0, 1)):
+        out.put(value, n)
+    if limited:
+        out.put(4, 3)
+        out.put(len(tokens) - 2, 10)
+    for kind, more, n in tokens:
+        out.put(int(codes[kind]), int(own[kind]))
+        out.put(more, n)
+
+
+def test_prefix_codes_read_side_by_side():
+    rng = random.Random(1)
+    images, alone, ends = [], [], []
+    for k in range(40):
+        out, cache = Writer(), rng.choice([0, 1, 6])
+        out.put(0, k % 7)
+        sizes = (280 + (1 << cache if cache else 0), 256, 256, 256, 40)
+        for size in sizes:
+            counts = np.array([rng.choice([0, 0, 1, 4, rng.randrange(1, 9000)]) for _ in range(size)])
+            kind = rng.randrange(5)
+            counts[rng.randrange(3, size) :] = 0
+            if kind == 0:
+                out.put(1 | 1 << 1 | 1 << 2 | 7 << 3 | 30 << 11, 19)  # two symbols
+            elif kind == 1:
+                out.put(1 | 1 << 3, 4)  # one, of a bit
+            elif kind == 2 or np.count_nonzero(counts) < 3:
+                media.write_prefix(out, media.code_lengths(counts, 15))
+            else:
+                told(out, media.code_lengths(counts, 15).tolist(), kind == 3)
+        out.put(k, 6)
+        one, other = media.Bits(out.bytes()), media.Bits(out.bytes())
+        one.at = other.at = k % 7
+        images.append((other, cache))
+        alone.append([media.read_prefix(one, size) for size in sizes])
+        ends.append(one.at)
+    for own, other in zip(alone, media.read_prefixes(images), strict=True):
+        for a, b in zip(own, other, strict=True):
+            assert a.top == b.top and a.symbols.tolist() == b.symbols.tolist() and a.bits.tolist() == b.bits.tolist()
+    assert [bits.at for bits, _ in images] == ends
